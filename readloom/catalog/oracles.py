@@ -114,7 +114,7 @@ VIEWS: dict[str, str] = {
         CAST(min(q) FILTER (cum * 100 >= total * 10) AS INTEGER) AS p10,
         CAST(min(q) FILTER (cum * 100 >= total * 90) AS INTEGER) AS p90
         FROM qual_cum GROUP BY 1, 2, 3""",
-    "read_quality": """SELECT sample, stage, list_sum([ascii(c) - 33 for c in string_split(qual, '')]) // length(qual) AS q,
+    "read_quality": """SELECT sample, stage, CAST(list_sum([ascii(c) - 33 for c in string_split(qual, '')]) // length(qual) AS BIGINT) AS q,
         count(*) AS n FROM staged WHERE length(qual) > 0 GROUP BY 1, 2, 3""",
     "base_content": """SELECT sample, stage, CAST(pos AS INTEGER) AS pos,
         100.0::DOUBLE * coalesce(sum(n) FILTER (c = 'G'), 0)::DOUBLE / (sum(n) FILTER (c <> 'N'))::DOUBLE AS pct_g,
@@ -222,14 +222,9 @@ VIEWS: dict[str, str] = {
     "annotated": """SELECT DISTINCT chrom, prev_end + 1 AS i_start, start_pos - 1 AS i_end FROM (
         SELECT *, lag(end_pos) OVER (PARTITION BY gene_id, chrom ORDER BY start_pos, end_pos) AS prev_end
         FROM (SELECT DISTINCT gene_id, chrom, start_pos, end_pos FROM exons)) WHERE start_pos > prev_end + 1""",
-    "intron_motifs": """SELECT i.*, concat(
-          substr(c1.seq, CAST(i_start - c1."offset" AS INTEGER), 1), substr(c2.seq, CAST(i_start + 1 - c2."offset" AS INTEGER), 1),
-          substr(c3.seq, CAST(i_end - 1 - c3."offset" AS INTEGER), 1), substr(c4.seq, CAST(i_end - c4."offset" AS INTEGER), 1)) AS motif
-        FROM placed_introns i
-        JOIN contigs c1 ON c1.chrom = i.chrom AND c1.chunk_no = (i_start - 1) // 512
-        JOIN contigs c2 ON c2.chrom = i.chrom AND c2.chunk_no = i_start // 512
-        JOIN contigs c3 ON c3.chrom = i.chrom AND c3.chunk_no = (i_end - 2) // 512
-        JOIN contigs c4 ON c4.chrom = i.chrom AND c4.chunk_no = (i_end - 1) // 512""",
+    "sequences": "SELECT chrom, string_agg(seq, '' ORDER BY chunk_no) AS bases FROM contigs GROUP BY 1",
+    "intron_motifs": """SELECT i.*, concat(substr(bases, i_start, 2), substr(bases, i_end - 1, 2)) AS motif
+        FROM placed_introns i JOIN sequences USING (chrom)""",
     "intron_strands": """SELECT *, CASE WHEN motif IN ('GTAG', 'GCAG', 'ATAC') THEN '+'
         WHEN motif IN ('CTAC', 'CTGC', 'GTAT') THEN '-' END AS strand FROM intron_motifs""",
     "pairs": """SELECT DISTINCT p.chrom, p.pos, p.cigar, p.strand, e.gene_id, e.strand AS gene_strand
@@ -310,4 +305,4 @@ def oracle(body: str) -> str:
 
     need(body)
     blocks = ",\n".join(f"{name} AS ({sql})" for name, sql in VIEWS.items() if name in needed)
-    return f"WITH {blocks}\n{body}"
+    return f"WITH {blocks}\n{body}" if blocks else body

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PHRED_OFFSET = 33
@@ -21,6 +21,16 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, however often it is used later.
+
+    The optimizer copies a plain projected expression into every later filter and
+    projection that mentions it, which doubles the work at each step of a chain. It
+    does not look through a generator, here one over a single-element array.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def phred(qual: str | Column) -> Column:
     """Quality string -> ARRAY<INT> of Phred scores."""
     return F.transform(F.split(col(qual), ""), lambda c: F.ascii(c) - PHRED_OFFSET)

@@ -13,7 +13,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bases import bases_at_least, bases_below, col, gc_count, n_count, phred
+from ..functions.bases import bases_at_least, bases_below, bind, col, gc_count, n_count, phred
 
 UNIVERSAL_ADAPTER = "AGATCGGAAGAG"
 PASSED, TOO_MANY_N, LOW_QUALITY, TOO_SHORT = "passed", "too_many_N", "low_quality", "too_short"
@@ -22,53 +22,60 @@ REASONS = [PASSED, TOO_MANY_N, LOW_QUALITY, TOO_SHORT]
 
 def _cut_to(reads: DataFrame, keep: Column) -> DataFrame:
     """Shorten bases and qualities to the first ``keep`` characters."""
-    return reads.withColumns(
-        {
-            "seq": F.substr("seq", F.lit(1), keep),
-            "qual": F.substr("qual", F.lit(1), keep),
-        }
-    )
+    cut = bind(reads, "_keep", keep)
+    return cut.withColumns({c: F.substr(c, F.lit(1), F.col("_keep")) for c in ("seq", "qual")}).drop("_keep")
 
 
-def window_cut(qual: str | Column, window: int = 4, mean: int = 20) -> Column:
-    """Bases to keep: those before the first window whose mean score is below ``mean``.
+def bind_window_cut(reads: DataFrame, name: str, window: int = 4, mean: int = 20) -> DataFrame:
+    """Add the number of bases before the first window whose mean score is below ``mean``.
 
-    Such a window holds at least one base below ``mean``, so reads without any skip
-    the scan. Reads shorter than the window are kept whole.
+    Such a window holds at least one base below ``mean``, so scores are only unpacked
+    for reads that have one. Reads shorter than the window are kept whole.
     """
-    q = col(qual)
-    n = F.length(q)
-
-    def first_bad_window() -> Column:
-        scores = phred(q)
-        sums = F.transform(
-            F.sequence(F.lit(1), n - window + 1),
-            lambda i: reduce(add, [F.get(scores, i + (j - 1)) for j in range(window)]),
-        )
-        return F.array_position(F.transform(sums, lambda s: s < mean * window), True).cast("int")
-
-    has_low = (n >= window) & (bases_below(q, mean) > 0)
-    bad = F.when(has_low, first_bad_window()).otherwise(0)
-    return F.when(bad > 0, bad - 1).otherwise(n)
+    n = F.length("qual")
+    has_low = (n >= window) & (bases_below("qual", mean) > 0)
+    scored = bind(reads, "_scores", F.when(has_low, phred("qual")))
+    window_is_bad = F.transform(
+        F.sequence(F.lit(0), n - window),
+        lambda i: reduce(add, [F.get("_scores", i + j) for j in range(window)]) < mean * window,
+    )
+    first = F.when(F.col("_scores").isNotNull(), F.array_position(window_is_bad, True).cast("int")).otherwise(0)
+    at = bind(scored, "_first", first)
+    return at.withColumn(name, F.when(F.col("_first") > 0, F.col("_first") - 1).otherwise(n)).drop("_scores", "_first")
 
 
 def cut_right(reads: DataFrame, window: int = 4, mean: int = 20) -> DataFrame:
     """Slide a window from the 5' end; cut from the first bad one to the end."""
-    return _cut_to(reads, window_cut("qual", window, mean))
+    cut = bind_window_cut(reads, "_window", window, mean)
+    return _cut_to(cut, F.col("_window")).drop("_window")
+
+
+def before_poly_g(seq: Column, min_len: int = 10) -> Column:
+    """Length of ``seq`` without a trailing run of at least ``min_len`` G."""
+    body, n = F.length(F.rtrim(seq, F.lit("G"))), F.length(seq)
+    return F.when(n - body >= min_len, body).otherwise(n)
+
+
+def before_adapter(seq: Column, length: Column, probe: Column) -> Column:
+    """Length of the first ``length`` bases of ``seq`` up to the first whole ``probe``.
+
+    The first hit in the whole read decides: if it does not end within ``length``, no
+    later one does. A null probe cuts nothing.
+    """
+    at = F.coalesce(F.position(probe, seq), F.lit(0))
+    inside = (at > 0) & (at - 1 + F.length(probe) <= length)
+    return F.when(inside, at - 1).otherwise(length)
 
 
 def trim_poly_g(reads: DataFrame, min_len: int = 10) -> DataFrame:
     """Drop a trailing run of at least ``min_len`` G."""
-    body = F.length(F.rtrim(F.col("seq"), F.lit("G")))
-    n = F.length("seq")
-    return _cut_to(reads, F.when(n - body >= min_len, body).otherwise(n))
+    return _cut_to(reads, before_poly_g(F.col("seq"), min_len))
 
 
 def trim_adapter(reads: DataFrame, adapter: str | Column = UNIVERSAL_ADAPTER) -> DataFrame:
     """T4: cut at the first occurrence of the adapter (a string or a column)."""
     probe = F.lit(adapter) if isinstance(adapter, str) else adapter
-    at = F.position(probe, F.col("seq"))
-    return _cut_to(reads, F.when(at > 0, at - 1).otherwise(F.length("seq")))
+    return _cut_to(reads, before_adapter(F.col("seq"), F.length("seq"), probe))
 
 
 def trim_detected_adapter(reads: DataFrame, detected: DataFrame) -> DataFrame:
@@ -77,8 +84,7 @@ def trim_detected_adapter(reads: DataFrame, detected: DataFrame) -> DataFrame:
     ``detected`` has at most one row per sample.
     """
     joined = reads.join(F.broadcast(detected.select("sample", "adapter")), "sample", "left")
-    at = F.coalesce(F.position(F.col("adapter"), F.col("seq")), F.lit(0))
-    return _cut_to(joined, F.when(at > 0, at - 1).otherwise(F.length("seq"))).drop("adapter")
+    return trim_adapter(joined, F.col("adapter")).drop("adapter")
 
 
 def fails_quality(qual: str | Column = "qual", q: int = 20, pct: int = 30) -> Column:
@@ -125,19 +131,27 @@ def trim_chain(
     Keeps the untrimmed strings as ``raw_seq`` and ``raw_qual`` so that one pass over
     the reads can report both stages.
     """
-    out = reads.withColumns({"raw_seq": F.col("seq"), "raw_qual": F.col("qual")})
-    out = trim_poly_g(cut_right(out, window, mean), poly_g)
+    seq = F.col("seq")
+    out = bind_window_cut(reads, "_window", window, mean)
+    out = bind(out, "_body", before_poly_g(F.substr(seq, F.lit(1), F.col("_window")), poly_g))
+    probe = F.lit(adapter).cast("string")
     if detected is not None:
-        out = trim_detected_adapter(out, detected)
-    elif adapter is not None:
-        out = trim_adapter(out, adapter)
+        out = out.join(F.broadcast(detected.select("sample", "adapter")), "sample", "left")
+        probe = F.col("adapter")
+    out = bind(out, "_keep", before_adapter(seq, F.col("_body"), probe))
+    out = out.select(
+        *reads.columns,
+        F.col("seq").alias("raw_seq"),
+        F.col("qual").alias("raw_qual"),
+        "_keep",
+    ).withColumns({c: F.substr(c, F.lit(1), F.col("_keep")) for c in ("seq", "qual")})
     reason = (
         F.when(fails_n("seq", n_limit), TOO_MANY_N)
         .when(fails_quality("qual", low_quality, low_quality_pct), LOW_QUALITY)
         .when(fails_length("seq", min_length), TOO_SHORT)
         .otherwise(PASSED)
     )
-    return out.withColumn("reason", reason)
+    return bind(out, "reason", reason).drop("_keep")
 
 
 def trimmed_reads(chain: DataFrame) -> DataFrame:

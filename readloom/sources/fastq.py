@@ -12,10 +12,12 @@ handled in blocks of a few megabytes and go to Spark as Arrow batches.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -210,6 +212,8 @@ def sample_of_path(path: str | Column) -> Column:
 
 def read_fastq(spark: SparkSession, path: str, range_bytes: int = RANGE) -> DataFrame:
     """reads(sample, read_id, seq, qual). ``path``: files or folders, comma between."""
+    # Send the reader's code along, so that workers need not have this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FastqDataSource)
     rows = spark.read.format("readloom_fastq").option("rangeBytes", range_bytes).load(path)
     return rows.select(sample_of_path("path").alias("sample"), "read_id", "seq", "qual")
