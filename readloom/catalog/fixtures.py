@@ -30,11 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     """Columns of a driver table.
 
     A table of fewer files than cores would be one scan task per file, so it is spread
-    over the cores first. A large table has many files and is read as it lies.
+    over the cores first, by hash of its first column here. A large table has many
+    files and is read as it lies.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, columns[0]) if len(df.inputFiles()) < cores else df
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,10 +5,10 @@ Only the runs M, D, N, =, X move along the reference; I, S, H, P do not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bases import col
+from .bases import bind, col
 
 RUN = r"(\d+)([MIDNSHP=X])"
 REF_RUNS = ("M", "D", "N", "=", "X")
@@ -100,7 +100,7 @@ def blocks(pos: str | Column, cigar: str | Column) -> Column:
 def introns(block_array: str | Column) -> Column:
     """ARRAY<STRUCT<i_start, i_end, overhang>> between consecutive blocks.
 
-    ``overhang`` is the smaller count of matched bases in the two blocks that flank
+    ``block_array`` should be a bound column, as it is used several times. ``overhang`` is the smaller count of matched bases in the two blocks that flank
     the intron.
     """
     b = col(block_array)
@@ -116,3 +116,24 @@ def introns(block_array: str | Column) -> Column:
             F.least(x["left"]["matched"], x["right"]["matched"]).alias("overhang"),
         ),
     )
+
+
+def placed_blocks(placed: DataFrame, how: str = "inner") -> DataFrame:
+    """``placed(pos, cigar, ...)`` with (b_start, b_end, matched), one row per block.
+
+    Offsets are worked out once per distinct CIGAR, of which there are few, and joined
+    back. With ``how="left"`` rows without a CIGAR stay, with nulls.
+    """
+    offsets = placed.select("cigar").distinct().select("cigar", F.inline(blocks(F.lit(0), "cigar")))
+    return _shift(placed, offsets, ["b_start", "b_end"], how)
+
+
+def placed_introns(placed: DataFrame) -> DataFrame:
+    """``placed(pos, cigar, ...)`` with (i_start, i_end, overhang), one row per intron."""
+    cut = bind(placed.select("cigar").distinct(), "_blocks", blocks(F.lit(0), "cigar"))
+    return _shift(placed, cut.select("cigar", F.inline(introns("_blocks"))), ["i_start", "i_end"], "inner")
+
+
+def _shift(placed: DataFrame, offsets: DataFrame, columns: list[str], how: str) -> DataFrame:
+    joined = placed.join(offsets, "cigar", how)
+    return joined.withColumns({c: F.col("pos").cast("long") + F.col(c) for c in columns})

@@ -1,12 +1,15 @@
 """Reads to genes.
 
 The interval join never meets a raw read. Alignments are first counted per placement
-(sample, chrom, pos, cigar, strand), the distinct placements are cut into blocks, and
-the exons of a gene are merged into disjoint islands inside position bins. Only these
-two reduced tables are joined, on (chrom, bin), with the overlap test as residual
-predicate. The annotation side is broadcast by Spark itself when it is under the
-session's size limit; above it the equi-join shuffles on (chrom, bin) and adaptive
-execution splits large bins.
+(sample, chrom, pos, cigar, strand), placements are cut into blocks with offsets that
+are worked out once per distinct CIGAR, and the exons of a gene are merged into
+disjoint islands inside position bins. These reduced tables meet in an equi-join on
+(chrom, bin) with the overlap test as residual predicate.
+
+Spark picks the join by its own size check: under
+``spark.sql.autoBroadcastJoinThreshold`` the islands are broadcast, the partitioning of
+the placements survives the join and the aggregate behind it needs no shuffle. Above
+it both sides are shuffled on (chrom, bin) and adaptive execution splits large bins.
 """
 
 from __future__ import annotations
@@ -14,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cigar import blocks
+from ..functions.bases import int_div
+from ..functions.cigar import placed_blocks
 from ..functions.intervals import explode_bins, with_samples
 from .align import REVERSE, SECONDARY, SUPPLEMENTARY, UNMAPPED, has_flag, is_mapped
 
@@ -89,26 +93,27 @@ def strand_match(rule: int, read: str = "strand", gene: str = "gene_strand") ->
     return same if rule == 1 else ~same
 
 
-def overlap_join(placed: DataFrame, exons: DataFrame, width: int = GENOME_BIN) -> DataFrame:
-    """(placement, gene_id, gene_strand) where a block and an exon share a base.
+def _hits(placed: DataFrame, exons: DataFrame, width: int, how: str) -> DataFrame:
+    """Rows of ``placed`` with each (gene_id, gene_strand) island a block touches.
 
-    ``placed`` holds distinct placements. Each pair comes out once.
+    A gene comes out once per block and island. With ``how="left"`` rows without a hit
+    stay, with nulls.
     """
-    cut = placed.select(*PLACED, F.inline(blocks("pos", "cigar")))
-    left = explode_bins(cut, "b_start", "b_end", width)
-    right = merged_exons(exons, width).withColumnRenamed("strand", "gene_strand")
+    cut = placed_blocks(placed, how)
+    bins = F.sequence(int_div(F.col("b_start"), width), int_div(F.col("b_end"), width))
+    left = cut.withColumn("bin", F.explode_outer(bins))
+    right = merged_exons(exons, width).withColumnsRenamed({"strand": "gene_strand", "chrom": "_c", "bin": "_b"})
     touch = (F.col("b_start") <= F.col("i_end")) & (F.col("b_end") >= F.col("i_start"))
-    return (
-        left.join(right, ["chrom", "bin"])
-        .where(touch)
-        .select(*PLACED, "gene_id", "gene_strand")
-        .distinct()
-    )
+    same_bin = (F.col("chrom") == F.col("_c")) & (F.col("bin") == F.col("_b"))
+    return left.join(right, same_bin & touch, how).select(*placed.columns, "gene_id", "gene_strand")
 
 
-def _one_gene(condition: Column) -> tuple[Column, Column]:
-    gene = F.when(condition, F.col("gene_id"))
-    return F.count(gene), F.min(gene)
+def overlap_join(placed: DataFrame, exons: DataFrame, width: int = GENOME_BIN) -> DataFrame:
+    """(placement, gene_id, gene_strand) where a block and an exon share a base.
+
+    ``placed`` holds distinct placements. Each pair comes out once.
+    """
+    return _hits(placed.select(*PLACED), exons, width, "inner").distinct()
 
 
 def placement_genes(placed: DataFrame, exons: DataFrame, strand: int = 0, width: int = GENOME_BIN) -> DataFrame:
@@ -132,11 +137,38 @@ def assign_reads(alignments: DataFrame, exons: DataFrame, strand: int = 0, width
     genes = placement_genes(mapped.select(*PLACED).distinct(), exons, strand, width)
     n = F.coalesce("n_genes", F.lit(0).cast("long"))
     status = F.when(n == 1, ASSIGNED).when(n > 1, AMBIGUOUS).otherwise(NO_FEATURES)
-    return (
-        mapped.join(genes, PLACED, "left")
-        .withColumn("n_genes", n)
-        .withColumn("status", status)
+    return mapped.join(genes, PLACED, "left").withColumn("n_genes", n).withColumn("status", status)
+
+
+def _counted_outcomes(
+    alignments: DataFrame, early: Column, exons: DataFrame, rules: dict[str, int], none: str, many: str, width: int
+) -> DataFrame:
+    """(sample, n, one column per rule): the gene, or the reason why there is none.
+
+    ``early`` names the outcome of rows that never reach the overlap. They share the
+    first aggregate with the placements, so the alignments are read once. A placement
+    hits one gene if the smallest and the largest gene id it meets are the same.
+    """
+    strand = F.when(has_flag(REVERSE), "-").otherwise("+")
+    marked = alignments.select("sample", early.alias("_early"), "chrom", "pos", "cigar", strand.alias("strand"))
+    open_rows = F.col("_early").isNull()
+    keys = ["sample", "_early", *PLACED]
+    placed = (
+        marked.withColumns({c: F.when(open_rows, F.col(c)) for c in PLACED}).groupBy(*keys).agg(F.count("*").alias("n"))
     )
+    hits = _hits(placed, exons, width, "left")
+    ends = []
+    for name, rule in rules.items():
+        gene = F.when(strand_match(rule), F.col("gene_id"))
+        ends += [F.min(gene).alias(f"_low_{name}"), F.max(gene).alias(f"_high_{name}")]
+    genes = hits.groupBy(*keys).agg(F.max("n").alias("n"), *ends)
+
+    def outcome(name: str) -> Column:
+        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        late = F.when(low.isNull(), none).when(low == high, low).otherwise(many)
+        return F.coalesce("_early", late).alias(name)
+
+    return genes.select("sample", "n", *[outcome(name) for name in rules])
 
 
 def assigned_counts(
@@ -151,24 +183,13 @@ def assigned_counts(
         .when(F.col("mapq") < min_mapq, MAPPING_QUALITY)
         .when(F.col("nh") > 1, MULTI_MAPPING)
     )
-    marked = alignments.withColumn("_early", early)
-    rejected = (
-        marked.where(F.col("_early").isNotNull())
-        .groupBy("sample", F.col("_early").alias("status"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("gene_id", F.lit(None).cast("string"))
-    )
-    placed = placements(marked.where(F.col("_early").isNull()), "sample")
-    genes = placement_genes(placed.select(*PLACED).distinct(), exons, strand, width)
-    status = (
-        F.when(F.col("n_genes") == 1, ASSIGNED).when(F.col("n_genes") > 1, AMBIGUOUS).otherwise(NO_FEATURES)
-    )
-    counted = (
-        placed.join(genes, PLACED, "left")
-        .groupBy("sample", status.alias("status"), "gene_id")
-        .agg(F.sum("n").alias("n"))
-    )
-    return counted.unionByName(rejected)
+    outcomes = _counted_outcomes(alignments, early, exons, {"_to": strand}, NO_FEATURES, AMBIGUOUS, width)
+    failed = F.col("_to").isin(*[s for s in STATUSES if s != ASSIGNED])
+    return outcomes.groupBy(
+        "sample",
+        F.when(failed, F.col("_to")).otherwise(ASSIGNED).alias("status"),
+        F.when(~failed, F.col("_to")).alias("gene_id"),
+    ).agg(F.sum("n").alias("n"))
 
 
 def assignment_summary(counts: DataFrame, samples: DataFrame) -> DataFrame:
@@ -203,31 +224,13 @@ def gene_counts_by_strand(
     are three conditional aggregates over its result.
     """
     primary = alignments.where(~has_flag(SECONDARY) & ~has_flag(SUPPLEMENTARY))
-    unique = is_mapped() & (F.col("nh") == 1)
-    placed = placements(primary.where(unique), "sample")
-    hits = overlap_join(placed.select(*PLACED).distinct(), exons, width)
-    rules = ["unstranded", "forward", "reverse"]
-    aggs = []
-    for i, rule in enumerate(rules):
-        n, gene = _one_gene(strand_match(i))
-        aggs += [n.alias(f"_n{i}"), gene.alias(f"_g{i}")]
-    genes = hits.groupBy(*PLACED).agg(*aggs)
-
-    def target(i: int) -> Column:
-        n = F.coalesce(F.col(f"_n{i}"), F.lit(0).cast("long"))
-        return F.when(n == 1, F.col(f"_g{i}")).when(n > 1, "N_ambiguous").otherwise("N_noFeature")
-
-    # One row per rule and placement, added up per target in a single aggregate.
-    entries = [F.struct(F.lit(r).alias("rule"), target(i).alias("gene_id")) for i, r in enumerate(rules)]
-    from_overlap = placed.join(genes, PLACED, "left").select("sample", "n", F.inline(F.array(*entries)))
-    skipped = (
-        primary.where(~unique)
-        .groupBy("sample", F.when(has_flag(UNMAPPED), "N_unmapped").otherwise("N_multimapping").alias("gene_id"))
-        .agg(F.count("*").alias("n"))
-        .select("sample", "n", F.explode(F.array(*[F.lit(r) for r in rules])).alias("rule"), "gene_id")
-    )
+    early = F.when(has_flag(UNMAPPED), "N_unmapped").when(F.col("nh") > 1, "N_multimapping")
+    rules = {"unstranded": 0, "forward": 1, "reverse": 2}
+    outcomes = _counted_outcomes(primary, early, exons, rules, "N_noFeature", "N_ambiguous", width)
+    # One row per rule, added up per target in a single aggregate.
+    entries = [F.struct(F.lit(r).alias("rule"), F.col(r).alias("gene_id")) for r in rules]
     counted = (
-        from_overlap.unionByName(skipped)
+        outcomes.select("sample", "n", F.inline(F.array(*entries)))
         .groupBy("gene_id", "sample")
         .agg(*[F.sum(F.when(F.col("rule") == r, F.col("n"))).alias(r) for r in rules])
     )

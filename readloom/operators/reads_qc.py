@@ -56,9 +56,6 @@ DUPLICATION_BINS = [
     (">10k+", None),
 ]
 
-# Bases per exploded piece of a read in the per-position modules.
-PIECE = 3
-
 
 def basic_stats(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """Q1: counts, length range and %GC (rounded down) per sample.
@@ -88,25 +85,17 @@ def basic_stats(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     )
 
 
-def symbol_histogram(reads: DataFrame, column: str, by: Sequence[str], piece: int = PIECE) -> DataFrame:
+def symbol_histogram(reads: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     """(by, pos, symbol, n): how often each character stands at each read position.
 
-    Two steps. Reads are first cut into pieces of a few characters and the pieces are
-    counted, so that only a third of the rows per read reach the hash table and equal
-    pieces collapse before any shuffle. The counted pieces are then split into single
-    characters. The result is the same for every ``piece``.
+    The exploded characters collapse on the map side to one row per position and
+    symbol; only those are shuffled.
     """
-    piece_pattern = F.lit("(?s).{1,%d}" % piece)
-    pieces = (
-        reads.select(*by, F.posexplode(F.regexp_extract_all(column, piece_pattern, F.lit(0))).alias("_p", "_s"))
-        .groupBy(*by, "_p", "_s")
-        .agg(F.count("*").alias("_n"))
-    )
     return (
-        pieces.select(*by, "_p", "_n", F.posexplode(F.split("_s", "")).alias("_i", "symbol"))
-        .withColumn("pos", (F.col("_p") * piece + F.col("_i") + 1).cast("int"))
-        .groupBy(*by, "pos", "symbol")
-        .agg(F.sum("_n").alias("n"))
+        reads.select(*by, F.posexplode(F.split(column, "")).alias("_i", "symbol"))
+        .where(F.col("symbol") != "")
+        .groupBy(*by, (F.col("_i") + 1).alias("pos"), "symbol")
+        .agg(F.count("*").alias("n"))
     )
 
 
@@ -400,25 +389,33 @@ def _long(row_per_sample: DataFrame, by: Sequence[str], measures: list[str]) ->
 def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """The numbers the verdicts are drawn from: (by, measure, value).
 
-    Base content and N content share one per-position histogram, duplication and
-    overrepresentation share one sequence aggregate.
+    Five aggregates over the reads feed all of them: per-read cells, scores per
+    position, bases per position, copies per sequence, and adapter hits.
     """
-    basic = reads.groupBy(*by).agg(
-        F.count("*").alias("total_sequences"),
-        F.min(F.length("seq")).alias("min_length"),
-        (F.max(F.length("seq")) - F.min(F.length("seq"))).alias("length_spread"),
+    # One row per length, mean score and GC share: the histograms behind Q1, Q3 and Q5.
+    cells = reads.groupBy(
+        *by,
+        F.length("seq").alias("length"),
+        mean_phred_floor("qual").alias("quality"),
+        gc_percent_rounded("seq").alias("gc"),
+    ).agg(F.count("*").alias("n_reads"))
+    basic = cells.groupBy(*by).agg(
+        F.sum("n_reads").alias("total_sequences"),
+        F.min("length").alias("min_length"),
+        (F.max("length") - F.min("length")).alias("length_spread"),
+    )
+    per_score = cells.where(F.col("quality").isNotNull()).groupBy(*by, "quality").agg(F.sum("n_reads").alias("n_reads"))
+    # Highest count wins, the lower score among equals.
+    mode = per_score.groupBy(*by).agg(
+        (-F.max(F.struct("n_reads", (-F.col("quality")).alias("q")))["q"]).alias("mode_quality")
     )
+    per_gc = cells.where(F.col("gc").isNotNull()).groupBy(*by, "gc").agg(F.sum("n_reads").alias("n_reads"))
+    gc = gc_deviation(dense(per_gc, by, "gc", "n_reads", F.lit(0), F.lit(100)), by)
     quality = (
         per_base_quality(reads, by)
         .groupBy(*by)
         .agg(F.min("q1").alias("min_lower_quartile"), F.min("median").alias("min_median"))
     )
-    # Highest count wins, the lower score among equals.
-    mode = (
-        per_sequence_quality(reads, by)
-        .groupBy(*by)
-        .agg((-F.max(F.struct("n_reads", (-F.col("quality")).alias("q")))["q"]).alias("mode_quality"))
-    )
     bases = symbol_histogram(reads, "seq", by)
     content = (
         _content(bases, by)
@@ -430,7 +427,6 @@ def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
         )
     )
     unknown = _n_content(bases, by).groupBy(*by).agg(F.max("pct_n").alias("max_pct_n"))
-    gc = gc_deviation(per_sequence_gc(reads, by), by)
     copies = (
         sequence_counts(reads, by)
         .groupBy(*by)

@@ -7,13 +7,11 @@ shuffles; only the per-sample counts do.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bases import bases_at_least, bases_below, bind, col, gc_count, n_count, phred
+from ..functions.bases import bases_at_least, bases_below, bind, col, gc_count, n_count
 
 UNIVERSAL_ADAPTER = "AGATCGGAAGAG"
 PASSED, TOO_MANY_N, LOW_QUALITY, TOO_SHORT = "passed", "too_many_N", "low_quality", "too_short"
@@ -26,27 +24,43 @@ def _cut_to(reads: DataFrame, keep: Column) -> DataFrame:
     return cut.withColumns({c: F.substr(c, F.lit(1), F.col("_keep")) for c in ("seq", "qual")}).drop("_keep")
 
 
-def bind_window_cut(reads: DataFrame, name: str, window: int = 4, mean: int = 20) -> DataFrame:
-    """Add the number of bases before the first window whose mean score is below ``mean``.
+def window_cut(window: int = 4, mean: int = 20):
+    """Arrow function: quality strings -> bases before the first window whose mean score
+    is below ``mean``; the whole length if there is none or the read is shorter.
 
-    Such a window holds at least one base below ``mean``, so scores are only unpacked
-    for reads that have one. Reads shorter than the window are kept whole.
+    Running sums over array elements need lambda functions, which Spark interprets one
+    element at a time; on whole Arrow columns the same scan is ten times faster. The
+    inner function carries no reference to this package, so workers need not have it.
     """
-    n = F.length("qual")
-    has_low = (n >= window) & (bases_below("qual", mean) > 0)
-    scored = bind(reads, "_scores", F.when(has_low, phred("qual")))
-    window_is_bad = F.transform(
-        F.sequence(F.lit(0), n - window),
-        lambda i: reduce(add, [F.get("_scores", i + j) for j in range(window)]) < mean * window,
-    )
-    first = F.when(F.col("_scores").isNotNull(), F.array_position(window_is_bad, True).cast("int")).otherwise(0)
-    at = bind(scored, "_first", first)
-    return at.withColumn(name, F.when(F.col("_first") > 0, F.col("_first") - 1).otherwise(n)).drop("_scores", "_first")
+
+    def first_bad_window(quals: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        filled = pc.fill_null(quals, "").cast(pa.large_binary())
+        ends = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
+        raw = np.frombuffer(filled.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        sums = np.concatenate(([0], np.cumsum(raw.astype(np.int64) - 33)))
+        starts, lengths = ends[:-1], np.diff(ends)
+        bad = np.flatnonzero(sums[window:] - sums[:-window] < mean * window)
+        # First bad window at or after each read's start; it counts if it ends inside.
+        first = np.append(bad, np.iinfo(np.int64).max)[np.searchsorted(bad, starts)]
+        keep = np.where(first <= ends[1:] - window, first - starts, lengths)
+        return pa.array(keep.astype(np.int32), mask=quals.is_null().to_numpy(zero_copy_only=False))
+
+    return F.arrow_udf(first_bad_window, "int")
+
+
+def _bind_window_cut(reads: DataFrame, name: str, window: int, mean: int) -> DataFrame:
+    found = reads.withColumn("_found", window_cut(window, mean)("qual"))
+    return bind(found, name, F.col("_found")).drop("_found")
 
 
 def cut_right(reads: DataFrame, window: int = 4, mean: int = 20) -> DataFrame:
     """Slide a window from the 5' end; cut from the first bad one to the end."""
-    cut = bind_window_cut(reads, "_window", window, mean)
+    cut = _bind_window_cut(reads, "_window", window, mean)
     return _cut_to(cut, F.col("_window")).drop("_window")
 
 
@@ -132,7 +146,7 @@ def trim_chain(
     the reads can report both stages.
     """
     seq = F.col("seq")
-    out = bind_window_cut(reads, "_window", window, mean)
+    out = _bind_window_cut(reads, "_window", window, mean)
     out = bind(out, "_body", before_poly_g(F.substr(seq, F.lit(1), F.col("_window")), poly_g))
     probe = F.lit(adapter).cast("string")
     if detected is not None:
