@@ -912,7 +912,7 @@ def _(spark, sf):
 
 @query("tpm_top20", "E13", "SELECT gene_id, length, round(mean_tpm, 6) AS mean_tpm FROM top_genes")
 def _(spark, sf):
-    return rounded(expression.top_genes(expression.tpm(fx.counts(spark, sf))), "mean_tpm")
+    return rounded(expression.top_genes(expression.tpm(fx.counts(spark, sf)), n_samples=len(fx.SAMPLES)), "mean_tpm")
 
 
 @query(
@@ -943,7 +943,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     matrix = workflow.quantify(fx.alignments(spark, sf), fx.exons(spark, sf), width=fx.BIN)
-    return rounded(expression.top_genes(expression.tpm(matrix)), "mean_tpm")
+    return rounded(expression.top_genes(expression.tpm(matrix), n_samples=len(fx.SAMPLES)), "mean_tpm")
 
 
 # --- reports ----------------------------------------------------------------------

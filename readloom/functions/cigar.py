@@ -118,19 +118,21 @@ def introns(block_array: str | Column) -> Column:
     )
 
 
-def placed_blocks(placed: DataFrame, how: str = "inner") -> DataFrame:
+def placed_blocks(placed: DataFrame, cigars: DataFrame, how: str = "inner") -> DataFrame:
     """``placed(pos, cigar, ...)`` with (b_start, b_end, matched), one row per block.
 
-    Offsets are worked out once per distinct CIGAR, of which there are few, and joined
-    back. With ``how="left"`` rows without a CIGAR stay, with nulls.
+    Offsets are worked out once per distinct value of ``cigars.cigar``, of which there
+    are few, and joined back. Pass the table that ``placed`` was aggregated from: its
+    one column is cheaper to scan again than the aggregate is to repeat. With
+    ``how="left"`` rows without a CIGAR stay, with nulls.
     """
-    offsets = placed.select("cigar").distinct().select("cigar", F.inline(blocks(F.lit(0), "cigar")))
+    offsets = cigars.select("cigar").distinct().select("cigar", F.inline(blocks(F.lit(0), "cigar")))
     return _shift(placed, offsets, ["b_start", "b_end"], how)
 
 
-def placed_introns(placed: DataFrame) -> DataFrame:
+def placed_introns(placed: DataFrame, cigars: DataFrame) -> DataFrame:
     """``placed(pos, cigar, ...)`` with (i_start, i_end, overhang), one row per intron."""
-    cut = bind(placed.select("cigar").distinct(), "_blocks", blocks(F.lit(0), "cigar"))
+    cut = bind(cigars.select("cigar").distinct(), "_blocks", blocks(F.lit(0), "cigar"))
     return _shift(placed, cut.select("cigar", F.inline(introns("_blocks"))), ["i_start", "i_end"], "inner")
 
 

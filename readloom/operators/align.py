@@ -80,7 +80,7 @@ def junctions(alignments: DataFrame) -> DataFrame:
         F.count(F.when(F.col("nh") > 1, 1)).alias("_multi"),
     )
     return (
-        placed_introns(placed)
+        placed_introns(placed, spliced(alignments))
         .groupBy("sample", "chrom", "i_start", "i_end")
         .agg(F.sum("_unique").alias("n_unique"), F.sum("_multi").alias("n_multi"))
     )
@@ -128,7 +128,7 @@ def junction_overhangs(
 ) -> DataFrame:
     """Each intron of each distinct spliced placement, its overhang and what it needs."""
     found = spliced(alignments).select(*PLACEMENT).distinct()
-    cells = placed_introns(found)
+    cells = placed_introns(found, spliced(alignments))
     marked = cells.join(annotated.withColumn("annotated", F.lit(True)), ["chrom", "i_start", "i_end"], "left")
     is_known = F.coalesce("annotated", F.lit(False))
     needed = F.when(is_known, known).otherwise(novel)
@@ -211,7 +211,7 @@ def _motif_strand() -> Column:
 def _placement_strands(alignments: DataFrame, contigs: DataFrame, chunk: int) -> DataFrame:
     """Per spliced placement: number of junctions, canonical ones, and strands seen."""
     found = spliced(alignments).select(*PLACEMENT).distinct()
-    cells = placed_introns(found)
+    cells = placed_introns(found, spliced(alignments))
     return (
         junction_motifs(cells, contigs, chunk)
         .withColumn("_strand", _motif_strand())

@@ -88,26 +88,25 @@ def tpm(counts: DataFrame) -> DataFrame:
     )
 
 
-def mean_tpm(tpm_matrix: DataFrame) -> DataFrame:
-    """Mean over all samples; a gene missing in a sample counts as 0 there."""
-    n_samples = tpm_matrix.select("sample").distinct().agg(F.count("*")).scalar()
-    return tpm_matrix.groupBy("gene_id", "length").agg((F.sum("tpm") / n_samples).alias("mean_tpm"))
+def mean_tpm(tpm_matrix: DataFrame, n_samples: int | None = None) -> DataFrame:
+    """Mean over all samples; a gene missing in a sample counts as 0 there.
 
-
-def top_genes(tpm_matrix: DataFrame, n: int = 20) -> DataFrame:
-    """The ``n`` genes with the highest mean, gene id ascending among equals."""
-    return mean_tpm(tpm_matrix).orderBy(F.desc("mean_tpm"), "gene_id").limit(n)
+    ``n_samples``: the number of sample columns, if it is known; else it is counted.
+    """
+    n = F.lit(n_samples) if n_samples else tpm_matrix.select("sample").distinct().agg(F.count("*")).scalar()
+    return tpm_matrix.groupBy("gene_id", "length").agg((F.sum("tpm") / n).alias("mean_tpm"))
 
 
-def _top_cells(tpm_matrix: DataFrame, n: int) -> DataFrame:
-    """Matrix rows of the top genes, with their mean. At most ``n`` genes: broadcast."""
-    top = top_genes(tpm_matrix, n).select("gene_id", "mean_tpm")
-    return tpm_matrix.join(F.broadcast(top), "gene_id")
+def top_genes(tpm_matrix: DataFrame, n: int = 20, n_samples: int | None = None) -> DataFrame:
+    """The ``n`` genes with the highest mean, gene id ascending among equals."""
+    return mean_tpm(tpm_matrix, n_samples).orderBy(F.desc("mean_tpm"), "gene_id").limit(n)
 
 
 def plot_table(tpm_matrix: DataFrame, samples: Sequence[str], n: int = 20) -> DataFrame:
     """Top genes with TPM per sample and the mean."""
-    return wide(_top_cells(tpm_matrix, n), "tpm", samples, ("gene_id", "length", "mean_tpm"))
+    top = top_genes(tpm_matrix, n, len(samples)).select("gene_id", "mean_tpm")
+    cells = tpm_matrix.join(F.broadcast(top), "gene_id")  # at most n genes
+    return wide(cells, "tpm", samples, ("gene_id", "length", "mean_tpm"))
 
 
 def log2_matrix(tpm_matrix: DataFrame, samples: Sequence[str], n: int = 20) -> DataFrame:
