@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ATTRIBUTE = r'(\w+)\s+"?([^";]*)"?\s*(?:;|$)'
+ATTRIBUTE = r'(\w+)\s+("[^"]*"|[^;"\s]+)'
 
 
 def filter_contig(df: DataFrame, contig: str) -> DataFrame:
@@ -32,7 +32,9 @@ def feature_type(features: DataFrame, kind: str = "exon") -> DataFrame:
 def parse_attributes(text: str | Column) -> Column:
     """``key "value"; key value; ...`` -> map; a repeated key keeps its first value."""
     keys = F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(1))
-    values = F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(2))
+    values = F.transform(
+        F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(2)), lambda v: F.btrim(v, F.lit('"'))
+    )
     entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
     first = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
     return F.map_from_entries(first)
