@@ -50,7 +50,11 @@ def chain(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf: str) -> DataFrame:
-    return trim.both_stages(chain(spark, sf))
+    return workflow.stored_stages(chain(spark, sf))
+
+
+def stored_reads(spark: SparkSession, sf: str) -> DataFrame:
+    return workflow.materialise(fx.reads(spark, sf), "reads")
 
 
 STAGED = ("sample", "stage")
@@ -164,7 +168,7 @@ def _(spark, sf):
 @query("qc_status_rows", "S7", "SELECT sample, module, status FROM qc_status WHERE stage = 'raw'")
 def _(spark, sf):
     path = scratch_dir(spark, "status")
-    rows = reads_qc.verdicts(reads_qc.qc_measures(fx.reads(spark, sf)))
+    rows = reads_qc.verdicts(reads_qc.qc_measures(stored_reads(spark, sf)))
     rows.select("status", "module", F.concat("sample", F.lit(".sra.fastq"))).write.option("sep", "\t").csv(path)
     return reports.read_qc_status(spark, path)
 
@@ -985,7 +989,7 @@ SOURCES = [f"src{i}" for i in range(20)]
     + " FROM qc_status WHERE stage = 'raw' GROUP BY 1",
 )
 def _(spark, sf):
-    return report.status_matrix(reads_qc.verdicts(reads_qc.qc_measures(fx.reads(spark, sf))), SOURCES)
+    return report.status_matrix(reads_qc.verdicts(reads_qc.qc_measures(stored_reads(spark, sf))), SOURCES)
 
 
 @query(
@@ -1005,7 +1009,7 @@ def _(spark, sf):
     """SELECT sample, metric, round(before, 6) AS before, round(after, 6) AS after, round(after - before, 6) AS delta FROM compared""",
 )
 def _(spark, sf):
-    return rounded(workflow.summary_table(chain(spark, sf)), "before", "after", "delta")
+    return rounded(workflow.summary_table(staged(spark, sf)), "before", "after", "delta")
 
 
 @query(

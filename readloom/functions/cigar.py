@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from .bases import bind, col
 
 RUN = r"(\d+)([MIDNSHP=X])"
+# One M run, or two around one intron; clipped or not.
+ONE_RUN = r"^(?:\d+[SH])*(\d+)M(?:\d+[SH])*$"
+TWO_RUNS = r"^(?:\d+[SH])*(\d+)M(\d+)N(\d+)M(?:\d+[SH])*$"
 REF_RUNS = ("M", "D", "N", "=", "X")
 QUERY_RUNS = ("M", "I", "S", "=", "X")
-MATCH_RUNS = ("M", "=", "X")
 BLOCK_RUNS = ("M", "D", "=", "X")
 
 
@@ -55,46 +57,43 @@ def blocks(pos: str | Column, cigar: str | Column) -> Column:
     """ARRAY<STRUCT<b_start, b_end, matched>>: the alignment cut at N runs (A3).
 
     ``matched`` counts M, = and X bases; deletions extend a block without matching.
+    Alignments without indels and with at most one intron are most of the data and take
+    a short way by pattern; lambda functions are slow. The others are folded run by run,
+    with the open block (s, e, m) and the closed ones as state.
     """
-    p = col(pos).cast("long")
+    p, c = col(pos).cast("long"), col(cigar)
     zero = F.lit(0).cast("long")
-    none = F.array().cast("array<struct<b_start:bigint,b_end:bigint,matched:bigint>>")
-    start = F.struct(
-        p.alias("s"),
-        (p - 1).alias("e"),
-        zero.alias("m"),
-        none.alias("done"),
-    )
+
+    def block(s: Column, e: Column, m: Column) -> Column:
+        return F.struct(s.alias("b_start"), e.alias("b_end"), m.alias("matched"))
+
+    def state(s: Column, e: Column, m: Column, done: Column) -> Column:
+        return F.struct(s.alias("s"), e.alias("e"), m.alias("m"), done.alias("done"))
 
     def closed(a: Column) -> Column:
-        block = F.struct(a["s"].alias("b_start"), a["e"].alias("b_end"), a["m"].alias("matched"))
-        return F.when(a["e"] >= a["s"], F.concat(a["done"], F.array(block))).otherwise(a["done"])
-
-    def step(a: Column, x: Column) -> Column:
-        length, op = x["len"].cast("long"), x["op"]
-        return (
-            F.when(
-                op.isin(*BLOCK_RUNS),
-                F.struct(
-                    a["s"].alias("s"),
-                    (a["e"] + length).alias("e"),
-                    (a["m"] + F.when(op.isin(*MATCH_RUNS), length).otherwise(zero)).alias("m"),
-                    a["done"].alias("done"),
-                ),
-            )
-            .when(
-                op == "N",
-                F.struct(
-                    (a["e"] + length + 1).alias("s"),
-                    (a["e"] + length).alias("e"),
-                    zero.alias("m"),
-                    closed(a).alias("done"),
-                ),
-            )
-            .otherwise(a)
+        last = F.array(block(a["s"], a["e"], a["m"]))
+        return F.when(a["e"] >= a["s"], F.concat(a["done"], last)).otherwise(a["done"])
+
+    def step(a: Column, run: Column) -> Column:
+        op = F.right(run, F.lit(1))
+        length = F.substr(run, F.lit(1), F.length(run) - 1).cast("long")
+        longer = state(
+            a["s"], a["e"] + length, a["m"] + F.when(op == "D", zero).otherwise(length), a["done"]
         )
+        after_gap = state(a["e"] + length + 1, a["e"] + length, zero, closed(a))
+        return F.when(op.isin(*BLOCK_RUNS), longer).when(op == "N", after_gap).otherwise(a)
 
-    return F.aggregate(cigar_ops(cigar), start, step, closed)
+    none = F.array().cast("array<struct<b_start:bigint,b_end:bigint,matched:bigint>>")
+    runs = F.regexp_extract_all(c, F.lit(r"\d+[MIDNSHP=X]"), F.lit(0))
+    folded = F.aggregate(runs, state(p, p - 1, zero, none), step, closed)
+
+    def group(pattern: str, i: int) -> Column:
+        return F.regexp_extract(c, pattern, i).cast("long")
+
+    one = F.array(block(p, p + group(ONE_RUN, 1) - 1, group(ONE_RUN, 1)))
+    left, gap, right = (group(TWO_RUNS, i) for i in (1, 2, 3))
+    two = F.array(block(p, p + left - 1, left), block(p + left + gap, p + left + gap + right - 1, right))
+    return F.when(c.rlike(ONE_RUN), one).when(c.rlike(TWO_RUNS), two).otherwise(folded)
 
 
 def introns(block_array: str | Column) -> Column:
@@ -118,24 +117,16 @@ def introns(block_array: str | Column) -> Column:
     )
 
 
-def placed_blocks(placed: DataFrame, cigars: DataFrame, how: str = "inner") -> DataFrame:
+def placed_blocks(placed: DataFrame, outer: bool = False) -> DataFrame:
     """``placed(pos, cigar, ...)`` with (b_start, b_end, matched), one row per block.
 
-    Offsets are worked out once per distinct value of ``cigars.cigar``, of which there
-    are few, and joined back. Pass the table that ``placed`` was aggregated from: its
-    one column is cheaper to scan again than the aggregate is to repeat. With
-    ``how="left"`` rows without a CIGAR stay, with nulls.
+    With ``outer`` rows without a CIGAR stay, with nulls.
     """
-    offsets = cigars.select("cigar").distinct().select("cigar", F.inline(blocks(F.lit(0), "cigar")))
-    return _shift(placed, offsets, ["b_start", "b_end"], how)
+    generate = F.inline_outer if outer else F.inline
+    return placed.select("*", generate(blocks("pos", "cigar")))
 
 
-def placed_introns(placed: DataFrame, cigars: DataFrame) -> DataFrame:
+def placed_introns(placed: DataFrame) -> DataFrame:
     """``placed(pos, cigar, ...)`` with (i_start, i_end, overhang), one row per intron."""
-    cut = bind(cigars.select("cigar").distinct(), "_blocks", blocks(F.lit(0), "cigar"))
-    return _shift(placed, cut.select("cigar", F.inline(introns("_blocks"))), ["i_start", "i_end"], "inner")
-
-
-def _shift(placed: DataFrame, offsets: DataFrame, columns: list[str], how: str) -> DataFrame:
-    joined = placed.join(offsets, "cigar", how)
-    return joined.withColumns({c: F.col("pos").cast("long") + F.col(c) for c in columns})
+    cut = bind(placed, "_blocks", blocks("pos", "cigar"))
+    return cut.select(*placed.columns, F.inline(introns("_blocks")))

@@ -29,10 +29,12 @@ def dense(
 
     ``hist`` is already aggregated: one row per (by, key), with an integer key from a
     small range (a Phred score, a percentage, a read position), so the map built per
-    group holds at most that range. Default limits: smallest and largest key seen.
+    group holds at most that range. Default limits: smallest and largest key seen. A
+    null key is left out.
     """
+    entry = F.when(F.col(key).isNotNull(), F.struct(F.col(key), F.col(value)))
     cells = hist.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias("_cells"),
+        F.map_from_entries(F.collect_list(entry)).alias("_cells"),
         F.min(key).alias("_low"),
         F.max(key).alias("_high"),
     )

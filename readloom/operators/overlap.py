@@ -1,9 +1,8 @@
 """Reads to genes.
 
 The interval join never meets a raw read. Alignments are first counted per placement
-(sample, chrom, pos, cigar, strand), placements are cut into blocks with offsets that
-are worked out once per distinct CIGAR, and the exons of a gene are merged into
-disjoint islands inside position bins. These reduced tables meet in an equi-join on
+(sample, chrom, pos, cigar, strand), the distinct placements are cut into blocks, and
+the exons of a gene are merged into disjoint islands inside position bins. These reduced tables meet in an equi-join on
 (chrom, bin) with the overlap test as residual predicate.
 
 Spark picks the join by its own size check: under
@@ -93,13 +92,13 @@ def strand_match(rule: int, read: str = "strand", gene: str = "gene_strand") ->
     return same if rule == 1 else ~same
 
 
-def _hits(placed: DataFrame, cigars: DataFrame, exons: DataFrame, width: int, how: str) -> DataFrame:
+def _hits(placed: DataFrame, exons: DataFrame, width: int, how: str) -> DataFrame:
     """Rows of ``placed`` with each (gene_id, gene_strand) island a block touches.
 
-    ``cigars`` holds all CIGARs of ``placed``, see :func:`placed_blocks`. A gene comes out once per block and island. With ``how="left"`` rows without a hit
+    A gene comes out once per block and island. With ``how="left"`` rows without a hit
     stay, with nulls.
     """
-    cut = placed_blocks(placed, cigars, how)
+    cut = placed_blocks(placed, outer=how == "left")
     bins = F.sequence(int_div(F.col("b_start"), width), int_div(F.col("b_end"), width))
     left = cut.withColumn("bin", F.explode_outer(bins))
     right = merged_exons(exons, width).withColumnsRenamed({"strand": "gene_strand", "chrom": "_c", "bin": "_b"})
@@ -113,7 +112,7 @@ def overlap_join(placed: DataFrame, exons: DataFrame, width: int = GENOME_BIN) -
 
     ``placed`` holds distinct placements. Each pair comes out once.
     """
-    return _hits(placed.select(*PLACED), placed, exons, width, "inner").distinct()
+    return _hits(placed.select(*PLACED), exons, width, "inner").distinct()
 
 
 def placement_genes(placed: DataFrame, exons: DataFrame, strand: int = 0, width: int = GENOME_BIN) -> DataFrame:
@@ -156,7 +155,7 @@ def _counted_outcomes(
     placed = (
         marked.withColumns({c: F.when(open_rows, F.col(c)) for c in PLACED}).groupBy(*keys).agg(F.count("*").alias("n"))
     )
-    hits = _hits(placed, marked.where(open_rows), exons, width, "left")
+    hits = _hits(placed, exons, width, "left")
     ends = []
     for name, rule in rules.items():
         gene = F.when(strand_match(rule), F.col("gene_id"))

@@ -127,9 +127,7 @@ def per_base_quality(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
 def per_sequence_quality(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """Q3: reads per floor(mean Phred score), zero rows kept between the extremes."""
     hist = (
-        reads.select(*by, mean_phred_floor("qual").alias("quality"))
-        .where(F.col("quality").isNotNull())
-        .groupBy(*by, "quality")
+        reads.groupBy(*by, mean_phred_floor("qual").alias("quality"))
         .agg(F.count("*").alias("n_reads"))
     )
     return dense(hist, by, "quality", "n_reads")
@@ -174,9 +172,7 @@ def per_sequence_gc(reads: DataFrame, by: Sequence[str] = SAMPLE, spread: bool =
     if spread:
         return _gc_spread(reads, by)
     hist = (
-        reads.select(*by, gc_percent_rounded("seq").alias("gc"))
-        .where(F.col("gc").isNotNull())
-        .groupBy(*by, "gc")
+        reads.groupBy(*by, gc_percent_rounded("seq").alias("gc"))
         .agg(F.count("*").alias("n_reads"))
     )
     return dense(hist, by, "gc", "n_reads", F.lit(0), F.lit(100))
@@ -404,12 +400,13 @@ def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
         F.min("length").alias("min_length"),
         (F.max("length") - F.min("length")).alias("length_spread"),
     )
-    per_score = cells.where(F.col("quality").isNotNull()).groupBy(*by, "quality").agg(F.sum("n_reads").alias("n_reads"))
+    # Nulls (empty reads) are passed over inside the aggregates. A filter on them would
+    # be pushed below ``cells``, and the three uses of it would no longer share a scan.
+    per_score = cells.groupBy(*by, "quality").agg(F.sum("n_reads").alias("n_reads"))
     # Highest count wins, the lower score among equals.
-    mode = per_score.groupBy(*by).agg(
-        (-F.max(F.struct("n_reads", (-F.col("quality")).alias("q")))["q"]).alias("mode_quality")
-    )
-    per_gc = cells.where(F.col("gc").isNotNull()).groupBy(*by, "gc").agg(F.sum("n_reads").alias("n_reads"))
+    score = F.when(F.col("quality").isNotNull(), F.struct("n_reads", (-F.col("quality")).alias("q")))
+    mode = per_score.groupBy(*by).agg((-F.max(score)["q"]).alias("mode_quality"))
+    per_gc = cells.groupBy(*by, "gc").agg(F.sum("n_reads").alias("n_reads"))
     gc = gc_deviation(dense(per_gc, by, "gc", "n_reads", F.lit(0), F.lit(100)), by)
     quality = (
         per_base_quality(reads, by)

@@ -98,9 +98,16 @@ def general_stats(
     )
 
 
-def summary_table(chain: DataFrame) -> DataFrame:
-    """Read statistics before and after trimming, per sample and metric."""
-    staged = trim.both_stages(chain)
+def stored_stages(chain: DataFrame) -> DataFrame:
+    """Raw and passed reads, written once for the several passes of the QC modules."""
+    return materialise(trim.both_stages(chain), "staged-reads")
+
+
+def summary_table(staged: DataFrame) -> DataFrame:
+    """Read statistics before and after trimming, per sample and metric.
+
+    ``staged(sample, stage, seq, qual)`` is read once per module; store it first.
+    """
     by = ("sample", "stage")
     metrics = report.stage_metrics(
         trim.read_totals(staged),
