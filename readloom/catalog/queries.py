@@ -200,10 +200,16 @@ def _(spark, sf):
     return reports.parse_flagstat(rows.select("sample", line.alias("value")))
 
 
-@query("idxstats_text", "S9", "SELECT chrom, length, mapped, unmapped FROM contig_counts WHERE sample = 'A'")
+@query(
+    "idxstats_text",
+    "S9",
+    """SELECT chrom, CAST(length AS BIGINT) AS length, CAST(sum(mapped) AS BIGINT) AS mapped, CAST(sum(unmapped) AS BIGINT) AS unmapped
+    FROM contig_counts GROUP BY 1, 2""",
+)
 def _(spark, sf):
     path = scratch_dir(spark, "idxstats")
-    rows = align.idxstats(fx.alignments(spark, sf), fx.dictionary(spark, sf)).where(F.col("sample") == "A")
+    together = fx.alignments(spark, sf).withColumn("sample", F.lit("all"))
+    rows = align.idxstats(together, fx.dictionary(spark, sf))
     rows.select("chrom", "length", "mapped", "unmapped").write.option("sep", "\t").csv(path)
     return reports.read_idxstats(spark, path).drop("sample")
 

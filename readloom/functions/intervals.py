@@ -13,10 +13,6 @@ def bins(start: str | Column, end: str | Column, width: int) -> Column:
     return F.sequence(int_div(col(start), width), int_div(col(end), width))
 
 
-def explode_bins(df: DataFrame, start: str, end: str, width: int, name: str = "bin") -> DataFrame:
-    return df.withColumn(name, F.explode(bins(start, end, width)))
-
-
 def dense(
     hist: DataFrame,
     by: list[str],

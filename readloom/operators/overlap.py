@@ -16,9 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bases import int_div
 from ..functions.cigar import placed_blocks
-from ..functions.intervals import explode_bins, with_samples
+from ..functions.intervals import bins, with_samples
 from .align import REVERSE, SECONDARY, SUPPLEMENTARY, UNMAPPED, has_flag, is_mapped
 
 GENOME_BIN = 16_384
@@ -41,7 +40,7 @@ def merged_exons(exons: DataFrame, width: int = GENOME_BIN, by: tuple[str, ...]
     kept (a plain max, combined on the map side), which leaves at most ``width`` rows
     for the merging window, however many exons a gene has.
     """
-    clipped = explode_bins(exons.select(*by, "start_pos", "end_pos"), "start_pos", "end_pos", width)
+    clipped = exons.select(*by, "start_pos", "end_pos", F.explode(bins("start_pos", "end_pos", width)).alias("bin"))
     low = F.col("bin") * width
     pieces = (
         clipped.select(
@@ -99,8 +98,7 @@ def _hits(placed: DataFrame, exons: DataFrame, width: int, how: str) -> DataFram
     stay, with nulls.
     """
     cut = placed_blocks(placed, outer=how == "left")
-    bins = F.sequence(int_div(F.col("b_start"), width), int_div(F.col("b_end"), width))
-    left = cut.withColumn("bin", F.explode_outer(bins))
+    left = cut.withColumn("bin", F.explode_outer(bins("b_start", "b_end", width)))
     right = merged_exons(exons, width).withColumnsRenamed({"strand": "gene_strand", "chrom": "_c", "bin": "_b"})
     touch = (F.col("b_start") <= F.col("i_end")) & (F.col("b_end") >= F.col("i_start"))
     same_bin = (F.col("chrom") == F.col("_c")) & (F.col("bin") == F.col("_b"))

@@ -223,9 +223,10 @@ def before_after(chain: DataFrame) -> DataFrame:
 def overrepresented_kmers(reads: DataFrame, k: int = 20, top: int = 20) -> DataFrame:
     """The most frequent k-mers of each sample, counted over all positions.
 
-    Equal counts are ordered by k-mer. The rank is cut with ``row_number() <= top``,
-    which Spark applies to each map partition before the shuffle, so one sample never
-    sends all its k-mers to one task.
+    Equal counts are ordered by k-mer. The count that the last reported k-mer must have
+    is read off a histogram of counts, so only k-mers at or above it are sorted. Where
+    ties leave many, Spark applies ``row_number() <= top`` to each map partition before
+    the shuffle; one sample never sends all its k-mers to one task.
     """
     n = F.length("seq")
     kmers = (
@@ -234,8 +235,18 @@ def overrepresented_kmers(reads: DataFrame, k: int = 20, top: int = 20) -> DataF
         .groupBy("sample", F.substr("seq", F.col("_i"), F.lit(k)).alias("kmer"))
         .agg(F.count("*").alias("n"))
     )
+    higher = Window.partitionBy("sample").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    needed = (
+        kmers.groupBy("sample", "n")
+        .agg(F.count("*").alias("_kmers"))
+        .withColumn("_ahead", F.coalesce(F.sum("_kmers").over(higher), F.lit(0)))
+        .where(F.col("_ahead") < top)
+        .groupBy("sample")
+        .agg(F.min("n").alias("_needed"))
+    )
+    frequent = kmers.join(F.broadcast(needed), "sample").where(F.col("n") >= F.col("_needed"))  # one row per sample
     rank = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("n"), "kmer"))
-    return kmers.withColumn("rank", rank).where(F.col("rank") <= top)
+    return frequent.select("sample", "kmer", "n", rank.alias("rank")).where(F.col("rank") <= top)
 
 
 def detect_adapter(reads: DataFrame, candidates: dict[str, str]) -> DataFrame:

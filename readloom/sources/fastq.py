@@ -36,7 +36,7 @@ def open_filesystem(path: str):
     if "://" in path or path.startswith("file:"):
         if path.startswith("file:") and not path.startswith("file://"):
             path = "file://" + path[len("file:") :]
-        return fs.FileSystem.from_uri(path)
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path
 
 
