@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, suffix_repeats, toxicity
+from . import byte_bpe, chat, licenses, line_windows, mixing, one_bit, simhash, sql, suffix_repeats, toxicity, warc
 from .common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +54,63 @@ def _(spark, sf):
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query("op4_one_bit")
+def _(spark, sf):
+    vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
+    return one_bit.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op5_byte_bpe")
+def _(spark, sf):
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = byte_bpe.encode_documents(table(spark, sf, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op6_chat", sql.CHAT)
+def _(spark, sf):
+    turns = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(
+        [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], turns.schema
+    )
+    return chat.read_back(chat.format_turns(turns.unionByName(marked)))
+
+
+#: What the mixing query aims at: books and forums are rarer than the web, the largest source counts little.
+WEIGHTS = mixing.Weights(
+    domain={"web": 5, "forum": 3, "books": 2}, lang={"en": 6, "de": 2, "fr": 2, "es": 1}, source={"src0": 1}, other=2
+)
+
+
+def domain() -> Column:
+    """Web, forum or books, by the number in a source's name."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]+)$", 1)
+    return F.element_at(F.array(F.lit("web"), F.lit("forum"), F.lit("books")), F.coalesce(number.try_cast("int"), F.lit(0)) % 3 + 1)
+
+
+@query("op7_mixing", sql.MIXING)
+def _(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    mixed = mixing.mix(docs, WEIGHTS, F.expr("supply * 6 div 5"), domain(), max_epochs=4, seed=7)
+    return mixed.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "tokens_taken")
+
+
+@query("op8_licenses")
+def _(spark, sf):
+    scanned = licenses.scan_documents(table(spark, sf, "documents", "doc_id", "text"))
+    return scanned.select("doc_id", F.posexplode("licenses").alias("match", "found")).select("doc_id", "match", "found.*")
+
+
+@query("op9_warc", sql.WARC)
+def _(spark, sf):
+    archives = warc.write_pages(table(spark, sf, "pages", "page_id", "url", "html"))
+    rows = warc.read_archives(archives)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_line_windows", sql.LINES)
+def _(spark, sf):
+    cut = line_windows.dedup_lines(table(spark, sf, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "text", "n_lines", "n_removed")

@@ -225,25 +225,50 @@ def simhash_groups(
     blocks: int | None = None,
     shard_rows: int = 8192,
 ) -> DataFrame:
-    """(doc_id, code, component_id) of every row: signed fingerprint, smallest id it reaches.
+    """(doc_id, version, code, root, component_id) of every row.
 
+    ``version`` is a hash of the text, ``code`` the signed fingerprint, ``root`` the smallest
+    fingerprint of its component, ``component_id`` the smallest id there.
     ``blocks`` is ``radius + 2`` by default; more of them make shards smaller and each
     fingerprint go to more shards, ``comb(blocks, radius)`` of them.
     """
     blocks = blocks or radius + 2
     assert radius < blocks <= 64 and comb(blocks, radius) <= 1000, "too many shards for a fingerprint"
-    prints = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), shingle).alias("code"))
+    body = F.col(f"`{text}`")
+    prints = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("version"), fingerprints(body, shingle).alias("code")
+    )
     prints = checkpoint(prints)
     codes = checkpoint(prints.groupBy("code").agg(F.min("doc_id").alias("first_id")), spread=True)
     roots = components(checkpoint(links(codes, radius, blocks, shard_rows)))
     linked = checkpoint(codes.join(roots, F.col("code") == F.col("node")).select("code", "root", "first_id"), spread=True)
     names = checkpoint(linked.groupBy(F.col("root").alias("of")).agg(F.min("first_id").alias("name")), spread=True)
-    named = linked.join(names, F.col("root") == F.col("of")).select(F.col("code").alias("linked"), "name")
+    named = linked.join(names, F.col("root") == F.col("of")).select(F.col("code").alias("linked"), "root", "name")
     mapping = codes.join(named, F.col("code") == F.col("linked"), "left").select(
-        F.col("code").alias("own"), F.coalesce("name", "first_id").alias("component_id")
+        F.col("code").alias("own"),
+        F.coalesce("root", "code").alias("root"),
+        F.coalesce("name", "first_id").alias("component_id"),
     )
     mapping = checkpoint(mapping, spread=True)
-    return prints.join(mapping, F.col("code") == F.col("own")).select("doc_id", "code", "component_id")
+    return prints.join(mapping, F.col("code") == F.col("own")).select("doc_id", "version", "code", "root", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their group, one row for each group.
+
+    Ids before null, of equal ids that of the smaller hash of the text; of repeated rows one.
+    """
+    groups = simhash_groups(docs, doc_id, text, **settings)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "version")).alias("best")
+    stay = checkpoint(groups.groupBy("root").agg(best).select("best.doc_id", "best.version").distinct(), spread=True)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{doc_id}`").alias("id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("of_version"),
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of_version") == F.col("version"))
+    kept = rows.join(stay, same, "left_semi").dropDuplicates(["id", "of_version"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def hex_code(code: Column) -> Column:
