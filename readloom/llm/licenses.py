@@ -187,9 +187,9 @@ class Scanner:
                 else:
                     cell = (score - 1, matches, begin, end)
                 down = above[k + 1]
-                cell = max(cell, (down[0] - 1, *down[1:]), (left[0] - 1, *left[1:]), key=lambda c: c[0])
+                cell = max(cell, (down[0] - 1, *down[1:]), (left[0] - 1, *left[1:]), key=lambda c: c[:2])
                 left = cell if cell[0] > 0 else (0, 0, 0, 0)
-                if left[0] > best[0]:
+                if left[:2] > best[:2]:
                     best = left
                 row.append(left)
             row.append((0, 0, 0, 0))
