@@ -20,29 +20,30 @@ QUALITY_OF = "IIFFIIFF<<IIFF55II##FFII<<"
 POLY_G = "G" * 15
 ADAPTER = "AGATCGGAAGAGCACACGTCTGAACTCCAGTCA"
 READ_LEN = 51
-SHORTEST = 35
 CONTIG_CHUNK = 512
 BIN = 512
-SAMPLES = ["A", "N", "R"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a driver table.
+    """Columns of a driver table, read as it lies."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
-    A table of fewer files than cores would be one scan task per file, so it is spread
-    over the cores first, by hash of its first column here. A large table has many
-    files and is read as it lies.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, columns[0]) if len(df.inputFiles()) < cores else df
+
+def samples(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Names of the alignment samples, for wide tables: one column for each."""
+    names = table(spark, sf_dir, "lineitem", "l_returnflag").distinct().orderBy("l_returnflag")
+    return [r[0] for r in names.collect()]
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """reads(read_id, sample, seq, qual): letters of each document in runs of 51."""
+    """reads(read_id, sample, seq, qual): all letters of each document in runs of 51.
+
+    The last run is as short as it comes; a document without letters is an empty read.
+    """
     letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
     runs = F.regexp_extract_all(letters, F.lit(".{1,%d}" % READ_LEN), F.lit(0))
-    k, i, n = F.col("k"), F.col("i"), F.length("k")
+    k, i = F.coalesce("k", F.lit("")), F.coalesce("i", F.lit(0))
+    n = F.length(k)
     b = F.translate(k, LETTERS, BASE_OF)
 
     def cut(s: Column, length: Column) -> Column:
@@ -50,15 +51,14 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     adapter_at = (10 + F.col("doc_id") % 20).cast("int")
     seq = (
-        F.when(i % 7 == 3, F.concat(cut(b, n - len(POLY_G)), F.lit(POLY_G)))
+        F.when(i % 7 == 3, cut(F.concat(cut(b, F.greatest(n - len(POLY_G), F.lit(0))), F.lit(POLY_G)), n))
         .when(i % 11 == 5, cut(F.concat(cut(b, adapter_at), F.lit(ADAPTER), b), n))
-        .when(i % 13 == 6, F.concat(F.lit("N" * 6), F.substr(b, F.lit(7))))
+        .when(i % 13 == 6, cut(F.concat(F.lit("N" * 6), F.substr(b, F.lit(7))), n))
         .otherwise(b)
     )
     return (
         table(spark, sf_dir, "documents", "doc_id", "source", "text")
-        .select("doc_id", F.col("source").alias("sample"), F.posexplode(runs).alias("i", "k"))
-        .where(n >= SHORTEST)
+        .select("doc_id", F.col("source").alias("sample"), F.posexplode_outer(runs).alias("i", "k"))
         .select(
             F.concat(F.lit("R"), F.col("doc_id"), F.lit("_"), i).alias("read_id"),
             "sample",
@@ -69,15 +69,22 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """contigs(chrom, chunk_no, offset, seq): every fifth document is the next chunk."""
+    """contigs(chrom, chunk_no, offset, seq): all letters of each document in pieces of 512.
+
+    The first piece of every fifth document is the next chunk of a contig, the second
+    pieces follow behind the first ones of all, and so on; documents without a piece leave
+    a gap. A short piece is filled up with N.
+    """
     letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
-    text = F.substr(F.repeat(F.concat(letters, F.lit("acgtn")), F.lit(110)), F.lit(1), F.lit(CONTIG_CHUNK))
-    chunk_no = int_div(F.col("doc_id"), 5)
-    return table(spark, sf_dir, "documents", "doc_id", "text").select(
+    pieces = F.regexp_extract_all(letters, F.lit(".{1,%d}" % CONTIG_CHUNK), F.lit(0))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    per_round = int_div(docs.agg(F.max("doc_id")).scalar(), 5) + 1
+    chunk_no = F.col("k") * per_round + int_div(F.col("doc_id"), 5)
+    return docs.select("doc_id", F.posexplode(pieces).alias("k", "piece")).select(
         _chrom(F.col("doc_id")).alias("chrom"),
         chunk_no.cast("int").alias("chunk_no"),
         (chunk_no * CONTIG_CHUNK).alias("offset"),
-        F.translate(text, LETTERS, BASE_OF).alias("seq"),
+        F.rpad(F.translate("piece", LETTERS, BASE_OF), F.lit(CONTIG_CHUNK), F.lit("N")).alias("seq"),
     )
 
 
@@ -160,8 +167,36 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + int_div(g, 5) * 400 + F.floor("l_extendedprice").cast("long") % 400).alias("pos"),
         cigar.alias("cigar"),
         F.when(many, F.when(even, 3).otherwise(0)).when(c("l_quantity") < 4, 5).otherwise(255).alias("mapq"),
-        F.when(many, F.when(even, 2).otherwise(4)).otherwise(1).alias("nh"),
-        F.round(c("l_tax") * 100).cast("int").alias("nm"),
+        # Unmapped rows carry no tags; some reads have more hits than are allowed.
+        F.when(c("l_suppkey") % 20 != 0, F.when(many, F.when(even, 2).otherwise(24)).otherwise(1)).alias("nh"),
+        F.when(c("l_suppkey") % 20 != 0, F.round(c("l_tax") * 100).cast("int")).alias("nm"),
+    )
+
+
+def input_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """input_reads(sample, read_id): what the aligner was given, with reads that it left out."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
+    sample = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    left_out = orders.select(sample.alias("sample"), F.concat(F.lit("left_out_"), "o_orderkey").alias("read_id"))
+    return alignments(spark, sf_dir).select("sample", "read_id").distinct().unionByName(left_out)
+
+
+def chain_alignments(chain: DataFrame) -> DataFrame:
+    """Alignments of the reads that passed trimming; every fourth of them has no row."""
+    passed = chain.where(F.col("reason") == "passed")
+    d = F.regexp_extract("read_id", "^R([0-9]+)_", 1).cast("long")
+    i = F.regexp_extract("read_id", "_([0-9]+)$", 1).cast("long")
+    rows = passed.select("sample", "read_id", d.alias("d"), i.alias("i"), F.length("seq").alias("n"))
+    return rows.where((F.col("d") + F.col("i")) % 4 != 0).select(
+        "sample",
+        "read_id",
+        F.when(F.col("i") % 9 == 2, 4).otherwise(0).alias("flag"),
+        _chrom(F.col("d")).alias("chrom"),
+        (1 + F.col("d") * 7 % 4000).alias("pos"),
+        F.concat(F.col("n").cast("string"), F.lit("M")).alias("cigar"),
+        F.lit(255).alias("mapq"),
+        F.when(F.col("i") % 9 != 2, F.when(F.col("i") % 5 == 1, 3).when(F.col("i") % 7 == 1, 30).otherwise(1)).alias("nh"),
+        F.lit(0).alias("nm"),
     )
 
 

@@ -12,22 +12,23 @@ VIEWS: dict[str, str] = {
     # --- fixtures -------------------------------------------------------------
     "letters": "SELECT doc_id, source, regexp_replace(lower(text), '[^a-z]', '', 'g') AS t FROM documents",
     "runs": """SELECT doc_id, source, i, substr(t, 1 + 51 * i, 51) AS k FROM (
-        SELECT doc_id, source, t, unnest(range(0, (length(t) + 50) // 51)) AS i FROM letters)""",
+        SELECT doc_id, source, t, unnest(range(0, greatest((length(t) + 50) // 51, 1))) AS i FROM letters)""",
     "reads": """SELECT concat('R', doc_id, '_', i) AS read_id, source AS sample,
-        CASE WHEN i % 7 = 3 THEN concat(substr(b, 1, n - 15), repeat('G', 15))
+        CASE WHEN i % 7 = 3 THEN substr(concat(substr(b, 1, greatest(n - 15, 0)), repeat('G', 15)), 1, n)
              WHEN i % 11 = 5 THEN substr(concat(substr(b, 1, 10 + doc_id % 20),
                                   'AGATCGGAAGAGCACACGTCTGAACTCCAGTCA', b), 1, n)
-             WHEN i % 13 = 6 THEN concat('NNNNNN', substr(b, 7))
+             WHEN i % 13 = 6 THEN substr(concat('NNNNNN', substr(b, 7)), 1, n)
              ELSE b END AS seq, q AS qual
         FROM (SELECT doc_id, source, i, length(k) AS n,
                 translate(k, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTNACGTACGTACGTA') AS b,
                 translate(k, 'abcdefghijklmnopqrstuvwxyz', 'IIFFIIFF<<IIFF55II##FFII<<') AS q
-              FROM runs WHERE length(k) >= 35)""",
+              FROM runs)""",
+    "pieces": """SELECT doc_id, p, substr(t, 1 + 512 * p, 512) AS piece FROM (
+        SELECT doc_id, t, unnest(range(0, (length(t) + 511) // 512)) AS p FROM letters)""",
     "contigs": """SELECT CASE WHEN doc_id % 5 = 4 THEN 'chrM' ELSE concat('chr', doc_id % 5 + 1) END AS chrom,
-        CAST(doc_id // 5 AS INTEGER) AS chunk_no, CAST(doc_id // 5 * 512 AS BIGINT) AS "offset",
-        translate(substr(repeat(concat(t, 'acgtn'), 110), 1, 512),
-                  'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTNACGTACGTACGTA') AS seq
-        FROM letters""",
+        CAST(c AS INTEGER) AS chunk_no, CAST(c * 512 AS BIGINT) AS "offset",
+        rpad(translate(piece, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTNACGTACGTACGTA'), 512, 'N') AS seq
+        FROM (SELECT *, p * ((SELECT max(doc_id) FROM documents) // 5 + 1) + doc_id // 5 AS c FROM pieces)""",
     "exons": """SELECT concat('G', lpad(CAST(g AS VARCHAR), 6, '0')) AS gene_id,
         CASE WHEN g % 5 = 4 THEN 'chrM' ELSE concat('chr', g % 5 + 1) END AS chrom,
         CAST(1 + (g // 5) * 400 + x * 120 + p_size AS BIGINT) AS start_pos,
@@ -50,10 +51,13 @@ VIEWS: dict[str, str] = {
              WHEN 5 THEN '25M3D26M' WHEN 6 THEN '10M15N41M' ELSE '51M' END AS cigar,
         CAST(CASE WHEN l_partkey % 10 = 0 THEN (CASE WHEN l_suppkey % 2 = 0 THEN 3 ELSE 0 END)
              WHEN l_quantity < 4 THEN 5 ELSE 255 END AS INTEGER) AS mapq,
-        CAST(CASE WHEN l_partkey % 10 = 0 THEN (CASE WHEN l_suppkey % 2 = 0 THEN 2 ELSE 4 END)
+        CAST(CASE WHEN l_suppkey % 20 = 0 THEN NULL
+             WHEN l_partkey % 10 = 0 THEN (CASE WHEN l_suppkey % 2 = 0 THEN 2 ELSE 24 END)
              ELSE 1 END AS INTEGER) AS nh,
-        CAST(round(l_tax * 100) AS INTEGER) AS nm
+        CAST(CASE WHEN l_suppkey % 20 <> 0 THEN round(l_tax * 100) END AS INTEGER) AS nm
         FROM (SELECT *, l_partkey // 4 AS g FROM lineitem)""",
+    "input_reads": """SELECT DISTINCT sample, read_id FROM alignments
+        UNION ALL SELECT ['A', 'N', 'R'][o_orderkey % 3 + 1], concat('left_out_', o_orderkey) FROM orders""",
     "counts": """SELECT concat('G', lpad(CAST(l_partkey AS VARCHAR), 6, '0')) AS gene_id, l_returnflag AS sample,
         CAST(sum(l_quantity) AS BIGINT) AS "count", CAST(200 + max(p_size) * 40 AS INTEGER) AS length
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
@@ -132,15 +136,15 @@ VIEWS: dict[str, str] = {
         CROSS JOIN (SELECT unnest(range(0, 101)) AS gc) b
         LEFT JOIN (SELECT sample, stage, (200 * g + n) // (2 * n) AS gc, count(*) AS n FROM gc_reads GROUP BY 1, 2, 3) h
         ON h.sample = s.sample AND h.stage = s.stage AND h.gc = b.gc""",
-    "gc_fit": """SELECT sample, stage, 100.0 * sum(abs(n - curve / area * total)) / max(total) AS gc_deviation FROM (
-        SELECT *, sum(curve) OVER (PARTITION BY sample, stage) AS area FROM (
-          SELECT *, exp(-(x - mean) * (x - mean) / (2.0 * greatest(s2 / total - mean * mean, 0.25::DOUBLE))) AS curve FROM (
-            SELECT *, s1 / total AS mean FROM (
-              SELECT sample, stage, gc::DOUBLE AS x, n_reads::DOUBLE AS n,
-                sum(n_reads::DOUBLE) OVER w AS total, sum(n_reads::DOUBLE * gc) OVER w AS s1,
-                sum(n_reads::DOUBLE * gc * gc) OVER w AS s2
-              FROM gc_hist WINDOW w AS (PARTITION BY sample, stage)))))
-        GROUP BY 1, 2""",
+    "gc_top": """SELECT sample, stage, sum(n_reads)::DOUBLE AS total, max(n_reads) AS highest,
+        arg_max(gc, n_reads * 1000 - gc) AS top FROM gc_hist GROUP BY 1, 2""",
+    "gc_peak": """SELECT sample, stage, any_value(total) AS total, any_value(highest) AS highest,
+        coalesce((min(gc) FILTER (gc > top AND n_reads <= 0.9::DOUBLE * highest) + max(gc) FILTER (gc < top AND n_reads <= 0.9::DOUBLE * highest)) / 2.0,
+          any_value(top))::DOUBLE AS peak FROM gc_hist JOIN gc_top USING (sample, stage) GROUP BY 1, 2""",
+    "gc_fit": """SELECT sample, stage, 100.0::DOUBLE * sum(abs(n - total * exp(-away / (2.0::DOUBLE * var)) / sqrt(2.0::DOUBLE * pi() * var))) / max(total) AS gc_deviation FROM (
+        SELECT *, greatest(sum(n * away) OVER (PARTITION BY sample, stage) / greatest(total - 1, 1.0::DOUBLE), 0.25::DOUBLE) AS var FROM (
+          SELECT sample, stage, total, n_reads::DOUBLE AS n, (gc - peak) * (gc - peak) AS away
+          FROM gc_hist JOIN gc_peak USING (sample, stage))) GROUP BY 1, 2""",
     "copies": "SELECT sample, stage, substr(seq, 1, 50) AS seq_key, count(*) AS copies FROM staged GROUP BY 1, 2, 3",
     "dup_share": """SELECT sample, stage, 100.0::DOUBLE * count(*)::DOUBLE / sum(copies)::DOUBLE AS dedup_pct,
         100.0::DOUBLE * max(copies)::DOUBLE / sum(copies)::DOUBLE AS max_sequence_pct FROM copies GROUP BY 1, 2""",
@@ -222,7 +226,9 @@ VIEWS: dict[str, str] = {
     "annotated": """SELECT DISTINCT chrom, prev_end + 1 AS i_start, start_pos - 1 AS i_end FROM (
         SELECT *, lag(end_pos) OVER (PARTITION BY gene_id, chrom ORDER BY start_pos, end_pos) AS prev_end
         FROM (SELECT DISTINCT gene_id, chrom, start_pos, end_pos FROM exons)) WHERE start_pos > prev_end + 1""",
-    "sequences": "SELECT chrom, string_agg(seq, '' ORDER BY chunk_no) AS bases FROM contigs GROUP BY 1",
+    "sequences": """SELECT g.chrom, string_agg(coalesce(c.seq, repeat('N', 512)), '' ORDER BY g.chunk_no) AS bases
+        FROM (SELECT chrom, unnest(range(0, max(chunk_no) + 1)) AS chunk_no FROM contigs GROUP BY 1) g
+        LEFT JOIN contigs c ON c.chrom = g.chrom AND c.chunk_no = g.chunk_no GROUP BY 1""",
     "intron_motifs": """SELECT i.*, concat(substr(bases, i_start, 2), substr(bases, i_end - 1, 2)) AS motif
         FROM placed_introns i JOIN sequences USING (chrom)""",
     "intron_strands": """SELECT *, CASE WHEN motif IN ('GTAG', 'GCAG', 'ATAC') THEN '+'
@@ -249,7 +255,8 @@ VIEWS: dict[str, str] = {
     "assigned_matrix": """SELECT l.gene_id, s.sample, count(o.read_id) AS "count", l.length
         FROM lengths l CROSS JOIN samples s LEFT JOIN outcomes o
         ON o.gene_id = l.gene_id AND o.sample = s.sample AND o.status = 'Assigned' GROUP BY 1, 2, 4""",
-    "per_read": "SELECT sample, read_id, max(nh) FILTER (flag & 4 = 0) AS nh FROM alignments GROUP BY 1, 2",
+    "per_read": """SELECT r.sample, r.read_id, max(nh) FILTER (flag & 4 = 0) AS nh FROM input_reads r
+        LEFT JOIN alignments a ON a.sample = r.sample AND a.read_id = r.read_id GROUP BY 1, 2""",
     "rates": """SELECT sample, count(*) AS n_reads, count(*) FILTER (nh = 1) AS n_unique,
         count(*) FILTER (nh BETWEEN 2 AND 20) AS n_multi, count(*) FILTER (nh IS NULL OR nh > 20) AS n_unmapped
         FROM per_read GROUP BY 1""",
@@ -259,12 +266,30 @@ VIEWS: dict[str, str] = {
         count(*) FILTER (strand = gene_strand) AS n1, min(gene_id) FILTER (strand = gene_strand) AS g1,
         count(*) FILTER (strand <> gene_strand) AS n2, min(gene_id) FILTER (strand <> gene_strand) AS g2
         FROM pairs GROUP BY 1, 2, 3, 4""",
-    "star_targets": """SELECT sample, unnest(['unstranded', 'forward', 'reverse']) AS rule,
-        CASE WHEN flag & 4 <> 0 THEN 'N_unmapped' WHEN nh > 1 THEN 'N_multimapping' END AS early,
+    "star_targets": """SELECT sample, unnest(['unstranded', 'forward', 'reverse']) AS rule, 'N_unmapped' AS early, NULL AS late
+        FROM input_reads r WHERE NOT EXISTS (SELECT 1 FROM star_reads s WHERE s.sample = r.sample AND s.read_id = r.read_id AND s.flag & 4 = 0)
+        UNION ALL SELECT sample, unnest(['unstranded', 'forward', 'reverse']) AS rule,
+        CASE WHEN nh > 1 THEN 'N_multimapping' END AS early,
         unnest([CASE WHEN n0 = 1 THEN g0 WHEN n0 > 1 THEN 'N_ambiguous' ELSE 'N_noFeature' END,
                 CASE WHEN n1 = 1 THEN g1 WHEN n1 > 1 THEN 'N_ambiguous' ELSE 'N_noFeature' END,
                 CASE WHEN n2 = 1 THEN g2 WHEN n2 > 1 THEN 'N_ambiguous' ELSE 'N_noFeature' END]) AS late
-        FROM star_reads LEFT JOIN star_hits USING (chrom, pos, cigar, strand)""",
+        FROM star_reads LEFT JOIN star_hits USING (chrom, pos, cigar, strand) WHERE flag & 4 = 0""",
+    "chain_alignments": """SELECT sample, read_id, CASE WHEN i % 9 = 2 THEN 4 ELSE 0 END AS flag,
+        CASE WHEN d % 5 = 4 THEN 'chrM' ELSE concat('chr', d % 5 + 1) END AS chrom, 1 + d * 7 % 4000 AS pos, n,
+        CASE WHEN i % 9 <> 2 THEN (CASE WHEN i % 5 = 1 THEN 3 WHEN i % 7 = 1 THEN 30 ELSE 1 END) END AS nh
+        FROM (SELECT sample, read_id, length(seq) AS n, CAST(regexp_extract(read_id, '^R([0-9]+)_', 1) AS BIGINT) AS d,
+          CAST(regexp_extract(read_id, '_([0-9]+)$', 1) AS BIGINT) AS i FROM chain WHERE reason = 'passed')
+        WHERE (d + i) % 4 <> 0""",
+    "chain_outcomes": """SELECT a.sample, a.read_id, CASE WHEN flag & 4 <> 0 THEN 'Unassigned_Unmapped'
+        WHEN nh > 1 THEN 'Unassigned_MultiMapping' WHEN count(DISTINCT e.gene_id) = 1 THEN 'Assigned'
+        WHEN count(DISTINCT e.gene_id) > 1 THEN 'Unassigned_Ambiguity' ELSE 'Unassigned_NoFeatures' END AS status
+        FROM chain_alignments a LEFT JOIN exons e ON e.chrom = a.chrom AND a.pos <= e.end_pos AND a.pos + n - 1 >= e.start_pos
+        GROUP BY a.sample, a.read_id, flag, nh""",
+    "chain_rates": """SELECT r.sample, count(*) AS n_reads, count(*) FILTER (nh = 1 AND flag = 0) AS n_unique,
+        count(*) FILTER (nh BETWEEN 2 AND 20 AND flag = 0) AS n_multi,
+        count(*) FILTER (flag IS NULL OR flag = 4 OR nh > 20) AS n_unmapped
+        FROM (SELECT sample, read_id FROM chain WHERE reason = 'passed') r
+        LEFT JOIN chain_alignments a ON a.sample = r.sample AND a.read_id = r.read_id GROUP BY 1""",
     "flag_lines": """SELECT sample, unnest(['total', 'primary', 'secondary', 'supplementary', 'duplicates', 'mapped',
           'primary mapped', 'paired in sequencing', 'properly paired', 'singletons']) AS metric,
         unnest([true, flag & 2304 = 0, flag & 256 <> 0, flag & 2048 <> 0 AND flag & 256 = 0, flag & 1024 <> 0,
@@ -285,10 +310,11 @@ VIEWS: dict[str, str] = {
         JOIN (SELECT sample, sum(rpk) / 1000000 AS scale FROM rpk GROUP BY 1) USING (sample)""",
     "mean_tpm": """SELECT gene_id, length, sum(tpm) / (SELECT count(DISTINCT sample) FROM tpm) AS mean_tpm
         FROM tpm GROUP BY 1, 2""",
-    "top_genes": "SELECT * FROM mean_tpm ORDER BY mean_tpm DESC, gene_id LIMIT 20",
-    "plotted": """SELECT gene_id, t.length, t.mean_tpm, coalesce(max(tpm) FILTER (sample = 'A'), 0) AS A,
+    "top_genes": """SELECT *, CAST(row_number() OVER (ORDER BY mean_tpm DESC, gene_id) AS INTEGER) AS rank
+        FROM mean_tpm ORDER BY mean_tpm DESC, gene_id LIMIT 20""",
+    "plotted": """SELECT gene_id, t.length, t.mean_tpm, t.rank, coalesce(max(tpm) FILTER (sample = 'A'), 0) AS A,
         coalesce(max(tpm) FILTER (sample = 'N'), 0) AS N, coalesce(max(tpm) FILTER (sample = 'R'), 0) AS R
-        FROM top_genes t JOIN tpm USING (gene_id) GROUP BY 1, 2, 3""",
+        FROM top_genes t JOIN tpm USING (gene_id) GROUP BY 1, 2, 3, 4""",
 }
 
 

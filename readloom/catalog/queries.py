@@ -50,11 +50,7 @@ def chain(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf: str) -> DataFrame:
-    return workflow.stored_stages(chain(spark, sf))
-
-
-def stored_reads(spark: SparkSession, sf: str) -> DataFrame:
-    return workflow.materialise(fx.reads(spark, sf), "reads")
+    return trim.both_stages(chain(spark, sf))
 
 
 STAGED = ("sample", "stage")
@@ -66,10 +62,19 @@ STAGED = ("sample", "stage")
 @query("fastq_round_trip", "S1 S16", "SELECT sample, read_id, seq, qual FROM reads")
 def _(spark, sf):
     path = scratch_dir(spark, "fastq")
-    fastq.write_fastq(fx.reads(spark, sf).withColumn("read_id", F.concat_ws("|", "read_id", "sample")), path)
-    back = fastq.read_fastq(spark, path)
-    ids = F.split("read_id", r"\|")
-    return back.select(F.get(ids, F.lit(1)).alias("sample"), F.get(ids, F.lit(0)).alias("read_id"), "seq", "qual")
+    fastq.write_fastq(fx.reads(spark, sf), path, by_sample=True)
+    return fastq.read_fastq(spark, path)
+
+
+@query(
+    "file_manifest",
+    "S13 S16",
+    """SELECT sample, CAST(sum(strlen(read_id) + 2 * strlen(seq) + 6) AS BIGINT) AS bytes FROM reads GROUP BY 1""",
+)
+def _(spark, sf):
+    path = scratch_dir(spark, "manifest")
+    fastq.write_fastq(fx.reads(spark, sf), path, compression="none", by_sample=True)
+    return reports.read_manifest(spark, path).groupBy("sample").agg(F.sum("length").alias("bytes"))
 
 
 @query(
@@ -105,7 +110,12 @@ def _(spark, sf):
     return text_tables.read_fasta(spark, path, chunk=1000)
 
 
-@query("sam_alignments", "S4", "SELECT read_id, flag, chrom, pos, mapq, cigar, nh, nm FROM alignments")
+@query(
+    "sam_alignments",
+    "S4",
+    """SELECT sample, read_id, flag, chrom, pos, mapq, cigar, nh, nm,
+    array_to_string([x for x in ['NH=' || nh, 'NM=' || nm, 'XS=A'] if x IS NOT NULL], ',') AS tags FROM alignments""",
+)
 def _(spark, sf):
     path = scratch_dir(spark, "sam")
     c = F.col
@@ -120,36 +130,61 @@ def _(spark, sf):
         F.lit("*\t0\t0\t*\t*"),
         F.concat(F.lit("NH:i:"), c("nh")),
         F.concat(F.lit("NM:i:"), c("nm")),
+        F.lit("XS:Z:A"),
+    )
+    rows = fx.alignments(spark, sf).select("sample", line.alias("value"))
+    header = rows.select("sample").distinct().select("sample", F.lit("@SQ\tSN:chr1\tLN:1000").alias("value"))
+    rows.unionByName(header).write.partitionBy("sample").text(path)
+    tags = F.transform(F.array_sort(F.map_entries("tags")), lambda x: F.concat(x["key"], F.lit("="), x["value"]))
+    return text_tables.read_sam(spark, path).select(
+        "sample", "read_id", "flag", "chrom", "pos", "mapq", "cigar", "nh", "nm", F.array_join(tags, ",").alias("tags")
     )
-    header = spark.range(1).select(F.lit("@SQ\tSN:chr1\tLN:1000").alias("value"))
-    fx.alignments(spark, sf).select(line.alias("value")).unionByName(header).write.text(path)
-    return text_tables.read_sam(spark, path).select("read_id", "flag", "chrom", "pos", "mapq", "cigar", "nh", "nm")
 
 
-@query("sam_dictionary", "S4", "SELECT chrom, CAST(length AS BIGINT) AS length FROM dictionary")
+@query(
+    "sam_dictionary",
+    "S4",
+    """SELECT chrom, CAST(length AS BIGINT) AS length,
+    row_number() OVER (ORDER BY CASE WHEN chrom = 'chrM' THEN 5 ELSE CAST(substr(chrom, 4) AS INTEGER) END) - 1 AS ordinal
+    FROM dictionary""",
+)
 def _(spark, sf):
     path = scratch_dir(spark, "dictionary")
     line = F.concat(F.lit("@SQ\tSN:"), "chrom", F.lit("\tLN:"), F.col("length").cast("string"))
-    fx.dictionary(spark, sf).select(line.alias("value")).write.text(path)
-    return text_tables.read_sam_dictionary(spark, path).select("chrom", "length")
+    read = F.lit("r1\t4\t*\t0\t0\t*\t*\t0\t0\tA\tI\n@SQ\tSN:late\tLN:1")
+    lines = fx.dictionary(spark, sf).orderBy("ordinal").select(line.alias("value"))
+    lines.coalesce(1).unionByName(spark.range(1).select(read.alias("value"))).coalesce(1).write.text(path)
+    return text_tables.read_sam_dictionary(spark, path)
 
 
-@query("count_matrix_text", "S5 S15", 'SELECT gene_id, sample, length, "count" FROM counts')
+# Ending of the alignment files by which count tables name their columns.
+def bam_paths(samples: list[str]) -> dict[str, str]:
+    return {s: f"/x/{s}/{s}_Aligned.sortedByCoord.out.bam" for s in samples}
+
+
+@query(
+    "count_matrix_text",
+    "S5 S15",
+    """SELECT g.gene_id, s.sample, g.length, coalesce(c."count", 0) / 4.0::DOUBLE AS "count"
+    FROM (SELECT DISTINCT gene_id, length FROM counts) g CROSS JOIN (SELECT DISTINCT sample FROM counts) s
+    LEFT JOIN counts c ON c.gene_id = g.gene_id AND c.sample = s.sample""",
+)
 def _(spark, sf):
-    path = scratch_dir(spark, "matrix")
-    paths = {s: f"/x/{s}/{s}_Aligned.sortedByCoord.out.bam" for s in fx.SAMPLES}
-    wide = expression.wide(fx.counts(spark, sf), "count", fx.SAMPLES, fill=False)
-    wide = wide.withColumnsRenamed({"gene_id": "Geneid", "length": "Length", **paths})
+    # Fractional counts; genes that a sample lacks are written as empty cells and come back as 0.
+    path, samples = scratch_dir(spark, "matrix"), fx.samples(spark, sf)
+    quarters = fx.counts(spark, sf).withColumn("count", F.col("count") / 4.0)
+    wide = expression.wide(quarters, "count", samples, fill=False)
+    wide = wide.withColumnsRenamed({"gene_id": "Geneid", "length": "Length", **bam_paths(samples)})
     text_tables.write_matrix_tsv(wide, path)
-    long = text_tables.read_count_matrix(spark, path)
-    # Genes that a sample lacks were written as empty cells and come back as 0.
-    return expression.rename_by_sample(long, fx.SAMPLES).where(F.col("count") > 0)
+    return expression.rename_by_sample(text_tables.read_count_matrix(spark, path), samples)
 
 
 @query(
     "qc_report_cells",
     "S6",
-    """SELECT sample, 'Sequence Length Distribution' AS module, 'warn' AS status, CAST(row_no AS INTEGER) AS row_no, metric, value FROM (
+    """SELECT DISTINCT sample, 'Kmer Content' AS module, 'pass' AS status, NULL::INTEGER AS row_no, NULL AS metric, NULL AS value
+    FROM reads UNION ALL
+    SELECT sample, 'Sequence Length Distribution' AS module, 'warn' AS status, CAST(row_no AS INTEGER) AS row_no, metric, value FROM (
       SELECT sample, row_no, unnest(['Length', 'Count']) AS metric,
         unnest([CAST(length AS VARCHAR), concat(n, '.0')]) AS value FROM (
         SELECT sample, length(seq) AS length, count(*) AS n,
@@ -161,14 +196,17 @@ def _(spark, sf):
     line = F.concat(F.col("length").cast("string"), F.lit("\t"), F.col("n_reads").cast("string"), F.lit(".0"))
     lines = F.array_sort(F.collect_list(F.struct("length", line.alias("line"))))["line"]
     head = "##Report\t1\n>>Sequence Length Distribution\twarn\n#Reads\tall\n#Length\tCount\n"
-    text = F.concat(F.lit(head), F.array_join(lines, "\n"), F.lit("\n>>END_MODULE\n"))
-    return reports.parse_qc_report(rows.groupBy("sample").agg(text.alias("value")))
+    tail = "\n>>END_MODULE\n>>Kmer Content\tpass\n>>END_MODULE"
+    text = F.concat(F.lit(head), F.array_join(lines, "\n"), F.lit(tail))
+    path, report_folder = scratch_dir(spark, "qc"), F.concat("sample", F.lit(".sra_fastqc")).alias("report")
+    rows.groupBy(report_folder).agg(text.alias("value")).write.partitionBy("report").text(path)
+    return reports.read_qc_report(spark, path)
 
 
 @query("qc_status_rows", "S7", "SELECT sample, module, status FROM qc_status WHERE stage = 'raw'")
 def _(spark, sf):
     path = scratch_dir(spark, "status")
-    rows = reads_qc.verdicts(reads_qc.qc_measures(stored_reads(spark, sf)))
+    rows = reads_qc.verdicts(reads_qc.qc_measures(fx.reads(spark, sf)))
     rows.select("status", "module", F.concat("sample", F.lit(".sra.fastq"))).write.option("sep", "\t").csv(path)
     return reports.read_qc_status(spark, path)
 
@@ -181,8 +219,8 @@ def _(spark, sf):
         unnest([n_unique, n_multi, n_unmapped]) AS n FROM rates)""",
 )
 def _(spark, sf):
-    a = fx.alignments(spark, sf)
-    rates = align.alignment_rates(a.select("sample", "read_id").distinct(), a)
+    rates = align.alignment_rates(fx.input_reads(spark, sf), fx.alignments(spark, sf))
+    # Labels of the log's lines.
     labels = {
         "Number of input reads": "n_reads",
         "Uniquely mapped reads %": "n_unique",
@@ -190,28 +228,57 @@ def _(spark, sf):
         "% of reads unmapped: too short": "n_unmapped",
     }
     lines = [F.concat(F.lit(f"     {k} |\t"), F.col(v).cast("string"), F.lit("%")) for k, v in labels.items()]
-    return reports.parse_align_log(rates.select("sample", F.explode(F.array(*lines)).alias("value")))
+    path = scratch_dir(spark, "log")
+    rates.select("sample", F.explode(F.array(*lines)).alias("value")).write.partitionBy("sample").text(path)
+    return reports.read_align_log(spark, path)
 
 
-@query("flagstat_text", "S9", "SELECT sample, metric AS label, passed, failed FROM flag_counts")
+@query(
+    "flagstat_text",
+    "S9",
+    """SELECT sample, unnest([metric, metric || ' (mapQ>=5)']) AS label, unnest([passed, failed]) AS passed,
+    unnest([failed, passed]) AS failed FROM flag_counts""",
+)
 def _(spark, sf):
+    path = scratch_dir(spark, "flagstat")
     rows = align.flagstat(fx.alignments(spark, sf))
-    line = F.concat("passed", F.lit(" + "), "failed", F.lit(" "), "metric", F.lit(" (1.00% : N/A)"))
-    return reports.parse_flagstat(rows.select("sample", line.alias("value")))
+
+    def line(first: str, second: str, end: str):
+        return F.concat(first, F.lit(" + "), second, F.lit(" "), "metric", F.lit(end))
+
+    lines = F.array(line("passed", "failed", " (1.00% : N/A)"), line("failed", "passed", " (mapQ>=5)"))
+    rows.select("sample", F.explode(lines).alias("value")).write.partitionBy("sample").text(path)
+    return reports.read_flagstat(spark, path)
 
 
 @query(
     "idxstats_text",
     "S9",
-    """SELECT chrom, CAST(length AS BIGINT) AS length, CAST(sum(mapped) AS BIGINT) AS mapped, CAST(sum(unmapped) AS BIGINT) AS unmapped
-    FROM contig_counts GROUP BY 1, 2""",
+    "SELECT sample, chrom, CAST(length AS BIGINT) AS length, mapped, unmapped FROM contig_counts",
 )
 def _(spark, sf):
     path = scratch_dir(spark, "idxstats")
-    together = fx.alignments(spark, sf).withColumn("sample", F.lit("all"))
-    rows = align.idxstats(together, fx.dictionary(spark, sf))
-    rows.select("chrom", "length", "mapped", "unmapped").write.option("sep", "\t").csv(path)
-    return reports.read_idxstats(spark, path).drop("sample")
+    rows = align.idxstats(fx.alignments(spark, sf), fx.dictionary(spark, sf))
+    rows.select("sample", "chrom", "length", "mapped", "unmapped").write.partitionBy("sample").option("sep", "\t").csv(path)
+    return reports.read_idxstats(spark, path)
+
+
+@query(
+    "count_summary_text",
+    "S5 E3",
+    """SELECT s.sample, x.status, count(o.read_id) AS n FROM samples s CROSS JOIN (SELECT unnest(['Assigned', 'Unassigned_Unmapped',
+      'Unassigned_MappingQuality', 'Unassigned_MultiMapping', 'Unassigned_NoFeatures', 'Unassigned_Ambiguity']) AS status) x
+    LEFT JOIN outcomes o ON o.sample = s.sample AND o.status = x.status GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    path, samples = scratch_dir(spark, "summary"), fx.samples(spark, sf)
+    summary = overlap.assignment_summary(
+        overlap.assigned_counts(fx.alignments(spark, sf), fx.exons(spark, sf), width=fx.BIN)
+    )
+    wide = expression.wide(summary, "n", samples, ("status",))
+    wide = wide.withColumnsRenamed({"status": "Status", **bam_paths(samples)})
+    text_tables.write_matrix_tsv(wide, path)
+    return expression.rename_by_sample(reports.read_count_summary(spark, path), samples)
 
 
 @query(
@@ -229,9 +296,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_dir(spark, "trim")
-    workflow.trim_report(chain(spark, sf)).write.json(path)
-    rows = spark.read.schema(f"sample string, {reports.TRIM_SCHEMA}").json(path)
-    return rounded(reports.flatten_trim_report(rows), "before_gc_content", "after_gc_content")
+    workflow.trim_report(chain(spark, sf)).write.partitionBy("sample").json(path)
+    return rounded(reports.read_trim_json(spark, path), "before_gc_content", "after_gc_content")
 
 
 @query(
@@ -260,9 +326,9 @@ def _(spark, sf):
     return manifest.too_small(fx.listing(spark, sf), 1000)
 
 
-@query("size_gate", "S13", "SELECT * FROM listing WHERE length >= 1")
+@query("size_gate", "S13", "SELECT *, length >= 1000 AS passed FROM listing")
 def _(spark, sf):
-    return manifest.size_gate(fx.listing(spark, sf).where(F.col("length") > 0), 1)
+    return manifest.size_verdicts(fx.listing(spark, sf), 1000)
 
 
 @query(
@@ -280,7 +346,7 @@ def _(spark, sf):
     "SELECT count(DISTINCT gene_id) AS n_genes, CAST(3 AS BIGINT) AS n_samples, 'A,N,R' AS sample_columns FROM counts",
 )
 def _(spark, sf):
-    return expression.shape_report(expression.counts_only(fx.counts(spark, sf), fx.SAMPLES))
+    return expression.shape_report(expression.counts_only(fx.counts(spark, sf), fx.samples(spark, sf)))
 
 
 # --- projections, filters ---------------------------------------------------------
@@ -340,7 +406,7 @@ def _(spark, sf):
 
 @query("sample_names", "P8", 'SELECT gene_id, sample, length, "count" FROM counts')
 def _(spark, sf):
-    return expression.rename_by_sample(fx.long_counts(spark, sf), fx.SAMPLES)
+    return expression.rename_by_sample(fx.long_counts(spark, sf), fx.samples(spark, sf))
 
 
 @query(
@@ -350,9 +416,9 @@ def _(spark, sf):
     coalesce(max("count") FILTER (sample = 'N'), 0) AS N, coalesce(max("count") FILTER (sample = 'R'), 0) AS R FROM counts GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    wide = expression.counts_only(fx.counts(spark, sf), fx.SAMPLES)
-    paths = {s: f"/x/{s}/{s}_Aligned.sortedByCoord.out.bam" for s in fx.SAMPLES}
-    return expression.rename_columns_by_sample(wide.withColumnsRenamed(paths), fx.SAMPLES)
+    samples = fx.samples(spark, sf)
+    wide = expression.counts_only(fx.counts(spark, sf), samples)
+    return expression.rename_columns_by_sample(wide.withColumnsRenamed(bam_paths(samples)), samples)
 
 
 @query("selected_samples", "P9", "SELECT * FROM counts WHERE sample IN ('N', 'R')")
@@ -363,11 +429,12 @@ def _(spark, sf):
 @query(
     "required_columns",
     "P10",
-    """SELECT gene_id AS Geneid, length AS Length, coalesce(max("count") FILTER (sample = 'A'), 0) AS A FROM counts GROUP BY 1, 2""",
+    """SELECT gene_id AS Geneid, length AS Length, coalesce(max("count") FILTER (sample = 'A'), 0) AS A,
+    coalesce(max("count") FILTER (sample = 'N'), 0) AS N, coalesce(max("count") FILTER (sample = 'R'), 0) AS R FROM counts GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    wide = expression.counts_only(fx.counts(spark, sf), fx.SAMPLES)
-    return expression.require_columns(wide, ["Geneid", "Length"]).select("Geneid", "Length", "A")
+    wide = expression.counts_only(fx.counts(spark, sf), fx.samples(spark, sf))
+    return expression.require_columns(wide, ["Geneid", "Length"])
 
 
 @query(
@@ -378,7 +445,7 @@ def _(spark, sf):
     FROM counts GROUP BY gene_id, length""",
 )
 def _(spark, sf):
-    return expression.drop_metadata(expression.counts_only(fx.counts(spark, sf), fx.SAMPLES))
+    return expression.drop_metadata(expression.counts_only(fx.counts(spark, sf), fx.samples(spark, sf)))
 
 
 @query(
@@ -725,7 +792,14 @@ def _(spark, sf):
     return align.overhang_filter(fx.alignments(spark, sf), known, novel=12)
 
 
-@query("multimap_cap", "A7", "SELECT * FROM alignments WHERE nh <= 20")
+@query(
+    "multimap_cap",
+    "A7",
+    """SELECT * EXCLUDE (over) REPLACE (CASE WHEN over THEN flag | 4 ELSE flag END AS flag, CASE WHEN NOT over THEN chrom END AS chrom,
+      CASE WHEN NOT over THEN pos END AS pos, CASE WHEN over THEN '*' ELSE cigar END AS cigar,
+      CASE WHEN over THEN 0 ELSE mapq END AS mapq)
+    FROM (SELECT *, coalesce(nh > 20, false) AND flag & 4 = 0 AS over FROM alignments)""",
+)
 def _(spark, sf):
     return align.multimap_cap(fx.alignments(spark, sf))
 
@@ -733,7 +807,7 @@ def _(spark, sf):
 @query(
     "mismatch_filter",
     "A8",
-    "SELECT a.* FROM alignments a JOIN cigar_sizes USING (cigar) WHERE nm <= 999 AND nm * 100 <= query_len * 4",
+    "SELECT a.* FROM alignments a JOIN cigar_sizes USING (cigar) WHERE nm IS NULL OR nm <= 999 AND nm * 100 <= query_len * 4",
 )
 def _(spark, sf):
     return align.mismatch_filter(fx.alignments(spark, sf))
@@ -801,8 +875,7 @@ RATES_SQL = """SELECT sample, n_reads, n_unique, n_multi, n_unmapped, round(100.
 
 @query("alignment_rates", "A15", RATES_SQL)
 def _(spark, sf):
-    a = fx.alignments(spark, sf)
-    rates = align.alignment_rates(a.select("sample", "read_id").distinct(), a)
+    rates = align.alignment_rates(fx.input_reads(spark, sf), fx.alignments(spark, sf))
     return rounded(rates, "pct_unique", "pct_multi", "pct_unmapped")
 
 
@@ -816,8 +889,9 @@ def _(spark, sf):
     LEFT JOIN star_targets t ON t.sample = s.sample AND coalesce(t.early, t.late) = g.gene_id GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    a = fx.alignments(spark, sf)
-    return overlap.gene_counts_by_strand(a, fx.exons(spark, sf), a.select("sample"), fx.BIN)
+    return overlap.gene_counts_by_strand(
+        fx.input_reads(spark, sf), fx.alignments(spark, sf), fx.exons(spark, sf), fx.BIN
+    )
 
 
 # --- quantification ---------------------------------------------------------------
@@ -850,9 +924,9 @@ def _(spark, sf):
     LEFT JOIN outcomes o ON o.sample = s.sample AND o.status = x.status GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    a = fx.alignments(spark, sf)
-    counted = overlap.assigned_counts(a, fx.exons(spark, sf), width=fx.BIN)
-    return overlap.assignment_summary(counted, a.select("sample"))
+    return overlap.assignment_summary(
+        overlap.assigned_counts(fx.alignments(spark, sf), fx.exons(spark, sf), width=fx.BIN)
+    )
 
 
 @query("gene_length", "E4", "SELECT gene_id, length FROM lengths")
@@ -872,7 +946,7 @@ def _(spark, sf):
     coalesce(max("count") FILTER (sample = 'N'), 0) AS N, coalesce(max("count") FILTER (sample = 'R'), 0) AS R FROM counts GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    return expression.counts_only(fx.counts(spark, sf), fx.SAMPLES)
+    return expression.counts_only(fx.counts(spark, sf), fx.samples(spark, sf))
 
 
 @query(
@@ -883,7 +957,8 @@ def _(spark, sf):
     LEFT JOIN counts c ON c.gene_id = g.gene_id AND c.sample = s.sample""",
 )
 def _(spark, sf):
-    return expression.unpivot_matrix(expression.counts_only(fx.counts(spark, sf), fx.SAMPLES), fx.SAMPLES)
+    samples = fx.samples(spark, sf)
+    return expression.unpivot_matrix(expression.counts_only(fx.counts(spark, sf), samples), samples)
 
 
 @query("library_size", "E8", "SELECT sample, library_size FROM sizes")
@@ -917,12 +992,12 @@ def _(spark, sf):
 
 @query("mean_tpm", "E12", "SELECT gene_id, length, round(mean_tpm, 6) AS mean_tpm FROM mean_tpm")
 def _(spark, sf):
-    return rounded(expression.mean_tpm(expression.tpm(fx.counts(spark, sf))), "mean_tpm")
+    return rounded(expression.mean_tpm(expression.tpm(fx.counts(spark, sf), with_samples=True)), "mean_tpm")
 
 
-@query("tpm_top20", "E13", "SELECT gene_id, length, round(mean_tpm, 6) AS mean_tpm FROM top_genes")
+@query("tpm_top20", "E13", "SELECT gene_id, length, round(mean_tpm, 6) AS mean_tpm, rank FROM top_genes")
 def _(spark, sf):
-    return rounded(expression.top_genes(expression.tpm(fx.counts(spark, sf)), n_samples=len(fx.SAMPLES)), "mean_tpm")
+    return rounded(expression.top_genes(expression.tpm(fx.counts(spark, sf), with_samples=True)), "mean_tpm")
 
 
 @query(
@@ -931,29 +1006,76 @@ def _(spark, sf):
     "SELECT gene_id, round(log2(A + 1), 6) AS A, round(log2(N + 1), 6) AS N, round(log2(R + 1), 6) AS R FROM plotted",
 )
 def _(spark, sf):
-    return rounded(expression.log2_matrix(expression.tpm(fx.counts(spark, sf)), fx.SAMPLES), *fx.SAMPLES)
+    samples = fx.samples(spark, sf)
+    return rounded(expression.log2_matrix(expression.tpm(fx.counts(spark, sf)), samples), *samples)
 
 
 @query(
     "plot_table",
     "E15",
-    """SELECT gene_id, length, round(mean_tpm, 6) AS mean_tpm, round(A, 6) AS A, round(N, 6) AS N, round(R, 6) AS R FROM plotted""",
+    """SELECT gene_id, length, round(mean_tpm, 6) AS mean_tpm, rank, round(A, 6) AS A, round(N, 6) AS N, round(R, 6) AS R FROM plotted""",
 )
 def _(spark, sf):
-    return rounded(expression.plot_table(expression.tpm(fx.counts(spark, sf)), fx.SAMPLES), "mean_tpm", *fx.SAMPLES)
+    samples = fx.samples(spark, sf)
+    return rounded(expression.plot_table(expression.tpm(fx.counts(spark, sf)), samples), "mean_tpm", *samples)
+
+
+WIDE_SQL = """SELECT gene_id AS Geneid, length AS Length, round(coalesce(max({0}) FILTER (sample = 'A'), 0), 6) AS A,
+    round(coalesce(max({0}) FILTER (sample = 'N'), 0), 6) AS N, round(coalesce(max({0}) FILTER (sample = 'R'), 0), 6) AS R
+    FROM {1} GROUP BY 1, 2"""
+
+
+def written_table(spark, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a tab-separated table and read again."""
+    path = scratch_dir(spark, name)
+    text_tables.write_matrix_tsv(df, path)
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in df.dtypes)
+    return text_tables.read_matrix_tsv(spark, path, schema)
+
+
+@query(
+    "cpm_table",
+    "E9 S15",
+    WIDE_SQL.format("cpm", """(SELECT *, CAST("count" AS DOUBLE) / library_size::DOUBLE * 1000000 AS cpm
+      FROM counts JOIN sizes USING (sample))"""),
+)
+def _(spark, sf):
+    samples = fx.samples(spark, sf)
+    wide = expression.wide_table(expression.cpm(fx.counts(spark, sf)), "cpm", samples)
+    return written_table(spark, rounded(wide, *samples), "cpm")
+
+
+@query("tpm_table", "E11 S15", WIDE_SQL.format("tpm", "tpm"))
+def _(spark, sf):
+    samples = fx.samples(spark, sf)
+    wide = expression.wide_table(expression.tpm(fx.counts(spark, sf)), "tpm", samples)
+    return written_table(spark, rounded(wide, *samples), "tpm")
+
+
+@query(
+    "top20_table",
+    "E13 E15 S15",
+    """SELECT gene_id AS Geneid, length AS Length, round(A, 6) AS A, round(N, 6) AS N, round(R, 6) AS R,
+    round(mean_tpm, 6) AS "mean_TPM", rank FROM plotted""",
+)
+def _(spark, sf):
+    samples = fx.samples(spark, sf)
+    top = expression.top_table(expression.tpm(fx.counts(spark, sf)), samples)
+    return written_table(spark, rounded(top, "mean_TPM", *samples), "top20")
 
 
 @query(
     "expression_from_alignments",
     "E1-E5 E11-E13",
-    """SELECT gene_id, length, round(sum(x) / 3, 6) AS mean_tpm FROM (
+    """SELECT gene_id, length, round(sum(x) / 3, 6) AS mean_tpm,
+      CAST(row_number() OVER (ORDER BY sum(x) / 3 DESC, gene_id) AS INTEGER) AS rank FROM (
       SELECT gene_id, length, r / (sum(r) OVER (PARTITION BY sample) / 1000000) AS x FROM (
         SELECT *, CAST("count" AS DOUBLE) / (CAST(length AS DOUBLE) / 1000.0::DOUBLE) AS r FROM assigned_matrix))
     GROUP BY 1, 2 ORDER BY sum(x) / 3 DESC, gene_id LIMIT 20""",
 )
 def _(spark, sf):
     matrix = workflow.quantify(fx.alignments(spark, sf), fx.exons(spark, sf), width=fx.BIN)
-    return rounded(expression.top_genes(expression.tpm(matrix), n_samples=len(fx.SAMPLES)), "mean_tpm")
+    return rounded(expression.top_genes(expression.tpm(matrix, with_samples=True)), "mean_tpm")
 
 
 # --- reports ----------------------------------------------------------------------
@@ -971,31 +1093,22 @@ def _(spark, sf):
       FROM totals GROUP BY 1) r
     FULL JOIN (SELECT sample, 100.0::DOUBLE * n_unique::DOUBLE / n_reads::DOUBLE AS pct_unique,
         100.0::DOUBLE * n_multi::DOUBLE / n_reads::DOUBLE AS pct_multi, 100.0::DOUBLE * n_unmapped::DOUBLE / n_reads::DOUBLE AS pct_unmapped
-      FROM (SELECT * REPLACE (CASE sample WHEN 'A' THEN 'src0' WHEN 'N' THEN 'src1' ELSE 'other' END AS sample) FROM rates)) a ON a.sample = r.sample
+      FROM chain_rates) a ON a.sample = r.sample
     FULL JOIN (SELECT sample, 100.0::DOUBLE * (count(*) FILTER (status = 'Assigned'))::DOUBLE / count(*)::DOUBLE AS assigned_pct
-      FROM (SELECT * REPLACE (CASE sample WHEN 'A' THEN 'src0' WHEN 'N' THEN 'src1' ELSE 'other' END AS sample) FROM outcomes) GROUP BY 1) e
+      FROM chain_outcomes GROUP BY 1) e
       ON e.sample = coalesce(r.sample, a.sample)""",
 )
 def _(spark, sf):
-    # Two alignment samples share a name with a read sample, the third has no reads.
-    name = F.when(F.col("sample") == "A", "src0").when(F.col("sample") == "N", "src1").otherwise("other")
-    a = fx.alignments(spark, sf).withColumn("sample", name)
-    stats = workflow.general_stats(chain(spark, sf), a, fx.exons(spark, sf), fx.BIN)
+    trimmed = chain(spark, sf)
+    stats = workflow.general_stats(trimmed, fx.chain_alignments(trimmed), fx.exons(spark, sf), fx.BIN)
     return rounded(stats, "pass_pct", "pct_unique", "pct_multi", "pct_unmapped", "assigned_pct")
 
 
-SOURCES = [f"src{i}" for i in range(20)]
-
-
-@query(
-    "status_matrix",
-    "R2",
-    "SELECT module, "
-    + ", ".join(f"max(status) FILTER (sample = '{s}') AS {s}" for s in SOURCES)
-    + " FROM qc_status WHERE stage = 'raw' GROUP BY 1",
-)
+@query("status_matrix", "R2", "SELECT module, sample, status FROM qc_status WHERE stage = 'raw'")
 def _(spark, sf):
-    return report.status_matrix(reads_qc.verdicts(reads_qc.qc_measures(stored_reads(spark, sf))), SOURCES)
+    # One column per sample found in the data; back in long form for the comparison.
+    grid = report.status_matrix(reads_qc.verdicts(reads_qc.qc_measures(fx.reads(spark, sf))))
+    return grid.unpivot(["module"], [c for c in grid.columns if c != "module"], "sample", "status")
 
 
 @query(
@@ -1004,9 +1117,8 @@ def _(spark, sf):
     "SELECT sample, stage, CAST(length(seq) AS INTEGER) AS length, count(*) AS n_reads FROM staged GROUP BY 1, 2, 3",
 )
 def _(spark, sf):
-    c = chain(spark, sf)
-    raw = reads_qc.length_distribution(fx.reads(spark, sf))
-    return report.stage_union({"raw": raw, "trimmed": reads_qc.length_distribution(trim.trimmed_reads(c))})
+    both = reads_qc.length_distribution(trim.both_stages(chain(spark, sf)), STAGED)
+    return report.stage_union({None: both})
 
 
 @query(
@@ -1026,7 +1138,7 @@ def _(spark, sf):
       unnest([round(log2(A + 1), 6), round(log2(N + 1), 6), round(log2(R + 1), 6)]) AS value FROM plotted""",
 )
 def _(spark, sf):
-    return rounded(expression.heatmap_cells(expression.tpm(fx.counts(spark, sf)), fx.SAMPLES), "value")
+    return rounded(expression.heatmap_cells(expression.tpm(fx.counts(spark, sf)), fx.samples(spark, sf)), "value")
 
 
 @query(

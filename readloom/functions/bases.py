@@ -36,10 +36,6 @@ def phred(qual: str | Column) -> Column:
     return F.transform(F.split(col(qual), ""), lambda c: F.ascii(c) - PHRED_OFFSET)
 
 
-def phred_of_char(char: str | Column) -> Column:
-    return F.ascii(col(char)) - PHRED_OFFSET
-
-
 def count_of(text: str | Column, chars: str) -> Column:
     """How many characters of ``text`` are one of ``chars``."""
     c = col(text)
@@ -71,16 +67,6 @@ def bases_at_least(qual: str | Column, quality: int) -> Column:
     return F.length(col(qual)) - bases_below(qual, quality)
 
 
-def phred_sum(qual: str | Column) -> Column:
-    return F.aggregate(phred(qual), F.lit(0), lambda acc, q: acc + q)
-
-
-def mean_phred_floor(qual: str | Column) -> Column:
-    """Mean Phred score of a read, rounded down; null for an empty read."""
-    c = col(qual)
-    return F.when(F.length(c) > 0, int_div(phred_sum(c), F.length(c)).cast("int"))
-
-
 def int_div(a: Column, b: Column | int) -> Column:
     """Integer division of non-negative columns; null when ``b`` is 0."""
     b = F.lit(b) if isinstance(b, int) else b

@@ -46,8 +46,10 @@ def dense(
 def with_samples(df: DataFrame, samples: DataFrame) -> DataFrame:
     """Repeat every row of ``df`` for each name in ``samples.sample``.
 
-    The names come in as a scalar subquery (one array of sample names, as long as the
-    manifest), so no join is planned and nothing runs on the driver.
+    The names come in as a scalar subquery: one array of sample names, as long as the
+    manifest, which passes through one task and the driver. All columns of ``samples`` are
+    kept alive, so that a table used elsewhere in the plan as well is computed once.
     """
-    names = samples.agg(F.array_sort(F.collect_set("sample")).alias("names")).scalar()
+    whole = F.when(F.hash(*samples.columns).isNotNull(), F.col("sample"))
+    names = samples.agg(F.array_sort(F.collect_set(whole)).alias("names")).scalar()
     return df.withColumn("sample", F.explode(names))

@@ -157,27 +157,40 @@ def overhang_filter(alignments: DataFrame, annotated: DataFrame, novel: int = 8,
 def drop_placements(alignments: DataFrame, bad: DataFrame) -> DataFrame:
     """Rows of ``alignments`` placed like none of the rows of ``bad``.
 
-    Rows that are unmapped or not spliced cannot be in ``bad`` and skip the join.
+    Rows that are unmapped or not spliced cannot be in ``bad`` and skip the join: a second
+    scan of columns costs less than a shuffle of all rows. The distinct placements are dealt
+    out anew before the join, so that both of its sides are shuffled for it and adaptive
+    execution splits a placement that very many reads share.
     """
-    could_be = is_mapped() & F.contains("cigar", F.lit("N"))
-    checked = alignments.where(could_be).join(bad.select(*PLACEMENT).distinct(), PLACEMENT, "left_anti")
+    could_be = F.coalesce(is_mapped() & F.contains("cigar", F.lit("N")), F.lit(False))
+    distinct = bad.select(*PLACEMENT).distinct().hint("rebalance")
+    checked = alignments.where(could_be).join(distinct, PLACEMENT, "left_anti")
     return alignments.where(~could_be).unionByName(checked)
 
 
 def multimap_cap(alignments: DataFrame, maximum: int = 20) -> DataFrame:
-    """Reads with more than ``maximum`` hits count as unmapped and are dropped."""
-    return alignments.where(F.col("nh") <= maximum)
+    """Rows of reads with more than ``maximum`` hits become unmapped: flag set, place and
+    CIGAR taken away. Rows without the tag stay as they are."""
+    over = F.coalesce(F.col("nh") > maximum, F.lit(False)) & is_mapped()
+    emptied = {c: F.when(~over, F.col(c)) for c in ("chrom", "pos")}
+    return alignments.withColumns(
+        {
+            "flag": F.when(over, F.col("flag").bitwiseOR(F.lit(UNMAPPED))).otherwise(F.col("flag")),
+            **emptied,
+            "cigar": F.when(over, F.lit("*")).otherwise(F.col("cigar")),
+            "mapq": F.when(over, F.lit(0)).otherwise(F.col("mapq")),
+        }
+    )
 
 
 def mismatch_filter(alignments: DataFrame, maximum: int = 999, percent_of_read: int = 4) -> DataFrame:
     """Keep NM <= ``maximum`` and NM <= ``percent_of_read`` % of the read length.
 
     NM also counts inserted and deleted bases; an aligner's own ratio is over
-    mismatches only.
+    mismatches only. Rows without the tag stay, unmapped ones among them.
     """
-    return alignments.where(
-        (F.col("nm") <= maximum) & (F.col("nm") * 100 <= query_length("cigar") * percent_of_read)
-    )
+    few = (F.col("nm") <= maximum) & (F.col("nm") * 100 <= query_length("cigar") * percent_of_read)
+    return alignments.where(F.col("nm").isNull() | few)
 
 
 def junction_motifs(found: DataFrame, contigs: DataFrame, chunk: int) -> DataFrame:
@@ -249,9 +262,11 @@ def coordinate_sort(alignments: DataFrame, dictionary: DataFrame, partitions: in
     """Global order by dictionary position, then coordinate; unplaced rows last.
 
     Range partitioning also uses the read id and flag, so that many reads on one
-    coordinate can be spread over several partitions.
+    coordinate can be spread over several partitions. The dictionary is one row per contig
+    of a reference, thousands at most, and is broadcast: a shuffle by contig would send
+    all alignments to a few tasks.
     """
-    ordinals = dictionary.select("chrom", "ordinal")
+    ordinals = F.broadcast(dictionary.select("chrom", "ordinal"))
     placed = alignments.join(ordinals, "chrom", "left").withColumn(
         "ordinal", F.coalesce(F.col("ordinal").cast("long"), F.lit(2**62))
     )
@@ -346,10 +361,13 @@ def chrm_fraction(alignments: DataFrame, contig: str = "chrM", warn: float = 20.
 def alignment_rates(reads: DataFrame, alignments: DataFrame, multimap_max: int = 20) -> DataFrame:
     """Unique, multi-mapping and unmapped share of the input reads per sample.
 
-    A read is unique if its largest NH is 1, multi-mapping up to ``multimap_max``.
-    Reads without a mapped row, or above the cap, are unmapped.
+    ``reads`` are those given to the aligner, which need not write a row for a read that
+    it can't place. A read is unique if its largest NH is 1 (or it has no such tag),
+    multi-mapping up to ``multimap_max``. Reads without a mapped row, or above the cap,
+    are unmapped.
     """
-    per_read = alignments.where(is_mapped()).groupBy("sample", "read_id").agg(F.max("nh").alias("_nh"))
+    hits = F.coalesce("nh", F.lit(1))
+    per_read = alignments.where(is_mapped()).groupBy("sample", "read_id").agg(F.max(hits).alias("_nh"))
     mapped = per_read.groupBy("sample").agg(
         F.count(F.when(F.col("_nh") == 1, 1)).alias("_unique"),
         F.count(F.when(F.col("_nh").between(2, multimap_max), 1)).alias("_multi"),

@@ -18,7 +18,8 @@ from ..functions.intervals import with_samples
 def count_matrix(assigned: DataFrame, gene_lengths: DataFrame, samples: DataFrame) -> DataFrame:
     """E5: every annotated gene x every sample, 0 where nothing was counted.
 
-    ``assigned(gene_id, sample, count)`` is already aggregated.
+    ``assigned(gene_id, sample, count)`` is already aggregated, ``samples`` any table
+    with a sample column that names them all.
     """
     grid = with_samples(gene_lengths.select("gene_id", "length"), samples)
     return grid.join(assigned, ["gene_id", "sample"], "left").select(
@@ -78,35 +79,66 @@ def rpk(counts: DataFrame) -> DataFrame:
     return counts.select("gene_id", "sample", "length", "count", _rpk().alias("rpk"))
 
 
-def tpm(counts: DataFrame) -> DataFrame:
-    """Rpk scaled so that each sample sums to one million."""
+def tpm(counts: DataFrame, with_samples: bool = False) -> DataFrame:
+    """Rpk scaled so that each sample sums to one million.
+
+    With ``with_samples`` each row also says how many samples there are, counted on the
+    table of scales.
+    """
     values = rpk(counts)
     scale = values.groupBy("sample").agg((F.sum("rpk") / 1_000_000).alias("_scale"))
+    columns = ["gene_id", "sample", "length", "count", "rpk"]
+    if with_samples:
+        scale = scale.withColumn("n_samples", F.count("*").over(Window.partitionBy(F.lit(0))))  # one row per sample
+        columns.append("n_samples")
     value = F.col("rpk") / F.nullif(F.col("_scale"), F.lit(0.0))
-    return values.join(F.broadcast(scale), "sample").select(
-        "gene_id", "sample", "length", "count", "rpk", value.alias("tpm")
-    )
+    return values.join(F.broadcast(scale), "sample").select(*columns, value.alias("tpm"))
 
 
 def mean_tpm(tpm_matrix: DataFrame, n_samples: int | None = None) -> DataFrame:
     """Mean over all samples; a gene missing in a sample counts as 0 there.
 
-    ``n_samples``: the number of sample columns, if it is known; else it is counted.
+    ``n_samples``: the number of sample columns, if it is known; else a column of that name
+    in ``tpm_matrix`` says so.
     """
-    n = F.lit(n_samples) if n_samples else tpm_matrix.select("sample").distinct().agg(F.count("*")).scalar()
+    if n_samples is None and "n_samples" not in tpm_matrix.columns:
+        raise ValueError("name the number of samples, or make the matrix with_samples")
+    n = F.lit(n_samples) if n_samples else F.max("n_samples")
     return tpm_matrix.groupBy("gene_id", "length").agg((F.sum("tpm") / n).alias("mean_tpm"))
 
 
 def top_genes(tpm_matrix: DataFrame, n: int = 20, n_samples: int | None = None) -> DataFrame:
-    """The ``n`` genes with the highest mean, gene id ascending among equals."""
-    return mean_tpm(tpm_matrix, n_samples).orderBy(F.desc("mean_tpm"), "gene_id").limit(n)
+    """The ``n`` genes with the highest mean, gene id ascending among equals; ranked from 1.
+
+    The ranking window runs over the ``n`` chosen genes only.
+    """
+    best = mean_tpm(tpm_matrix, n_samples).orderBy(F.desc("mean_tpm"), "gene_id").limit(n)
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("mean_tpm"), "gene_id")
+    return best.withColumn("rank", F.row_number().over(order))
 
 
 def plot_table(tpm_matrix: DataFrame, samples: Sequence[str], n: int = 20) -> DataFrame:
-    """Top genes with TPM per sample and the mean."""
-    top = top_genes(tpm_matrix, n, len(samples)).select("gene_id", "mean_tpm")
+    """Top genes with rank, TPM per sample and the mean."""
+    top = top_genes(tpm_matrix, n, len(samples)).select("gene_id", "mean_tpm", "rank")
     cells = tpm_matrix.join(F.broadcast(top), "gene_id")  # at most n genes
-    return wide(cells, "tpm", samples, ("gene_id", "length", "mean_tpm"))
+    return wide(cells, "tpm", samples, ("gene_id", "length", "mean_tpm", "rank"))
+
+
+def wide_table(matrix: DataFrame, value: str, samples: Sequence[str]) -> DataFrame:
+    """Wide CPM or TPM as the tables of the workflow have it: Geneid, Length, one column per sample."""
+    return (
+        wide(matrix, value, samples)
+        .withColumnsRenamed({"gene_id": "Geneid", "length": "Length"})
+        .select("Geneid", "Length", *samples)
+    )
+
+
+def top_table(tpm_matrix: DataFrame, samples: Sequence[str], n: int = 20) -> DataFrame:
+    """The top genes as a wide TPM table with mean_TPM, best first."""
+    table = plot_table(tpm_matrix, samples, n).withColumnsRenamed(
+        {"gene_id": "Geneid", "length": "Length", "mean_tpm": "mean_TPM"}
+    )
+    return table.select("Geneid", "Length", *samples, "mean_TPM", "rank").orderBy("rank")
 
 
 def log2_matrix(tpm_matrix: DataFrame, samples: Sequence[str], n: int = 20) -> DataFrame:
@@ -118,17 +150,14 @@ def log2_matrix(tpm_matrix: DataFrame, samples: Sequence[str], n: int = 20) -> D
 def heatmap_cells(tpm_matrix: DataFrame, samples: Sequence[str], n: int = 20) -> DataFrame:
     """(row, col, gene, sample, value) cells of the log2 heatmap.
 
-    Rows follow the rank of the gene, columns the order of ``samples``. The ranking
-    window runs over the ``n`` chosen genes only.
+    Rows follow the rank of the gene, columns the order of ``samples``.
     """
     table = plot_table(tpm_matrix, samples, n)
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("mean_tpm"), "gene_id")
     cells = [
         F.struct(F.lit(i).alias("col"), F.lit(s).alias("sample"), F.log2(F.col(s) + 1).alias("value"))
         for i, s in enumerate(samples)
     ]
-    ranked = table.withColumn("row", F.row_number().over(order) - 1)
-    return ranked.select("row", "gene_id", F.inline(F.array(*cells)))
+    return table.select((F.col("rank") - 1).alias("row"), "gene_id", F.inline(F.array(*cells)))
 
 
 def shape_report(matrix: DataFrame, keys: Sequence[str] = ("Geneid", "Length")) -> DataFrame:

@@ -46,6 +46,11 @@ def too_small(manifest: DataFrame, min_bytes: int = 1_000_000) -> DataFrame:
     return manifest.where(F.col("length") < min_bytes)
 
 
+def size_verdicts(manifest: DataFrame, min_bytes: int = 1_000_000) -> DataFrame:
+    """S13 per file: whether it is large enough."""
+    return manifest.withColumn("passed", F.col("length") >= min_bytes)
+
+
 def size_gate(manifest: DataFrame, min_bytes: int = 1_000_000) -> DataFrame:
     """S13 as a gate: passes the rows on, and fails the job on a file that is too small."""
     message = F.concat(F.lit("file too small: "), F.col("path"))

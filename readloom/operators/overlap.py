@@ -126,15 +126,15 @@ def placement_genes(placed: DataFrame, exons: DataFrame, strand: int = 0, width:
 def assign_reads(alignments: DataFrame, exons: DataFrame, strand: int = 0, width: int = GENOME_BIN) -> DataFrame:
     """Every mapped row with its number of genes, and the gene if there is one.
 
-    The join back to the rows is on the placement, whose side here is unique; a
-    placement shared by many reads makes a large left partition, which adaptive
-    execution splits.
+    The join back to the rows is on the placement, whose side here is unique and dealt out
+    anew before the join, so that both sides are shuffled for it: a placement shared by
+    many reads makes a large left partition, which adaptive execution then splits.
     """
     mapped = alignments.where(is_mapped()).withColumn("strand", F.when(has_flag(REVERSE), "-").otherwise("+"))
     genes = placement_genes(mapped.select(*PLACED).distinct(), exons, strand, width)
     n = F.coalesce("n_genes", F.lit(0).cast("long"))
     status = F.when(n == 1, ASSIGNED).when(n > 1, AMBIGUOUS).otherwise(NO_FEATURES)
-    return mapped.join(genes, PLACED, "left").withColumn("n_genes", n).withColumn("status", status)
+    return mapped.join(genes.hint("rebalance"), PLACED, "left").withColumn("n_genes", n).withColumn("status", status)
 
 
 def _counted_outcomes(
@@ -189,17 +189,17 @@ def assigned_counts(
     ).agg(F.sum("n").alias("n"))
 
 
-def assignment_summary(counts: DataFrame, samples: DataFrame) -> DataFrame:
+def assignment_summary(counts: DataFrame) -> DataFrame:
     """Alignment rows per sample and status; statuses without rows stay with 0.
 
-    ``counts`` comes from :func:`assigned_counts`, ``samples`` lists the samples.
+    ``counts`` comes from :func:`assigned_counts`, where each sample with a row is.
     """
-    statuses = counts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(s) for s in STATUSES])).alias("status"))
-    grid = with_samples(statuses, samples)
-    per = counts.groupBy("sample", "status").agg(F.sum("n").alias("n"))
-    return grid.join(per, ["sample", "status"], "left").select(
-        "sample", "status", F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    zero = F.lit(0).cast("long")
+    per = counts.groupBy("sample").agg(
+        *[F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n"))), zero).alias(s) for s in STATUSES]
     )
+    pairs = [F.struct(F.lit(s).alias("status"), F.col(s).alias("n")) for s in STATUSES]
+    return per.select("sample", F.inline(F.array(*pairs)))
 
 
 def gene_counts(counts: DataFrame) -> DataFrame:
@@ -212,13 +212,15 @@ def gene_counts(counts: DataFrame) -> DataFrame:
 
 
 def gene_counts_by_strand(
-    alignments: DataFrame, exons: DataFrame, samples: DataFrame, width: int = GENOME_BIN
+    reads: DataFrame, alignments: DataFrame, exons: DataFrame, width: int = GENOME_BIN
 ) -> DataFrame:
     """Gene x {unstranded, forward, reverse} counts of uniquely mapped reads.
 
     Followed by the rows N_unmapped, N_multimapping, N_noFeature and N_ambiguous. Each
-    read counts at its primary row. The overlap join runs once; the three strand rules
-    are three conditional aggregates over its result.
+    read counts at its primary row. ``reads(sample, ...)`` are those given to the aligner;
+    the ones without a mapped primary row are N_unmapped, whether they have a row or not. The
+    overlap join runs once; the three strand rules are three conditional aggregates over
+    its result. Samples are those of ``reads``.
     """
     primary = alignments.where(~has_flag(SECONDARY) & ~has_flag(SUPPLEMENTARY))
     early = F.when(has_flag(UNMAPPED), "N_unmapped").when(F.col("nh") > 1, "N_multimapping")
@@ -234,8 +236,16 @@ def gene_counts_by_strand(
     extra = exons.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(x) for x in ("N_unmapped", "N_multimapping", "N_noFeature", "N_ambiguous")])).alias("gene_id")
     )
-    grid = with_samples(exons.select("gene_id").distinct().unionByName(extra), samples)
+    totals = reads.groupBy("sample").agg(F.count("*").alias("_reads"))
+    placed = outcomes.where(F.col("unstranded") != "N_unmapped").groupBy("sample").agg(F.sum("n").alias("_placed"))
     zero = F.lit(0).cast("long")
-    return grid.join(counted, ["gene_id", "sample"], "left").select(
+    missing = totals.join(placed, "sample", "left").select(
+        F.lit("N_unmapped").alias("gene_id"),
+        "sample",
+        *[(F.col("_reads") - F.coalesce("_placed", zero)).alias(r) for r in rules],
+    )
+    cells = counted.where(F.col("gene_id") != "N_unmapped").unionByName(missing)
+    grid = with_samples(exons.select("gene_id").distinct().unionByName(extra), totals)
+    return grid.join(cells, ["gene_id", "sample"], "left").select(
         "gene_id", "sample", *[F.coalesce(r, zero).alias(r) for r in rules]
     )

@@ -2,8 +2,9 @@
 
 Every module takes ``reads(sample, seq, qual, ...)`` and a list of grouping columns
 (``sample`` by default, ``sample, stage`` to run raw and trimmed reads in one query)
-and returns a long table. Windows and maps only ever see aggregated histograms, whose
-size depends on the read length and never on the number of reads.
+and returns a long table. What counts characters or reads does so on Arrow batches
+(:func:`read_cells`); windows and maps only ever see aggregated histograms, whose size
+depends on the read length and never on the number of reads.
 """
 
 from __future__ import annotations
@@ -12,15 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.bases import (
     acgt_count,
     gc_count,
     gc_percent_rounded,
     int_div,
-    mean_phred_floor,
     percent,
-    phred_of_char,
 )
 from ..functions.intervals import dense
 
@@ -85,18 +85,120 @@ def basic_stats(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     )
 
 
-def symbol_histogram(reads: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
-    """(by, pos, symbol, n): how often each character stands at each read position.
+def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
+    """Function for ``mapInArrow``: batches of (by, seq, qual) to counted cells (by, kind, a, b, c, n).
 
-    The exploded characters collapse on the map side to one row per position and
-    symbol; only those are shuffled.
+    Kinds: ``base`` (position, character), ``score`` (position, Phred score), ``read``
+    (length, mean score rounded down, rounded GC percentage; -1 for an empty read) and
+    ``adapter`` (number of the probe, first place). Characters never become rows: numpy
+    counts them on the batch's own buffers. The function carries no reference to this
+    package, so workers need not have it.
     """
-    return (
-        reads.select(*by, F.posexplode(F.split(column, "")).alias("_i", "symbol"))
-        .where(F.col("symbol") != "")
-        .groupBy(*by, (F.col("_i") + 1).alias("pos"), "symbol")
-        .agg(F.count("*").alias("n"))
+    kinds, probes = tuple(kinds), tuple(probes)
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def flat(column):
+            """Bytes of all values, where each begins, how long each is."""
+            filled = pc.fill_null(column, "").cast(pa.large_binary())
+            ends = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
+            data = np.frombuffer(filled.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+            return data, ends[:-1] - ends[0], np.diff(ends)
+
+        def counted(key, size):
+            """Distinct keys below ``size`` and how often each occurs."""
+            if size <= 1 << 22:
+                found = np.bincount(key, minlength=1)
+                at = np.flatnonzero(found)
+                return at, found[at]
+            return np.unique(key, return_counts=True)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = np.zeros(batch.num_rows, np.int64)
+            for column in batch.columns[:n_by]:
+                coded = column.dictionary_encode(null_encoding="encode")
+                group = group * max(len(coded.dictionary), 1) + coded.indices.to_numpy(zero_copy_only=False)
+            _, first, group = np.unique(group, return_index=True, return_inverse=True)
+            bases, starts, lengths = flat(batch.column(n_by))
+            scores, score_starts, score_lengths = flat(batch.column(n_by + 1))
+            longest = int(max(lengths.max(), score_lengths.max(), 1))
+            out = []
+
+            def add(kind, groups, a, b, c, n):
+                zero = np.zeros(len(n), np.int64)
+                by = [column.take(pa.array(first[groups])) for column in batch.columns[:n_by]]
+                numbers = [pa.array(zero + x, pa.int32()) for x in (a, b, c)]
+                name = pa.array([kind] * len(n), pa.string())
+                names = [f"by{i}" for i in range(n_by)] + ["kind", "a", "b", "c", "n"]
+                out.append(pa.RecordBatch.from_arrays([*by, name, *numbers, pa.array(n, pa.int64())], names))
+
+            for kind, data, begin, size, shift in (
+                ("base", bases, starts, lengths, 0),
+                ("score", scores, score_starts, score_lengths, 33),
+            ):
+                if kind in kinds:
+                    place = np.arange(len(data)) - np.repeat(begin, size)
+                    key = (np.repeat(group, size) * longest + place) * 256 + data
+                    cell, n = counted(key, len(first) * longest * 256)
+                    add(kind, cell // 256 // longest, cell // 256 % longest + 1, cell % 256 - shift, 0, n)
+            if "read" in kinds:
+                total = np.concatenate(([0], np.cumsum(scores.astype(np.int64) - 33)))
+                total = total[score_starts + score_lengths] - total[score_starts]
+                mean = np.where(score_lengths > 0, total // np.maximum(score_lengths, 1), -1)
+                gc = np.concatenate(([0], np.cumsum((bases == 71) | (bases == 67))))
+                gc = gc[starts + lengths] - gc[starts]
+                share = np.where(lengths > 0, (200 * gc + lengths) // np.maximum(2 * lengths, 1), -1)
+                key = ((group * (longest + 1) + lengths) * 256 + mean + 1) * 128 + share + 1
+                cell, n = counted(key, len(first) * (longest + 1) * 256 * 128)
+                length = cell // 128 // 256
+                add("read", length // (longest + 1), length % (longest + 1), cell // 128 % 256 - 1, cell % 128 - 1, n)
+            if "adapter" in kinds:
+                for i, probe in enumerate(probes):
+                    at = pc.find_substring(pc.fill_null(batch.column(n_by), ""), probe).to_numpy(zero_copy_only=False)
+                    hit = at >= 0
+                    cell, n = counted(group[hit] * longest + at[hit], len(first) * longest)
+                    add("adapter", cell // longest, i, cell % longest + 1, 0, n)
+            yield from out
+
+    return count
+
+
+ALL_KINDS = ("base", "score", "read", "adapter")
+
+
+def read_cells(
+    reads: DataFrame, by: Sequence[str] = SAMPLE, kinds: Sequence[str] = ALL_KINDS, adapters: dict[str, str] = ADAPTERS
+) -> DataFrame:
+    """(by, kind, a, b, c, n): all counts over the reads that Q2-Q6 and Q10 derive from, in one pass.
+
+    Each batch sends its cells, a few thousand for each group, to the one shuffle. The
+    optimizer does not push a condition on the kind below the generator here, so several
+    tables that derive from the cells share that shuffle.
+    """
+    schema = T.StructType(
+        [T.StructField(c, reads.schema[c].dataType) for c in by]
+        + [T.StructField("kind", T.StringType())]
+        + [T.StructField(c, T.IntegerType()) for c in "abc"]
+        + [T.StructField("n", T.LongType())]
     )
+    counted = reads.select(*by, "seq", "qual").mapInArrow(count_cells(len(by), kinds, list(adapters.values())), schema)
+    cells = counted.groupBy(*by, F.col("kind").alias("_kind"), "a", "b", "c").agg(F.sum("n").alias("n"))
+    return cells.select(*by, F.explode(F.array("_kind")).alias("kind"), "a", "b", "c", "n")
+
+
+def _of_kind(cells: DataFrame, kind: str, by: Sequence[str], **names: str) -> DataFrame:
+    """The cells of one kind, with names for a, b and c."""
+    return cells.where(F.col("kind") == kind).select(*by, *[F.col(c).alias(n) for c, n in names.items()], "n")
+
+
+def _bases(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, pos, symbol, n): how often each base stands at each read position."""
+    return _of_kind(cells, "base", by, a="pos", b="symbol").withColumn("symbol", F.chr(F.col("symbol")))
 
 
 def per_base_quality(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
@@ -105,7 +207,11 @@ def per_base_quality(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     A percentile p is the smallest score whose running count reaches p % of the reads
     at that position. Window groups hold one row per distinct score.
     """
-    hist = symbol_histogram(reads, "qual", by).select(*by, "pos", phred_of_char("symbol").alias("q"), "n")
+    return _score_percentiles(read_cells(reads, by, ("score",)), by)
+
+
+def _score_percentiles(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    hist = _of_kind(cells, "score", by, a="pos", b="q")
     cell = Window.partitionBy(*by, "pos")
     running = hist.withColumn(
         "_cum", F.sum("n").over(cell.orderBy("q").rowsBetween(Window.unboundedPreceding, 0))
@@ -126,16 +232,16 @@ def per_base_quality(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
 
 def per_sequence_quality(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """Q3: reads per floor(mean Phred score), zero rows kept between the extremes."""
-    hist = (
-        reads.groupBy(*by, mean_phred_floor("qual").alias("quality"))
-        .agg(F.count("*").alias("n_reads"))
+    means = _of_kind(read_cells(reads, by, ("read",)), "read", by, b="quality")
+    hist = means.groupBy(*by, F.when(F.col("quality") >= 0, F.col("quality")).alias("quality")).agg(
+        F.sum("n").alias("n_reads")
     )
     return dense(hist, by, "quality", "n_reads")
 
 
 def per_base_content(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """Q4: share of G, A, T, C at each position; N is left out of the denominator."""
-    return _content(symbol_histogram(reads, "seq", by), by)
+    return _content(_bases(read_cells(reads, by, ("base",)), by), by)
 
 
 def _content(hist: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -153,7 +259,7 @@ def _content(hist: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def per_base_n(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """Q6: share of N among the reads that reach each position."""
-    return _n_content(symbol_histogram(reads, "seq", by), by)
+    return _n_content(_bases(read_cells(reads, by, ("base",)), by), by)
 
 
 def _n_content(hist: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -337,25 +443,35 @@ def adapter_content(
 
 
 def gc_deviation(gc_hist: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
-    """Sum of |observed - fitted normal| over the GC histogram, as % of its total.
+    """Sum of |observed - expected normal| over the GC histogram, as % of its total.
 
-    The normal curve has the mean and standard deviation of the histogram and is
-    scaled to the same total over the 101 bins.
+    The curve is centred on the histogram's peak: the middle of the bins next to the
+    highest one that are above nine tenths of it; the highest bin itself if they reach an
+    end of the scale. Its spread is that of the histogram around the peak.
     """
     n, x = F.col("n_reads").cast("double"), F.col("gc").cast("double")
     cell = Window.partitionBy(*by)  # the 101 bins of one sample
-    mean = F.col("_s1") / F.col("_total")
+    top = F.first("gc").over(cell.orderBy(F.desc("n_reads"), "gc"))
+    low = n <= 0.9 * F.col("_highest")
+    # The nearest low bins on either side of the highest one.
+    above = F.min(F.when(low & (x > F.col("_top")), x)).over(cell)
+    below = F.max(F.when(low & (x < F.col("_top")), x)).over(cell)
+    peak = F.coalesce((F.col("_above") + F.col("_below")) / 2.0, F.col("_top"))
     # A sample whose reads all have the same GC share gets a narrow curve, not 0 / 0.
-    variance = F.greatest(F.col("_s2") / F.col("_total") - mean * mean, F.lit(0.25))
-    fitted = F.col("_curve") / F.col("_area") * F.col("_total")
+    variance = F.greatest(F.col("_s2") / F.greatest(F.col("_total") - 1, F.lit(1.0)), F.lit(0.25))
+    away = (x - F.col("_peak")) * (x - F.col("_peak"))
+    expected = F.col("_total") * F.exp(-away / (2.0 * F.col("_variance"))) / F.sqrt(2.0 * F.pi() * F.col("_variance"))
     return (
         gc_hist.withColumn("_total", F.sum(n).over(cell))
-        .withColumn("_s1", F.sum(n * x).over(cell))
-        .withColumn("_s2", F.sum(n * x * x).over(cell))
-        .withColumn("_curve", F.exp(-(x - mean) * (x - mean) / (2.0 * variance)))
-        .withColumn("_area", F.sum("_curve").over(cell))
+        .withColumn("_highest", F.max(n).over(cell))
+        .withColumn("_top", top.cast("double"))
+        .withColumn("_above", above)
+        .withColumn("_below", below)
+        .withColumn("_peak", peak)
+        .withColumn("_s2", F.sum(n * away).over(cell))
+        .withColumn("_variance", variance)
         .groupBy(*by)
-        .agg((100.0 * F.sum(F.abs(n - fitted)) / F.max("_total")).alias("gc_deviation"))
+        .agg((100.0 * F.sum(F.abs(n - expected)) / F.max("_total")).alias("gc_deviation"))
     )
 
 
@@ -382,38 +498,81 @@ def _long(row_per_sample: DataFrame, by: Sequence[str], measures: list[str]) ->
     return row_per_sample.select(*by, F.inline(F.array(*pairs)))
 
 
+def _largest_adapter(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, max_adapter_pct): the adapter share at the last position, where all hits count.
+
+    No row where no read is as long as a probe.
+    """
+    width = max(len(a) for a in ADAPTERS.values())
+    hits = _of_kind(cells, "adapter", by, a="adapter").groupBy(*by, "adapter").agg(F.sum("n").alias("hits"))
+    most = hits.groupBy(*by).agg(F.max("hits").alias("hits"))
+    totals = _of_kind(cells, "read", by, a="length").groupBy(*by).agg(F.sum("n").alias("reads"), F.max("length").alias("last"))
+    share = percent(F.coalesce("hits", F.lit(0)), F.col("reads"))
+    met = totals.where(F.col("last") >= width).join(most, list(by), "left")
+    return met.select(*by, share.alias("max_adapter_pct"))
+
+
+def stage_metrics(reads: DataFrame, by: Sequence[str] = ("sample", "stage")) -> DataFrame:
+    """(by, metric, value) behind the summary table, from two passes over the reads.
+
+    Read and base counts, mean length, Q20 %, Q30 %, %GC, share left after
+    deduplication and the largest adapter share.
+    """
+    cells = read_cells(reads, by)
+
+    def total(kind: str, counted: Column | None = None) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("kind") == kind) & (F.lit(True) if counted is None else counted), F.col("n"))), F.lit(0))
+
+    symbol = F.chr(F.col("b"))
+    sums = cells.groupBy(*by).agg(
+        total("read").alias("reads"),
+        total("base").alias("bases"),
+        total("score").alias("_scores"),
+        total("score", F.col("b") >= 20).alias("_q20"),
+        total("score", F.col("b") >= 30).alias("_q30"),
+        total("base", symbol.isin("G", "C")).alias("_gc"),
+        total("base", symbol.isin("A", "C", "G", "T")).alias("_acgt"),
+    )
+    basic = sums.select(
+        *by,
+        "reads",
+        "bases",
+        (F.col("bases").cast("double") / F.col("reads")).alias("mean_length"),
+        percent(F.col("_q20"), F.col("bases")).alias("q20_pct"),
+        percent(F.col("_q30"), F.col("bases")).alias("q30_pct"),
+        int_div(100 * F.col("_gc"), F.col("_acgt")).alias("gc_pct"),
+    )
+    copies = sequence_counts(reads, by).groupBy(*by).agg(percent(F.count("*"), F.sum("copies")).alias("dedup_pct"))
+    out = _long(basic, by, ["reads", "bases", "mean_length", "q20_pct", "q30_pct", "gc_pct"])
+    out = out.unionByName(_long(copies, by, ["dedup_pct"])).unionByName(_long(_largest_adapter(cells, by), by, ["max_adapter_pct"]))
+    return out.withColumnRenamed("measure", "metric")
+
+
 def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """The numbers the verdicts are drawn from: (by, measure, value).
 
-    Five aggregates over the reads feed all of them: per-read cells, scores per
-    position, bases per position, copies per sequence, and adapter hits.
+    Two passes over the reads feed all of them: the counted cells, and the copies per
+    sequence.
     """
-    # One row per length, mean score and GC share: the histograms behind Q1, Q3 and Q5.
-    cells = reads.groupBy(
-        *by,
-        F.length("seq").alias("length"),
-        mean_phred_floor("qual").alias("quality"),
-        gc_percent_rounded("seq").alias("gc"),
-    ).agg(F.count("*").alias("n_reads"))
-    basic = cells.groupBy(*by).agg(
-        F.sum("n_reads").alias("total_sequences"),
+    cells = read_cells(reads, by)
+    each = _of_kind(cells, "read", by, a="length", b="quality", c="gc")
+    basic = each.groupBy(*by).agg(
+        F.sum("n").alias("total_sequences"),
         F.min("length").alias("min_length"),
         (F.max("length") - F.min("length")).alias("length_spread"),
     )
-    # Nulls (empty reads) are passed over inside the aggregates. A filter on them would
-    # be pushed below ``cells``, and the three uses of it would no longer share a scan.
-    per_score = cells.groupBy(*by, "quality").agg(F.sum("n_reads").alias("n_reads"))
+    per_score = each.where("quality >= 0").groupBy(*by, "quality").agg(F.sum("n").alias("n_reads"))
     # Highest count wins, the lower score among equals.
-    score = F.when(F.col("quality").isNotNull(), F.struct("n_reads", (-F.col("quality")).alias("q")))
+    score = F.struct("n_reads", (-F.col("quality")).alias("q"))
     mode = per_score.groupBy(*by).agg((-F.max(score)["q"]).alias("mode_quality"))
-    per_gc = cells.groupBy(*by, "gc").agg(F.sum("n_reads").alias("n_reads"))
+    per_gc = each.where("gc >= 0").groupBy(*by, "gc").agg(F.sum("n").alias("n_reads"))
     gc = gc_deviation(dense(per_gc, by, "gc", "n_reads", F.lit(0), F.lit(100)), by)
     quality = (
-        per_base_quality(reads, by)
+        _score_percentiles(cells, by)
         .groupBy(*by)
         .agg(F.min("q1").alias("min_lower_quartile"), F.min("median").alias("min_median"))
     )
-    bases = symbol_histogram(reads, "seq", by)
+    bases = _bases(cells, by)
     content = (
         _content(bases, by)
         .groupBy(*by)
@@ -432,8 +591,7 @@ def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
             percent(F.max("copies"), F.sum("copies")).alias("max_sequence_pct"),
         )
     )
-    names = [column_name(a) for a in ADAPTERS]
-    adapters = adapter_content(reads, by).groupBy(*by).agg(F.max(F.greatest(*names)).alias("max_adapter_pct"))
+    adapters = _largest_adapter(cells, by)
     out = _long(basic, by, ["total_sequences", "min_length", "length_spread"])
     for table, measures in [
         (quality, ["min_lower_quartile", "min_median"]),

@@ -6,11 +6,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bases import percent
-
 
 def general_stats(*tables: DataFrame) -> DataFrame:
     """One row per sample, all columns of all tables (full outer joins)."""
@@ -27,45 +25,10 @@ def status_matrix(qc_status: DataFrame, samples: Sequence[str] | None = None) ->
     return pivoted.agg(F.first("status"))
 
 
-def stage_union(stages: dict[str, DataFrame]) -> DataFrame:
-    """The same table from several stages, with the stage as a column."""
-    tagged = [df.withColumn("stage", F.lit(name)) for name, df in stages.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-
-
-def _share(part: str, whole: str) -> Column:
-    return percent(F.col(part), F.col(whole))
-
+def stage_union(stages: dict[str | None, DataFrame]) -> DataFrame:
+    """The same table from several stages, with the stage as a column.
 
-def stage_metrics(totals: DataFrame, basic: DataFrame, duplication: DataFrame, adapters: DataFrame) -> DataFrame:
-    """Long (sample, stage, metric, value) from T9, Q1, Q8 and Q10 tables.
-
-    Read and base counts, mean length, Q20 %, Q30 %, %GC, share left after
-    deduplication and the largest adapter share.
+    A table under the name None has its stages in it already, from one pass over them all.
     """
-    by = ["sample", "stage"]
-    names = [c for c in adapters.columns if c not in (*by, "pos")]
-
-    def long(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-        pairs = [F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in columns.items()]
-        return df.select(*by, F.inline(F.array(*pairs)))
-
-    parts = [
-        long(
-            totals,
-            {
-                "reads": F.col("n_reads"),
-                "bases": F.col("bases"),
-                "mean_length": F.col("mean_length"),
-                "q20_pct": _share("q20_bases", "bases"),
-                "q30_pct": _share("q30_bases", "bases"),
-            },
-        ),
-        long(basic, {"gc_pct": F.col("pct_gc")}),
-        long(duplication.groupBy(*by).agg(F.max("dedup_pct").alias("d")), {"dedup_pct": F.col("d")}),
-        long(
-            adapters.groupBy(*by).agg(F.max(F.greatest(*names)).alias("a")),
-            {"max_adapter_pct": F.col("a")},
-        ),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    tagged = [df if name is None else df.withColumn("stage", F.lit(name)) for name, df in stages.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)

@@ -22,24 +22,41 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .reports import sample_folder
+
 SCHEMA = "path string, read_id string, seq string, qual string"
 ARROW_SCHEMA = pa.schema([(c, pa.string()) for c in ("path", "read_id", "seq", "qual")])
 BLOCK = 4 << 20
 RANGE = 128 << 20
-ENDING = re.compile(r"\.(fastq|fq)(\.gz)?$")
+# Names of read files, and of the parts that :func:`write_fastq` writes.
+ENDING = re.compile(r"(\.(fastq|fq)|(^|/)part-[^/]*\.txt)(\.gz)?$")
 
 
 def open_filesystem(path: str):
-    """File system and path in it. Scheme-less paths are local or mounted."""
+    """File system and path in it. Paths without a scheme, or with that of files, are local or mounted."""
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        if path.startswith("file:") and not path.startswith("file://"):
-            path = "file://" + path[len("file:") :]
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    if "://" in path:
         return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path
 
 
+def header_lines(stream, block: int = 1 << 16) -> list[str]:
+    """Lines of an open file up to the first that doesn't begin with '@' and two capitals."""
+    lines, rest = [], b""
+    while True:
+        data = stream.read(block)
+        *whole, rest = (rest + data).split(b"\n")
+        for line in [*whole, *([] if data else [rest])]:
+            if not re.match(rb"@[A-Z][A-Z](\t|$)", line):
+                return lines
+            lines.append(line.decode().rstrip("\r"))
+        if not data:
+            return lines
+
+
 @dataclass
 class ByteRange(InputPartition):
     path: str
@@ -80,7 +97,8 @@ def to_batch(path: str, text: bytes) -> pa.RecordBatch:
     if lines and lines[-1] == "":
         lines.pop()
     heads, seqs, quals = lines[0::4], lines[1::4], lines[3::4]
-    if len(lines) % 4 or not all(h.startswith("@") for h in heads):
+    whole = len(lines) % 4 == 0 and all(h.startswith("@") for h in heads) and all(p.startswith("+") for p in lines[2::4])
+    if not whole or any(len(s) != len(q) for s, q in zip(seqs, quals)):
         raise ValueError(f"broken FASTQ record in {path}")
     ids = [h[1:].split(None, 1)[0] if len(h) > 1 else "" for h in heads]
     columns = [pa.array([path] * len(ids), pa.string()), pa.array(ids), pa.array(seqs), pa.array(quals)]
@@ -112,7 +130,7 @@ class FastqReader(DataSourceReader):
                 raise FileNotFoundError(root)
             if info.type == fs.FileType.Directory:
                 found = files.get_file_info(fs.FileSelector(inner, recursive=True))
-                infos = [i for i in found if i.type == fs.FileType.File and _is_data(i.path)]
+                infos = [i for i in found if i.type == fs.FileType.File and _is_data(i.path[len(inner) :])]
             else:
                 infos = [info]
             prefix = root[: root.index(inner)] if inner in root else ""
@@ -168,8 +186,8 @@ class FastqReader(DataSourceReader):
 
 
 def _is_data(path: str) -> bool:
-    name = path.rsplit("/", 1)[-1]
-    return not name.startswith((".", "_"))
+    """Whether a path below the folder that is read names a read file, and nothing on its way is hidden."""
+    return bool(ENDING.search(path)) and not any(part.startswith((".", "_")) for part in path.split("/"))
 
 
 def records_before(records: bytes, limit: int) -> bytes:
@@ -205,13 +223,28 @@ class FastqDataSource(DataSource):
 
 
 def sample_of_path(path: str | Column) -> Column:
-    """Sample id in a read file's name: no ending, no trailing ``_1`` or ``.sra``."""
+    """Sample id in a read file's name: no ending, no trailing ``_1`` or ``.sra``. A folder
+    ``sample=...`` on the way to the file names it instead."""
     name = F.regexp_extract(path, r"([^/]+?)(?:\.fastq|\.fq)?(?:\.gz)?$", 1)
-    return F.regexp_replace(name, r"(\.trimmed|_1|\.sra)+$", "")
+    return F.coalesce(
+        F.nullif(sample_folder(path), F.lit("")), F.regexp_replace(name, r"(\.trimmed|_1|\.sra)+$", "")
+    )
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark takes it for."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 def read_fastq(spark: SparkSession, path: str, range_bytes: int = RANGE) -> DataFrame:
-    """reads(sample, read_id, seq, qual). ``path``: files or folders, comma between."""
+    """reads(sample, read_id, seq, qual). ``path``: files or folders, comma between.
+
+    In folders, files named like reads are read; what lies under names that begin with
+    '.' or '_' is not. A record without its '+' line, or with bases and qualities of
+    different number, is an error.
+    """
+    path = ",".join(qualified(spark, p) for p in path.split(",") if p)
     # Send the reader's code along, so that workers need not have this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FastqDataSource)
@@ -224,7 +257,8 @@ def fastq_text(read_id: str = "read_id", seq: str = "seq", qual: str = "qual") -
 
 
 def write_fastq(reads: DataFrame, path: str, compression: str = "gzip", by_sample: bool = False) -> None:
-    """One record per read; with ``by_sample`` in one folder per sample."""
+    """One record per read; with ``by_sample`` in one folder ``sample=...`` per sample,
+    from which :func:`read_fastq` takes its name again."""
     text = reads.select(*(["sample"] if by_sample else []), fastq_text().alias("value"))
     writer = text.write.option("compression", compression)
     (writer.partitionBy("sample") if by_sample else writer).text(path)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.bases import int_div
 from ..operators.features import contig_name, parse_attributes
+from .fastq import header_lines, open_filesystem
+from .reports import sample_folder
 
+# Columns of the annotation format.
 GTF_SCHEMA = (
     "chrom string, source string, feature string, start_pos long, end_pos long, "
     "score string, strand string, frame string, attributes string"
@@ -107,14 +113,16 @@ def _sam_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignments. The sample comes from the file name; tags are a map of strings."""
+    """Alignments. The sample comes from the file name, or from a folder ``sample=...``;
+    tags are a map of strings. A line of fewer than eleven fields is an error."""
     fields = F.split("value", "\t")
-    name = F.regexp_extract("_file", r"([^/]+?)\.sam(?:\.gz)?$", 1)
+    name = F.regexp_replace(F.regexp_extract("_file", r"([^/]+?)\.sam(?:\.gz)?$", 1), ALIGNMENT_FILE, "")
+    sample = F.coalesce(F.nullif(sample_folder("_file"), F.lit("")), name)
+    broken = F.raise_error(F.concat(F.lit("broken alignment line in "), F.col("_file"), F.lit(": "), F.col("value")))
     rows = (
         _sam_lines(spark, path)
-        .where(~F.col("value").rlike(r"^@[A-Z][A-Z](\t|$)"))
-        .select(F.regexp_replace(name, ALIGNMENT_FILE, "").alias("sample"), fields.alias("f"))
-        .where(F.size("f") >= 11)
+        .where(~F.col("value").rlike(r"^@[A-Z][A-Z](\t|$)") & (F.col("value") != ""))
+        .select(sample.alias("sample"), F.when(F.size(fields) >= 11, fields).otherwise(broken).alias("f"))
     )
     tags = F.map_from_entries(
         F.transform(
@@ -143,26 +151,41 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sam_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """dictionary(chrom, length, ordinal) from the @SQ header lines of ``path``.
+    """dictionary(chrom, length, ordinal) from the @SQ lines of the first file at ``path``.
 
-    ``ordinal`` is the place of the line; the contigs of a file come in one split.
+    The files of a run share their header. One task reads it, up to the first line that
+    is not part of it; ``ordinal`` counts its contigs from 0.
     """
-    head = _sam_lines(spark, path).where(F.col("value").startswith("@SQ\t"))
-    return (
-        head.select(
-            F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"),
-            F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("long").alias("length"),
-            F.monotonically_increasing_id().alias("_line"),
-        )
-        .groupBy("chrom", "length")
-        .agg(F.min("_line").alias("ordinal"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)  # names only
+    first = files.agg(F.min("path").alias("path"))
+    cloudpickle.register_pickle_by_value(sys.modules[open_filesystem.__module__])
+
+    def header(batches):
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                if name is not None:
+                    store, inner = open_filesystem(name)
+                    with store.open_input_stream(inner, compression="detect") as stream:
+                        yield pa.record_batch([pa.array(header_lines(stream), pa.string())], ["value"])
+
+    contig = (
+        first.mapInArrow(header, "value string")
+        .select(F.expr("monotonically_increasing_id()").alias("_line"), "value")
+        .where(F.col("value").startswith("@SQ\t"))
+    )
+    order = Window.partitionBy(F.lit(0)).orderBy("_line")  # one row per contig
+    return contig.select(
+        F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"),
+        F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("long").alias("length"),
+        (F.row_number().over(order) - 1).cast("long").alias("ordinal"),
     )
 
 
 def read_count_matrix(spark: SparkSession, path: str) -> DataFrame:
     """Long counts(gene_id, length, path, count) of a wide featureCounts table.
 
-    The columns that end in .bam are unpivoted; cells that are not numbers become 0.
+    The columns that end in .bam are unpivoted; cells that are not numbers become 0. Counts
+    are doubles, as reads may be counted in parts.
     """
     matrix = spark.read.option("sep", "\t").option("comment", "#").option("header", True).csv(path)
     for column in ("Geneid", "Length"):
@@ -179,7 +202,7 @@ def read_count_matrix(spark: SparkSession, path: str) -> DataFrame:
         F.col("Geneid").alias("gene_id"),
         F.col("Length").cast("int").alias("length"),
         "path",
-        F.coalesce(F.col("cell").try_cast("double"), F.lit(0.0)).cast("long").alias("count"),
+        F.coalesce(F.col("cell").try_cast("double"), F.lit(0.0)).alias("count"),
     )
 
 

@@ -91,13 +91,71 @@ def test_annotated_junctions_do_not_depend_on_the_bins(spark, sf_dir, width):
 
 
 def test_multimap_cap(spark):
-    df = table(spark, (1, "5M", {"nh": 20}), (1, "5M", {"nh": 21}))
-    assert ids(align.multimap_cap(df)) == ["r0"]
+    df = table(spark, (1, "5M", {"nh": 20}), (1, "5M", {"nh": 21, "flag": 16}), (1, "5M", {"nh": None, "flag": 4}), (1, "5M", {"nh": None}))
+    rows = {r.read_id: r for r in align.multimap_cap(df).collect()}
+    assert {k: (r.flag, r.pos, r.cigar) for k, r in rows.items()} == {
+        "r0": (0, 1, "5M"),
+        "r1": (20, None, "*"),
+        "r2": (4, 1, "5M"),
+        "r3": (0, 1, "5M"),
+    }
 
 
 def test_mismatch_share(spark):
     df = table(spark, (1, "50M", {"nm": 2}), (1, "49M", {"nm": 2}), (1, "5S45M", {"nm": 2}))
     assert ids(align.mismatch_filter(df)) == ["r0", "r2"]
+    untagged = table(spark, (1, "5M", {"nm": None}), (0, "*", {"nm": None, "flag": 4}))
+    assert ids(align.mismatch_filter(untagged)) == ["r0", "r1"]
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def small_thresholds(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_placement_with_most_rows_is_split(spark, small_thresholds):
+    from readloom.operators import overlap
+
+    hot = F.col("id") % 5 != 0
+    df = spark.range(0, 60_000, numPartitions=8).select(
+        F.lit("s").alias("sample"),
+        F.md5(F.col("id").cast("string")).alias("read_id"),
+        F.lit(0).alias("flag"),
+        F.lit("c").alias("chrom"),
+        F.when(hot, 100).otherwise(F.col("id") + 1000).cast("long").alias("pos"),
+        F.when(hot, "30M150N21M").otherwise("7M90N44M").alias("cigar"),
+        F.lit(255).alias("mapq"),
+        F.lit(1).alias("nh"),
+        F.lit(0).alias("nm"),
+    )
+    known = spark.createDataFrame([("c", 1, 2)], "chrom string, i_start long, i_end long")
+    kept = align.overhang_filter(df, known)
+    assert "LeftAnti" in (plan := executed(kept)) and "skew=true" in plan
+    assert kept.count() == 48_000
+    exons = spark.createDataFrame([("g", "c", 1, 200, "+")], "gene_id string, chrom string, start_pos long, end_pos long, strand string")
+    assigned = overlap.assign_reads(df, exons)
+    assert "skew=true" in executed(assigned)
+    assert assigned.where("gene_id = 'g'").count() == 48_000
 
 
 def contigs(spark, seq, chunk):
@@ -193,6 +251,9 @@ def test_rates_count_reads_not_rows(spark):
         (9, "5M", {"read_id": "b", "nh": 2, "flag": 256}),
         (9, "5M", {"read_id": "c", "nh": 21}),
     )
+    only = spark.createDataFrame([("s", x) for x in "wxyz"], "sample string, read_id string")
+    one = align.alignment_rates(only, table(spark, (1, "5M", {"read_id": "x", "nh": None}))).first()
+    assert (one.n_unique, one.pct_unmapped) == (1, 75.0)
     reads = spark.createDataFrame([("s", x) for x in "abcd"], "sample string, read_id string")
     r = align.alignment_rates(reads, df).first()
     assert (r.n_reads, r.n_unique, r.n_multi, r.n_unmapped, r.pct_unmapped) == (4, 1, 1, 2, 50.0)

@@ -85,7 +85,7 @@ def test_precedence_of_outcomes(spark):
         (100, "10M"),
     )
     counted = overlap.assigned_counts(df, exons)
-    got = {r.status: r.n for r in overlap.assignment_summary(counted, df.select("sample")).collect()}
+    got = {r.status: r.n for r in overlap.assignment_summary(counted).collect()}
     assert got == {
         overlap.IS_UNMAPPED: 1,
         overlap.MAPPING_QUALITY: 1,
@@ -160,11 +160,32 @@ def test_tpm_and_cpm_add_up_to_a_million(spark, sf_dir):
 def test_mean_counts_a_missing_sample_as_zero(spark):
     rows = [("g", "a", 10, 100), ("g", "b", 30, 100), ("h", "a", 10, 100)]
     counts = spark.createDataFrame(rows, "gene_id string, sample string, count long, length int")
-    tpm = expression.tpm(counts)
+    tpm = expression.tpm(counts, with_samples=True)
     for n in (None, 2):
         got = {r.gene_id: r.mean_tpm for r in expression.mean_tpm(tpm, n).collect()}
         assert got == {"g": pytest.approx(750_000.0), "h": pytest.approx(250_000.0)}
-    assert [r.gene_id for r in expression.top_genes(tpm, 1).collect()] == ["g"]
+    assert [(r.gene_id, r["rank"]) for r in expression.top_genes(tpm, 1).collect()] == [("g", 1)]
+    with pytest.raises(ValueError, match="number of samples"):
+        expression.mean_tpm(expression.tpm(counts))
+
+
+def test_unmapped_reads_without_a_row(spark):
+    exons = spark.createDataFrame([("g", "c", 1, 50, "+")], EXONS)
+    df = table(spark, (1, "10M"), (1, "10M", {"flag": 4}), (1, "10M", {"flag": 256}))
+    reads = spark.createDataFrame([("s",)] * 5, "sample string")
+    got = {r.gene_id: r.unstranded for r in overlap.gene_counts_by_strand(reads, df, exons).collect()}
+    assert got == {"g": 1, "N_unmapped": 4, "N_multimapping": 0, "N_noFeature": 0, "N_ambiguous": 0}
+
+
+def scans(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("lineitem.parquet")
+
+
+def test_alignments_are_read_once(spark, sf_dir):
+    a, exons = fx.alignments(spark, sf_dir), fx.exons(spark, sf_dir)
+    counted = overlap.assigned_counts(a, exons, width=fx.BIN)
+    assert scans(overlap.assignment_summary(counted)) == 1
 
 
 def test_sample_rules(spark):

@@ -6,42 +6,110 @@ from pyspark.sql import functions as F
 from readloom.catalog import fixtures as fx
 from readloom.operators import reads_qc, trim
 from readloom.plans import workflow
-
-# Numbers shown by the QC reports of two sequencing runs.
-RUN_A = {
-    "total_sequences": 7085020.0,
-    "min_length": 35.0,
-    "length_spread": 16.0,
-    "min_lower_quartile": 27.0,
-    "min_median": 27.0,
-    "mode_quality": 38.0,
-    "max_base_difference": 40.0621680373931,
-    "gc_deviation": 49.0,
-    "max_pct_n": 0.11414223248487655,
-    "dedup_pct": 44.92475128448297,
-    "max_sequence_pct": 0.11456566107082267,
-    "max_adapter_pct": 0.6350017360572023,
-}
-RUN_B = {**RUN_A, "max_base_difference": 44.5, "gc_deviation": 45.0, "dedup_pct": 50.474677563667214, "max_sequence_pct": 0.09}
-VERDICTS = {
-    "Basic Statistics": ("PASS", "PASS"),
-    "Per base sequence quality": ("PASS", "PASS"),
-    "Per sequence quality scores": ("PASS", "PASS"),
-    "Per base sequence content": ("FAIL", "FAIL"),
-    "Per sequence GC content": ("FAIL", "FAIL"),
-    "Per base N content": ("PASS", "PASS"),
-    "Sequence Length Distribution": ("WARN", "WARN"),
-    "Sequence Duplication Levels": ("FAIL", "WARN"),
-    "Overrepresented sequences": ("WARN", "PASS"),
-    "Adapter Content": ("PASS", "PASS"),
+from readloom.sources import reports
+
+# Lines of the QC reports of two sequencing runs: whole modules of a few lines, the GC histogram, and of
+# long tables the rows with the extreme values.
+GC_A = """1938.0 1111.5 285.0 286.0 351.5 460.0 515.0 806.5 1207.5 1461.5 1974.0 2451.0 2566.5 2914.5 3290.5 4289.0 5112.0
+7466.0 10059.0 15206.5 20457.5 28010.0 35715.5 47572.0 59206.0 72581.5 96522.5 113396.5 132012.5 150248.0 168956.5 187487.0
+206474.0 224640.5 243709.0 262308.0 277278.5 290273.0 298530.5 304266.5 310694.5 319321.5 325811.5 331729.0 338204.5 341859.5
+344727.0 348826.5 355174.0 363505.0 380815.5 402308.0 421782.0 437532.5 472307.0 509085.0 523487.5 531931.0 523405.5 511848.5
+469602.5 414562.5 355413.0 303277.5 252992.5 203976.5 160979.0 119276.0 95486.5 75319.0 63790.0 53865.5 45894.5 38276.5 31096.0
+22377.0 18484.0 12705.5 6938.0 4087.5 1243.5 793.5 356.5 238.0 114.5 87.5 65.0 43.5 22.0 13.0 4.0 2.0 0.0 0.0 0.0 0.0 0.0 0.5
+1.0 1.5 2.0"""
+GC_B = """1427.0 803.0 179.0 189.0 243.5 296.5 314.0 550.0 872.0 1094.0 1482.0 1910.0 2069.0 2650.0 3301.5 4713.5 6078.5
+9924.5 13862.5 21313.0 28920.0 40050.5 51279.5 68257.0 85181.0 102947.5 134686.5 156561.0 179354.5 200803.5 222018.0 242194.5
+258840.0 274639.5 291601.5 306102.0 314747.0 322193.5 323156.5 321408.0 320293.0 320651.0 320836.0 321030.0 318487.5 311641.5
+303235.0 296823.5 294231.5 294129.5 299126.5 305827.0 307463.5 306133.0 314098.0 322833.0 326691.0 329205.0 323604.0 317052.5
+292694.0 261505.5 226430.5 195456.5 165197.5 135366.0 108215.0 81379.5 66652.0 54487.0 48178.5 42683.5 37090.5 31782.5 25659.5
+17093.0 13185.5 9303.0 5403.0 3314.0 1241.5 768.0 296.5 220.0 137.5 86.5 48.0 29.0 10.0 5.5 1.0 0.5 0.0 0.5 1.0 0.5 0.0 0.0 0.0
+0.0 0.0"""
+REPORT = """##FastQC\t0.12.1
+>>Basic Statistics\tpass
+#Measure\tValue
+Total Sequences\t{total}
+Sequence length\t35-51
+>>END_MODULE
+>>Per base sequence quality\tpass
+#Base\tMean\tMedian\tLower Quartile\tUpper Quartile\t10th Percentile\t90th Percentile
+3\t{quality}\t27.0\t27.0\t37.0\t22.0\t37.0
+>>END_MODULE
+>>Per sequence quality scores\tpass
+#Quality\tCount
+{scores}
+>>END_MODULE
+>>Per base sequence content\tfail
+#Base\tG\tA\tT\tC
+{content}
+>>END_MODULE
+>>Per sequence GC content\tfail
+#GC Content\tCount
+{gc}
+>>END_MODULE
+>>Per base N content\tpass
+#Base\tN-Count
+35\t{unknown}
+>>END_MODULE
+>>Sequence Duplication Levels\t{duplication}
+#Total Deduplicated Percentage\t{dedup}
+#Duplication Level\tPercentage of total
+>>END_MODULE
+>>Overrepresented sequences\t{over}
+>>END_MODULE
+>>Adapter Content\tpass
+#Position\tIllumina Universal Adapter\tIllumina Small RNA 3' Adapter\tIllumina Small RNA 5' Adapter\tNextera Transposase Sequence\tPolyA\tPolyG
+40\t{adapters}
+>>END_MODULE
+"""
+
+
+def gc_lines(counts):
+    return "\n".join(f"{i}\t{n}" for i, n in enumerate(counts.split()))
+
+
+REPORTS = {
+    "a": REPORT.format(
+        total=7085020,
+        quality="28.55940844203686",
+        scores="39\t1310837.0\n38\t1673272.0",
+        content="51\t24.519505754961646\t0.0\t40.0621680373931\t35.41832620764525",
+        gc=gc_lines(GC_A),
+        unknown="0.11414223248487655",
+        duplication="fail",
+        dedup="44.92475128448297",
+        over="warn\n#Sequence\tCount\tPercentage\tPossible Source\nCCGACCATAAACGATGCCGACCGGCGATGCGGCGGCGTTATTCCCATGAC\t8117\t0.11456566107082267\tNo Hit",
+        adapters="0.004812971593587598\t0.0\t0.0\t1.1291428958563279E-4\t0.6350017360572023\t9.597714614778787E-4",
+    ),
+    "b": REPORT.format(
+        total=6067311,
+        quality="28.376387332048743",
+        scores="37\t1123746.0\n38\t1418639.0",
+        content="51\t22.810492004926335\t0.0\t44.54047545951943\t32.649032535554234",
+        gc=gc_lines(GC_B),
+        unknown="0.11568551537905342",
+        duplication="warn",
+        dedup="50.474677563667214",
+        over="pass",
+        adapters="0.004664339770946306\t0.0\t0.0\t4.9445297925225856E-5\t0.6482608193316611\t7.581612348534631E-4",
+    ),
 }
+STATUS = {"pass": "PASS", "warn": "WARN", "fail": "FAIL"}
 
 
 def test_verdicts_of_two_known_runs(spark):
-    rows = [("a", k, v) for k, v in RUN_A.items()] + [("b", k, v) for k, v in RUN_B.items()]
-    measures = spark.createDataFrame(rows, "sample string, measure string, value double")
-    got = {(r.sample, r.module): r.status for r in reads_qc.verdicts(measures).collect()}
-    assert got == {(s, m): v[i] for m, v in VERDICTS.items() for i, s in enumerate("ab")}
+    """Measures computed from the reports give the verdicts that the reports themselves state."""
+    cells = reports.parse_qc_report(spark.createDataFrame(list(REPORTS.items()), "sample string, value string"))
+    measures = workflow.report_measures(cells)
+    values = {(r["sample"], r.measure): r.value for r in measures.collect()}
+    assert values["a", "mode_quality"] == 38.0 and values["b", "length_spread"] == 16.0
+    assert values["a", "max_base_difference"] == pytest.approx(40.0621680373931)
+    assert 30 < values["b", "gc_deviation"] < 100 and 30 < values["a", "gc_deviation"] < 100
+    got = {(r["sample"], r.module): r.status for r in reads_qc.verdicts(measures).collect()}
+    stated = {(r["sample"], r.module): STATUS[r.status] for r in cells.select("sample", "module", "status").distinct().collect()}
+    # The report is silent on over-represented sequences where there is none; lengths are told by the basic statistics.
+    assert stated.pop(("b", "Overrepresented sequences")) == "PASS"
+    assert got.pop(("a", "Sequence Length Distribution")) == got.pop(("b", "Sequence Length Distribution")) == "WARN"
+    assert got == stated
 
 
 def one_sample(spark, *rows):

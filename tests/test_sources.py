@@ -81,6 +81,30 @@ def test_broken_fastq_is_an_error(tmp_path):
         fastq.FastqReader({"path": str(tmp_path / "none.fastq")}).partitions()
 
 
+@pytest.mark.parametrize("text", ["@r1\nACGT\nACGT\nIIII\n", "@r1\nACGT\n+\nIII\n", "@r1\nACG\n+\nIIII\n"])
+def test_records_are_checked(tmp_path, text):
+    reader = fastq.FastqReader({"path": write(tmp_path / "a.fastq", text)})
+    with pytest.raises(ValueError, match="broken"):
+        [list(reader.read(p)) for p in reader.partitions()]
+
+
+def test_only_read_files_outside_hidden_folders(spark, tmp_path):
+    write(tmp_path / "SRR1.fastq", fastq_text(records(3)))
+    write(tmp_path / "_temporary" / "0" / "part-0.fastq", fastq_text(records(5)))
+    write(tmp_path / ".cache" / "x.fq", fastq_text(records(5)))
+    write(tmp_path / "SRR1.fastp.json", "{}")
+    assert {r["sample"] for r in fastq.read_fastq(spark, str(tmp_path)).collect()} == {"SRR1"}
+    assert fastq.read_fastq(spark, str(tmp_path)).count() == 3
+
+
+def test_fastq_by_sample_keeps_the_names(spark, tmp_path):
+    rows = [(s, *r) for s in ("a b", "SRR1+x", "ü%2") for r in records(5)] + [("empty", "r0", "", "")]
+    df = spark.createDataFrame(rows, "sample string, read_id string, seq string, qual string")
+    fastq.write_fastq(df, str(tmp_path / "out"), by_sample=True)
+    back = fastq.read_fastq(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
 def test_read_fastq_folder(spark, tmp_path):
     write(tmp_path / "SRR1_1.fastq", fastq_text(records(10)))
     write(tmp_path / "SRR2.sra.fastq", fastq_text(records(20)))
@@ -170,11 +194,34 @@ def test_sam(spark, tmp_path):
     assert [(r.chrom, r.length) for r in d] == [("chr2", 20), ("chr1", 10)]
 
 
+def test_short_alignment_line_is_an_error(spark, tmp_path):
+    path = write(tmp_path / "S1.sam", SAM + "r3\t0\tchr1\t5\t255\t3M\n")
+    with pytest.raises(Exception, match="broken alignment line"):
+        text_tables.read_sam(spark, path).collect()
+
+
+def test_dictionary_of_several_files(spark, tmp_path):
+    for name in ("b.sam", "a.sam"):
+        write(tmp_path / name, SAM)
+    with gzip.open(tmp_path / "0.sam.gz", "wb") as f:
+        f.write(SAM.encode())
+    d = text_tables.read_sam_dictionary(spark, str(tmp_path)).orderBy("ordinal").collect()
+    assert [(r.chrom, r.length, r.ordinal) for r in d] == [("chr2", 20, 0), ("chr1", 10, 1)]
+
+
+def test_count_summary(spark, tmp_path):
+    path = write(tmp_path / "c.summary", "Status\ta/S1.bam\tS2.bam\nAssigned\t5\t6\nUnassigned_Unmapped\t0\t1\n")
+    got = {(r.path, r.status): r.n for r in reports.read_count_summary(spark, path).collect()}
+    assert got[("a/S1.bam", "Assigned")] == 5 and got[("S2.bam", "Unassigned_Unmapped")] == 1 and len(got) == 4
+    with pytest.raises(ValueError, match="Status"):
+        reports.read_count_summary(spark, write(tmp_path / "d", "x.bam\n1\n"))
+
+
 def test_count_matrix(spark, tmp_path):
-    text = "# Program:x\nGeneid\tChr\tLength\ta/S1.bam\tb/S2.bam\ng1\tc\t10\t5\t6\ng2\tc\t20\tx\t\n"
+    text = "# Program:x\nGeneid\tChr\tLength\ta/S1.bam\tb/S2.bam\ng1\tc\t10\t5\t2.75\ng2\tc\t20\tx\t\n"
     long = text_tables.read_count_matrix(spark, write(tmp_path / "m.txt", text))
     got = sorted((r.gene_id, r.length, r.path, r["count"]) for r in long.collect())
-    assert got == [("g1", 10, "a/S1.bam", 5), ("g1", 10, "b/S2.bam", 6), ("g2", 20, "a/S1.bam", 0), ("g2", 20, "b/S2.bam", 0)]
+    assert got == [("g1", 10, "a/S1.bam", 5), ("g1", 10, "b/S2.bam", 2.75), ("g2", 20, "a/S1.bam", 0), ("g2", 20, "b/S2.bam", 0)]
     for bad, message in [("Geneid\tx.bam\ng\t1\n", "Length"), ("Geneid\tLength\ng\t1\n", "no count")]:
         with pytest.raises(ValueError, match=message):
             text_tables.read_count_matrix(spark, write(tmp_path / f"{message[:2]}.txt", bad))
@@ -224,6 +271,7 @@ def test_qc_report(spark, tmp_path, newline):
         ("Sequence Duplication Levels", 1, "Percentage of total"): "27.621747081977432",
         ("Sequence Duplication Levels", 2, "Duplication Level"): ">10",
         ("Sequence Duplication Levels", 2, "Percentage of total"): "10.528331649493724",
+        ("Overrepresented sequences", None, None): None,
     }
     samples = {(r["sample"], r.status) for r in reports.read_qc_report(spark, path).collect()}
     assert samples == {("SRR1", "pass"), ("SRR1", "fail")}
@@ -246,9 +294,13 @@ def test_align_log(spark, tmp_path):
 
 def test_flagstat_and_idxstats(spark, tmp_path):
     text = "10 + 1 in total (QC-passed reads + QC-failed reads)\n8 + 0 primary\n7 + 1 mapped (70.00% : 100.00%)\n"
+    text += "3 + 0 with mate mapped to a different chr\n2 + 0 with mate mapped to a different chr (mapQ>=5)\n"
     path = write(tmp_path / "S1_Aligned.sortedByCoord.out.flagstat.txt", text)
     rows = {r.label: (r["sample"], r.passed, r.failed) for r in reports.read_flagstat(spark, path).collect()}
-    assert rows == {"in total": ("S1", 10, 1), "primary": ("S1", 8, 0), "mapped": ("S1", 7, 1)}
+    assert rows == {"in total": ("S1", 10, 1), "primary": ("S1", 8, 0), "mapped": ("S1", 7, 1)} | {
+        "with mate mapped to a different chr": ("S1", 3, 0),
+        "with mate mapped to a different chr (mapQ>=5)": ("S1", 2, 0),
+    }
     path = write(tmp_path / "S1_Aligned.sortedByCoord.out.idxstats.txt", "chr1\t10\t3\t0\n*\t0\t0\t2\n")
     rows = [tuple(r) for r in reports.read_idxstats(spark, path).collect()]
     assert rows == [("S1", "chr1", 10, 3, 0), ("S1", "*", 0, 0, 2)]
@@ -275,6 +327,7 @@ def test_manifest_reads_metadata(spark, tmp_path):
     with pytest.raises(Exception, match="file too small"):
         manifest.size_gate(rows, 4).collect()
     assert manifest.size_gate(rows, 3).count() == 2
+    assert {r["sample"]: r.passed for r in manifest.size_verdicts(rows, 10).collect()} == {"SRR1": True, "SRR2": False}
 
 
 def test_resolve_inputs(spark):
