@@ -504,12 +504,15 @@ def _largest_adapter(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     No row where no read is as long as a probe.
     """
     width = max(len(a) for a in ADAPTERS.values())
-    hits = _of_kind(cells, "adapter", by, a="adapter").groupBy(*by, "adapter").agg(F.sum("n").alias("hits"))
-    most = hits.groupBy(*by).agg(F.max("hits").alias("hits"))
-    totals = _of_kind(cells, "read", by, a="length").groupBy(*by).agg(F.sum("n").alias("reads"), F.max("length").alias("last"))
-    share = percent(F.coalesce("hits", F.lit(0)), F.col("reads"))
-    met = totals.where(F.col("last") >= width).join(most, list(by), "left")
-    return met.select(*by, share.alias("max_adapter_pct"))
+    is_read, is_hit = F.col("kind") == "read", F.col("kind") == "adapter"
+    hits = [F.coalesce(F.sum(F.when(is_hit & (F.col("a") == i), F.col("n"))), F.lit(0)) for i in range(len(ADAPTERS))]
+    totals = cells.groupBy(*by).agg(
+        F.sum(F.when(is_read, F.col("n"))).alias("reads"),
+        F.max(F.when(is_read, F.col("a"))).alias("last"),
+        F.greatest(*hits).alias("hits"),
+    )
+    share = percent(F.col("hits"), F.col("reads"))
+    return totals.where(F.col("last") >= width).select(*by, share.alias("max_adapter_pct"))
 
 
 def stage_metrics(reads: DataFrame, by: Sequence[str] = ("sample", "stage")) -> DataFrame:
@@ -561,11 +564,13 @@ def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
         F.min("length").alias("min_length"),
         (F.max("length") - F.min("length")).alias("length_spread"),
     )
-    per_score = each.where("quality >= 0").groupBy(*by, "quality").agg(F.sum("n").alias("n_reads"))
+    # Conditions on a cell's values stand inside the aggregates: as filters they would be
+    # pushed below the shuffle of the cells, which all measures are to share.
+    per_score = each.groupBy(*by, "quality").agg(F.sum("n").alias("n_reads"))
     # Highest count wins, the lower score among equals.
-    score = F.struct("n_reads", (-F.col("quality")).alias("q"))
+    score = F.when(F.col("quality") >= 0, F.struct("n_reads", (-F.col("quality")).alias("q")))
     mode = per_score.groupBy(*by).agg((-F.max(score)["q"]).alias("mode_quality"))
-    per_gc = each.where("gc >= 0").groupBy(*by, "gc").agg(F.sum("n").alias("n_reads"))
+    per_gc = each.groupBy(*by, F.when(F.col("gc") >= 0, F.col("gc")).alias("gc")).agg(F.sum("n").alias("n_reads"))
     gc = gc_deviation(dense(per_gc, by, "gc", "n_reads", F.lit(0), F.lit(100)), by)
     quality = (
         _score_percentiles(cells, by)
