@@ -1104,6 +1104,54 @@ def _(spark, sf):
     return rounded(stats, "pass_pct", "pct_unique", "pct_multi", "pct_unmapped", "assigned_pct")
 
 
+@query(
+    "general_stats_of_reports",
+    "R1 S8 S10",
+    """SELECT r.sample, r.raw_reads, r.raw_bases, r.trimmed_reads, r.trimmed_bases, round(r.pass_pct, 6) AS pass_pct,
+      floor(10000.0::DOUBLE * n_unique::DOUBLE / n_reads::DOUBLE) / 100 AS pct_unique,
+      floor(10000.0::DOUBLE * n_multi::DOUBLE / n_reads::DOUBLE) / 100 AS pct_multi,
+      floor(10000.0::DOUBLE * n_unmapped::DOUBLE / n_reads::DOUBLE) / 100 AS pct_unmapped, round(e.assigned_pct, 6) AS assigned_pct
+    FROM (SELECT sample, max(n_reads) FILTER (stage = 'raw') AS raw_reads, max(bases) FILTER (stage = 'raw') AS raw_bases,
+        max(n_reads) FILTER (stage = 'trimmed') AS trimmed_reads, max(bases) FILTER (stage = 'trimmed') AS trimmed_bases,
+        100.0::DOUBLE * (max(n_reads) FILTER (stage = 'trimmed'))::DOUBLE / (max(n_reads) FILTER (stage = 'raw'))::DOUBLE AS pass_pct
+      FROM totals GROUP BY 1) r
+    LEFT JOIN chain_rates a ON a.sample = r.sample
+    LEFT JOIN (SELECT sample, 100.0::DOUBLE * (count(*) FILTER (status = 'Assigned'))::DOUBLE / count(*)::DOUBLE AS assigned_pct
+      FROM chain_outcomes GROUP BY 1) e ON e.sample = r.sample""",
+)
+def _(spark, sf):
+    """Trimming reports, alignment logs and a counting summary, written, read and merged."""
+    trimmed, root = chain(spark, sf), scratch_dir(spark, "merge")
+    workflow.trim_report(trimmed).write.partitionBy("sample").json(f"{root}/trim")
+    aligned = fx.chain_alignments(trimmed)
+    rates = align.alignment_rates(trim.trimmed_reads(trimmed), aligned)
+    # Labels of the log's lines.
+    labels = {
+        "Uniquely mapped reads %": "n_unique",
+        "% of reads mapped to multiple loci": "n_multi",
+        "% of reads unmapped: other": "n_unmapped",
+    }
+
+    def line(label: str, n: str):
+        share = F.floor(10000.0 * F.col(n).cast("double") / F.col("n_reads").cast("double")) / 100
+        return F.concat(F.lit(f"   {label} |\t"), share.cast("string"), F.lit("%"))
+
+    lines = F.explode(F.array(*[line(label, n) for label, n in labels.items()])).alias("value")
+    rates.select("sample", lines).write.partitionBy("sample").text(f"{root}/log")
+    summary = overlap.assignment_summary(overlap.assigned_counts(aligned, fx.exons(spark, sf), width=fx.BIN))
+    samples = sorted(r[0] for r in rates.select("sample").collect())
+    wide = expression.wide(summary, "n", samples, ("status",))
+    text_tables.write_matrix_tsv(wide.withColumnsRenamed({"status": "Status", **bam_paths(samples)}), f"{root}/summary")
+    outcomes = reports.read_count_summary(spark, f"{root}/summary")
+    stats = workflow.general_stats_of_reports(
+        reports.read_trim_json(spark, f"{root}/trim"),
+        reports.read_align_log(spark, f"{root}/log"),
+        # The longest name last: src1 is also part of src10.
+        expression.rename_by_sample(outcomes, sorted(samples, key=len)),
+    )
+    return rounded(stats, "pass_pct", "assigned_pct")
+
+
 @query("status_matrix", "R2", "SELECT module, sample, status FROM qc_status WHERE stage = 'raw'")
 def _(spark, sf):
     # One column per sample found in the data; back in long form for the comparison.
