@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpoint
+
 # Identity terms by group; terms of one group stand in for one another.
 IDENTITY = (
     ("women", "men", "girls", "boys", "woman", "man", "girl", "boy", "female", "male"),
@@ -91,8 +93,15 @@ def counterfactuals(sentence: str, pick: int) -> tuple[set[str], set[str]] | Non
     return set(words), set(swapped)
 
 
+def distinct_features(words: set[str]) -> list[str]:
+    return sorted({f for w in words for f in features(w)})
+
+
+SAMPLE = "toxic int, features array<string>, swaps array<struct<before: array<string>, after: array<string>>>"
+
+
 def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, settings: Settings) -> DataFrame:
-    """(toxic, words, sentences): of the sampled rows, distinct words and the sentences with identity terms."""
+    """``SAMPLE`` of the sampled rows: features, and those of sentences before and after a swap."""
     chosen = labels.select(F.col(f"`{doc_id}`").alias("of"), F.col(f"`{label}`").cast("int").alias("toxic"))
     chosen = chosen.where("of is not null and toxic is not null").groupBy("of").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("of"), "of").limit(settings.sample)
@@ -100,82 +109,88 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label:
     rows = own.join(F.broadcast(chosen), F.col("own") == F.col("of")).select("toxic", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        several = pa.list_(pa.string())
+        pairs = pa.list_(pa.struct([("before", several), ("after", several)]))
         for batch in batches:
-            words, sentences = [], []
-            for value in batch.column(1):
-                low = (value.as_py() or "").lower()
-                own = set(WORD.findall(low))
-                words.append(sorted(own))
-                sentences.append([s for s in SENTENCE.split(low) if GROUP.keys() & set(WORD.findall(s))] if GROUP.keys() & own else [])
-            kind = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, kind), pa.array(sentences, kind)], ["toxic", "words", "sentences"]
-            )
-
-    return rows.mapInArrow(read, "toxic int, words array<string>, sentences array<string>")
-
-
-def entries(lists: pa.ChunkedArray | list) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Row and feature of each entry of lists of words, each pair once, and the features' names."""
-    words = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else pa.array(lists, pa.list_(pa.string()))
-    row = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy(zero_copy_only=False))
-    coded = words.flatten().dictionary_encode()
-    numbers: dict[str, int] = {}
-    own = [[numbers.setdefault(f, len(numbers)) for f in features(w)] for w in coded.dictionary.to_pylist()]
-    sizes = np.array([len(x) for x in own], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    flat = np.array([i for x in own for i in x], np.int64)
-    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    many = sizes[word] if len(word) else np.zeros(0, np.int64)
-    inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    pairs = np.repeat(row, many) * (len(numbers) + 1) + flat[np.repeat(starts[word], many) + inside]
-    pairs.sort()
-    pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]] if len(pairs) else pairs
-    return pairs // (len(numbers) + 1), pairs % (len(numbers) + 1), list(numbers)
-
-
-def chosen_features(row: np.ndarray, feature: np.ndarray, names: list[str], toxic: np.ndarray, settings: Settings) -> dict[str, int]:
-    """Those whose shares of the toxic and of the other texts differ most, with their numbers."""
-    ones, zeros = toxic.sum(), len(toxic) - toxic.sum()
-    bad = np.bincount(feature, toxic[row], len(names))
-    every = np.bincount(feature, minlength=len(names))
-    share = every / len(toxic)
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / ones + 1 / zeros))
-    z = np.abs(bad / ones - (every - bad) / zeros) / spread
-    usable = np.flatnonzero((every >= settings.least_texts) & (every < len(toxic)) & (z >= settings.least_z))
-    ranked = sorted(usable.tolist(), key=lambda i: (-z[i], names[i]))[: settings.vocabulary]
-    return {names[i]: n for n, i in enumerate(ranked)}
-
-
-def kept_entries(lists, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    row, feature, names = entries(lists)
-    number = np.array([vocabulary.get(f, -1) for f in names] or [-1])[feature]
-    return row[number >= 0], number[number >= 0]
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                found, swaps = [], []
+                for value in part.column(1):
+                    low = (value.as_py() or "").lower()
+                    own = set(WORD.findall(low))
+                    found.append(distinct_features(own))
+                    named = SENTENCE.split(low) if GROUP.keys() & own else []
+                    both = [c for k, sentence in enumerate(named) if (c := counterfactuals(sentence, k))]
+                    swaps.append([{"before": distinct_features(x), "after": distinct_features(y)} for x, y in both])
+                columns = [part.column(0), pa.array(found, several), pa.array(swaps, pairs)]
+                yield pa.RecordBatch.from_arrays(columns, ["toxic", "features", "swaps"])
+
+    return rows.mapInArrow(read, SAMPLE)
+
+
+def vocabulary_of(sample: DataFrame, ones: int, zeros: int, settings: Settings) -> dict[str, int]:
+    """Numbers of the features whose shares of the toxic and of the other texts differ most."""
+    counts = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature")
+    counts = counts.agg(F.count("*").alias("every"), F.sum("toxic").alias("bad"))
+    share = F.col("every") / F.lit(ones + zeros)
+    spread = F.sqrt(share * (1 - share) * F.lit(1 / ones + 1 / zeros))
+    z = F.abs(F.col("bad") / F.lit(ones) - (F.col("every") - F.col("bad")) / F.lit(zeros)) / spread
+    usable = F.col("every").between(settings.least_texts, ones + zeros - 1)
+    best = counts.where(usable).withColumn("z", z).where(F.col("z") >= settings.least_z)
+    names = best.orderBy(F.desc("z"), "feature").limit(settings.vocabulary).select("feature").toArrow()
+    return {name: i for i, name in enumerate(names["feature"].to_pylist())}
+
+
+def numbered(sample: DataFrame, vocabulary: dict[str, int]) -> pa.Table:
+    """The sample with features as numbers; those outside the vocabulary are left out."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        several = pa.list_(pa.int32())
+
+        def ids(names: list[str]) -> list[int]:
+            return [vocabulary[f] for f in names if f in vocabulary]
+
+        for batch in batches:
+            found = [ids(x.as_py()) for x in batch.column(1)]
+            swaps = [x.as_py() for x in batch.column(2)]
+            columns = [
+                batch.column(0),
+                pa.array(found, several),
+                *[pa.array([[ids(s[side]) for s in x] for x in swaps], pa.list_(several)) for side in ("before", "after")],
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "features", "before", "after"])
+
+    kinds = "toxic int, features array<int>, before array<array<int>>, after array<array<int>>"
+    return sample.mapInArrow(read, kinds).toArrow()
+
+
+def entries(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of each entry."""
+    flat = np.array([i for x in lists for i in x], np.int64)
+    return np.repeat(np.arange(len(lists)), [len(x) for x in lists]), flat
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label="toxic", settings=Settings()) -> Model:
-    """The model from at most ``settings.sample`` rows of ``labels``."""
-    sample = labelled(docs, labels, doc_id, text, label, settings).toArrow()
-    toxic = sample["toxic"].to_numpy().astype(np.float64)
-    ones, zeros = toxic.sum(), len(toxic) - toxic.sum()
+    """The model from at most ``settings.sample`` rows of ``labels``.
+
+    Spark counts the features; the driver gets the vocabulary, and of each sampled row the
+    numbers of the features it has from it.
+    """
+    sample = checkpoint(labelled(docs, labels, doc_id, text, label, settings))
+    kinds = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("ones")).first()
+    ones, zeros = kinds["ones"], kinds["n"] - kinds["ones"]
     if not ones or not zeros:
-        share = float(toxic.mean()) if len(toxic) else 0.0
+        share = ones / kinds["n"] if kinds["n"] else 0.0
         return Model(float(np.log((share + 1e-9) / (1 - share + 1e-9))), {})
-    row, feature, names = entries(sample["words"])
-    vocabulary = chosen_features(row, feature, names, toxic, settings)
-    number = np.array([vocabulary.get(f, -1) for f in names] or [-1])[feature]
-    row, feature = row[number >= 0], number[number >= 0]
-    swaps = [
-        pair
-        for i, cell in enumerate(sample["sentences"].to_pylist())
-        for k, sentence in enumerate(cell)
-        if (pair := counterfactuals(sentence, i + k))
-    ]
-    before = [sorted(a) for a, _ in swaps] + [[] for _ in GROUP]
-    after = [sorted(b) for _, b in swaps] + [[term] for term in GROUP]
-    down_row, down = kept_entries(before, vocabulary)
-    up_row, up = kept_entries(after, vocabulary)
-    n, pairs, m = len(toxic), len(before), len(vocabulary)
+    vocabulary = vocabulary_of(sample, ones, zeros, settings)
+    table = numbered(sample, vocabulary)
+    toxic = table["toxic"].to_numpy().astype(np.float64)
+    row, feature = entries(table["features"].to_pylist())
+    mentions = [[vocabulary[f] for f in features(term) if f in vocabulary] for term in GROUP]
+    before, after = ([s for x in table[side].to_pylist() for s in x] for side in ("before", "after"))
+    down_row, down = entries(before + [[]] * len(mentions))
+    up_row, up = entries(after + mentions)
+    n, pairs, m = len(toxic), len(before) + len(mentions), len(vocabulary)
     weights, bias = np.zeros(m), float(np.log(ones / zeros))
     moment, square = np.zeros(m + 1), np.zeros(m + 1)
     for step in range(1, settings.steps + 1):
