@@ -40,7 +40,7 @@ TOGETHER = 400_000
 class Limits:
     min_words: int = 8  # shorter repeats are ordinary language
     max_covered: float = 0.3  # share of the word characters inside repeats
-    max_longest: int = 100  # words of the longest repeat
+    max_longest: int = 50  # words of the longest repeat: longer ones are passages, not phrases
     floor: int = 50  # words of the shortest text that passes
     window: int = 3
     max_window_share: float = 0.5
