@@ -61,6 +61,7 @@ VIEWS: dict[str, str] = {
     "counts": """SELECT concat('G', lpad(CAST(l_partkey AS VARCHAR), 6, '0')) AS gene_id, l_returnflag AS sample,
         CAST(sum(l_quantity) AS BIGINT) AS "count", CAST(200 + max(p_size) * 40 AS INTEGER) AS length
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
+    # File name endings, first choice first.
     "suffixes": """SELECT * FROM (VALUES (0, '_1.fastq'), (1, '_1.fastq.gz'), (2, '.fastq'), (3, '.fastq.gz'),
         (4, '.sra.fastq'), (5, '.sra.fastq.gz')) AS v(priority, suffix)""",
     "listing": """SELECT source AS sample,
@@ -148,6 +149,7 @@ VIEWS: dict[str, str] = {
     "copies": "SELECT sample, stage, substr(seq, 1, 50) AS seq_key, count(*) AS copies FROM staged GROUP BY 1, 2, 3",
     "dup_share": """SELECT sample, stage, 100.0::DOUBLE * count(*)::DOUBLE / sum(copies)::DOUBLE AS dedup_pct,
         100.0::DOUBLE * max(copies)::DOUBLE / sum(copies)::DOUBLE AS max_sequence_pct FROM copies GROUP BY 1, 2""",
+    # Adapter names and 12-mers.
     "adapters": """SELECT * FROM (VALUES (0, 'illumina_universal_adapter', 'Illumina Universal Adapter', 'AGATCGGAAGAG'),
         (1, 'illumina_small_rna_3_adapter', 'Illumina Small RNA 3'' Adapter', 'TGGAATTCTCGG'),
         (2, 'illumina_small_rna_5_adapter', 'Illumina Small RNA 5'' Adapter', 'GATCGTCGGACT'),
@@ -176,6 +178,7 @@ VIEWS: dict[str, str] = {
         UNION ALL SELECT sample, stage, 'dedup_pct', dedup_pct FROM dup_share
         UNION ALL SELECT sample, stage, 'max_sequence_pct', max_sequence_pct FROM dup_share
         UNION ALL SELECT sample, stage, 'max_adapter_pct', max_adapter_pct FROM adapter_share""",
+    # Module titles and their limits.
     "thresholds": """SELECT * FROM (VALUES
         ('Basic Statistics', 'total_sequences', -1, NULL, NULL),
         ('Per base sequence quality', 'min_lower_quartile', -1, 10.0, 5.0),

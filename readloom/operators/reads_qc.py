@@ -475,7 +475,7 @@ def gc_deviation(gc_hist: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     )
 
 
-# Module, measure, side of the limit that is bad, WARN limit, FAIL limit (strict).
+# Module, measure, side of the limit that is bad, WARN limit, FAIL limit (strict).
 THRESHOLDS = [
     ("Basic Statistics", "total_sequences", "below", None, None),
     ("Per base sequence quality", "min_lower_quartile", "below", 10.0, 5.0),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Columns of the verdict file and of idxstats.
 STATUS_SCHEMA = "status string, module string, file string"
 IDXSTATS_SCHEMA = "chrom string, length long, mapped long, unmapped long"
 # Fields used of the trimming report; other fields of the file are not read.
