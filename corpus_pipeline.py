@@ -44,7 +44,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, and digests of them and of what they decode to."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_text=False)
 
 
 STAGES = [

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
-#: Matches, and pairs of tokens, that a worker remembers.
-REMEMBERED = 400_000
+KINDS = {"long": T.LongType(), "string": T.StringType(), "binary": T.BinaryType()}
+#: Matches of a generation that a worker remembers, and a third of the pairs of tokens.
+REMEMBERED = 120_000
+#: Texts whose ids a worker holds.
+ROWS_AT_ONCE = 256
 NEVER = 1 << 60
 
 
@@ -49,10 +54,13 @@ class Vocabulary:
         self.rank = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.token = {rank: token for token, rank in self.rank.items()}
         self.longest = max(map(len, self.token.values()))
-        self.endings = {token[i:] for token in self.rank for i in range(len(token))}
+        # Proper endings of tokens that are no tokens themselves.
+        self.endings = {end for t in self.rank for i in range(1, len(t)) if (end := t[i:]) not in self.rank}
         self.parts: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        # Two generations: what is not used until the younger one is full again is forgotten.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.spines: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
@@ -90,7 +98,8 @@ class Vocabulary:
         Of equal ranks the leftmost merges first: one inside ``a`` before the one across,
         that before one inside ``b``.
         """
-        answer = self.pairs.get((a, b))
+        pair = a << 32 | b
+        answer = self.pairs.get(pair)
         if answer is None:
             answer = True
             for left, until_left in self.spine(a, 1):
@@ -98,17 +107,22 @@ class Vocabulary:
                     across = self.rank.get(left + right)
                     if across is not None and across < until_left and across <= until_right:
                         answer = False
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= 3 * REMEMBERED:
                 self.pairs.clear()
-            self.pairs[a, b] = answer
+            self.pairs[pair] = answer
         return answer
 
     def encode_match(self, match: str) -> bytes:
         """Ids of one match of the pattern, as little-endian unsigned 32-bit integers."""
-        ids = PrefixTable(self, match.encode()).ids()
+        whole = self.rank.get(data := match.encode())
+        ids = [whole] if whole is not None and self.reachable(whole) else PrefixTable(self, data).ids()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def remembered(self, match: str) -> bytes:
+        packed = self.known.get(match) or self.older.get(match) or self.encode_match(match)
         if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[match] = packed = np.array(ids, "<u4").tobytes()
+            self.known, self.older = {}, self.known
+        self.known[match] = packed
         return packed
 
     def encode(self, matches: list[str]) -> bytes:
@@ -116,7 +130,7 @@ class Vocabulary:
         try:
             return b"".join([known[m] for m in matches])
         except KeyError:
-            return b"".join([known.get(m) or self.encode_match(m) for m in matches])
+            return b"".join([known.get(m) or self.remembered(m) for m in matches])
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -129,23 +143,35 @@ class PrefixTable:
         self.vocabulary, self.data, self.last = vocabulary, b"", []
         self.append(data)
 
-    def last_token(self, end: int, last: list[int]) -> int:
+    def extend(self, last: list[int], until: int) -> None:
+        """Append to ``last`` up to the prefix of ``until`` bytes."""
         v, data = self.vocabulary, self.data
-        for start in range(end - 1, -1, -1):
-            piece = data[start:end]
-            if piece not in v.endings:
-                break
-            token = v.rank.get(piece)
-            if token is not None and (v.compatible(last[start - 1], token) if start else v.reachable(token)):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
+        rank, pairs, endings = v.rank.get, v.pairs.get, v.endings
+        for end in range(len(last) + 1, until + 1):
+            start = end - 1
+            while start >= 0:
+                piece = data[start:end]
+                token = rank(piece)
+                if token is None:
+                    if piece not in endings:
+                        start = -1
+                        break
+                elif not start:
+                    if v.reachable(token):
+                        break
+                else:
+                    fits = pairs(last[start - 1] << 32 | token)
+                    if v.compatible(last[start - 1], token) if fits is None else fits:
+                        break
+                start -= 1
+            if start < 0:
+                raise ValueError("the vocabulary lacks a byte")
+            last.append(token)
 
     def append(self, more: bytes) -> None:
         """Longer data; no entry that is there changes."""
-        begin = len(self.data)
         self.data += more
-        for end in range(begin + 1, len(self.data) + 1):
-            self.last.append(self.last_token(end, self.last))
+        self.extend(self.last, len(self.data))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` for the bytes from ``start`` to ``stop``; the number of entries worked out anew."""
@@ -156,7 +182,7 @@ class PrefixTable:
             if agreed >= self.vocabulary.longest:
                 last += old[end - 1 + shift :]
                 break
-            last.append(self.last_token(end, last))
+            self.extend(last, end)
             same = end > start + len(new) and last[-1] == old[end - 1 + shift]
             agreed = agreed + 1 if same else 0
         else:
@@ -172,28 +198,40 @@ class PrefixTable:
         return out[::-1]
 
 
-def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with the columns of ``RESULT``: token ids as bytes, their number and digest, digest of what they decode to."""
+def encode_documents(
+    docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep_text: bool = True, keep_ids: bool = True
+) -> DataFrame:
+    """``docs`` with the columns of ``RESULT``: number of tokens, digest of their ids (little-endian
+    unsigned 32-bit integers), digest of what these decode to, and the ids themselves.
+
+    Rows go through in slices, so a worker holds few texts and their ids at a time.
+    """
     # One object in each Python worker: what it has learned serves the worker's later tasks as well.
     shared = docs.sparkSession.sparkContext.broadcast({"file": ranks})
-
-    def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    results = [x.split() for x in RESULT.split(",")]
+    names = [name for name, _ in results]
+    others = [c for c in docs.columns if c not in names and (keep_text or c != text)]
+    schema = T.StructType(
+        [docs.schema[c] for c in others]
+        + [T.StructField(n, KINDS[kind]) for n, kind in results if keep_ids or n != "ids"]
+    )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         if "vocabulary" not in held:
             held["vocabulary"] = Vocabulary(held.pop("file"))
         vocabulary, find = held["vocabulary"], regex.compile(pattern).findall
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.binary()][: 3 + keep_ids]
         for batch in batches:
-            rows = []
-            for value in batch:
-                ids = vocabulary.encode(find(value.as_py() or ""))
-                decoded = vocabulary.decode(ids)
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest(), ids))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.binary()]
-            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    names = [x.split()[0] for x in RESULT.split(",")]
-    coded = F.arrow_udf(column, RESULT)
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    found = docs.select(*others, coded(F.col(f"`{text}`")).alias("_coded"))
-    return found.select(*others, *[F.col(f"_coded.{n}").alias(n) for n in names])
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                rows = []
+                for value in part.column(len(others)):
+                    ids = vocabulary.encode(find(value.as_py() or ""))
+                    decoded = hashlib.sha256(vocabulary.decode(ids)).hexdigest()
+                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded, ids)[: 3 + keep_ids])
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(others)], *columns], schema.names)
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").alias("_text"))
+    return rows.mapInArrow(encode, schema)

@@ -65,8 +65,8 @@ def _(spark, sf):
 @query("op5_byte_bpe")
 def _(spark, sf):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = byte_bpe.encode_documents(table(spark, sf, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_text=False, keep_ids=False)
 
 
 @query("op6_chat", sql.CHAT)
