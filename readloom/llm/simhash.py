@@ -260,14 +260,18 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     groups = simhash_groups(docs, doc_id, text, **settings)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "version")).alias("best")
-    stay = checkpoint(groups.groupBy("root").agg(best).select("best.doc_id", "best.version").distinct(), spread=True)
+    # Keys without nulls: the join and the removal of repeated rows then need one and the same shuffle.
+    key = ["bare", "id", "version"]
+    stay = groups.groupBy("root").agg(best).select("best.bare", F.coalesce("best.doc_id", F.lit(0)).alias("id"), "best.version")
+    stay = checkpoint(stay.distinct(), spread=True)
+    own = F.col(f"`{doc_id}`")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(f"`{doc_id}`").alias("id"),
-        F.xxhash64(F.col(f"`{text}`")).alias("of_version"),
+        own.isNull().alias("bare"),
+        F.coalesce(own, F.lit(0)).alias("id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("version"),
     )
-    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of_version") == F.col("version"))
-    kept = rows.join(stay, same, "left_semi").dropDuplicates(["id", "of_version"])
+    kept = rows.join(stay, key, "left_semi").dropDuplicates(key)
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
