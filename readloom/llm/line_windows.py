@@ -92,7 +92,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
     gone = checkpoint(gone, spread=True)
     names = ("n_lines", "n_removed")
     others = [c for c in docs.columns if c not in names]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), own.alias("id"), body.alias("text"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in others if c != text])
+    rows = docs.select(rest.alias("row"), own.alias("id"), body.alias("text"))
     rows = rows.withColumn("version", F.xxhash64("text"))
     met = rows.join(gone, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("version") == F.col("of_version")), "left")
     met = met.withColumn("cut", without(window)(F.when(F.col("later").isNotNull(), F.col("text")), F.col("later")))
