@@ -144,10 +144,25 @@ class PrefixTable:
         self.append(data)
 
     def extend(self, last: list[int], until: int) -> None:
-        """Append to ``last`` up to the prefix of ``until`` bytes."""
+        """Append to ``last`` up to the prefix of ``until`` bytes.
+
+        Only one token fits, so the likeliest is tried first: the last one grown by a byte.
+        """
         v, data = self.vocabulary, self.data
         rank, pairs, endings = v.rank.get, v.pairs.get, v.endings
+        begin = len(last) - len(v.token[last[-1]]) if last else 0
         for end in range(len(last) + 1, until + 1):
+            token = rank(data[begin:end])
+            if token is not None:
+                if not begin:
+                    fits = v.reachable(token)
+                else:
+                    fits = pairs(last[begin - 1] << 32 | token)
+                    if fits is None:
+                        fits = v.compatible(last[begin - 1], token)
+                if fits:
+                    last.append(token)
+                    continue
             start = end - 1
             while start >= 0:
                 piece = data[start:end]
@@ -167,6 +182,7 @@ class PrefixTable:
             if start < 0:
                 raise ValueError("the vocabulary lacks a byte")
             last.append(token)
+            begin = start
 
     def append(self, more: bytes) -> None:
         """Longer data; no entry that is there changes."""
