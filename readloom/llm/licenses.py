@@ -7,7 +7,8 @@ grams of a text are looked up in it, whatever the text's length. Hits of one tem
 whose diagonals (place in text less place in template) lie within ``band`` are a candidate;
 each is aligned locally inside a band around its diagonals: 2 for equal words, -1 for an
 unequal or missing one. Reported is what covers enough of the template: share of its
-words, and the span in the text.
+words, and the span in the text. What lies before and after an alignment is aligned again
+as long as it holds hits, so a candidate gives as many matches as stand in it.
 
 Defined results: null and empty texts have no matches; of matches whose spans overlap the
 one with more matched words stands, ties go to the greater coverage, then the earlier name;
@@ -19,8 +20,10 @@ gives way to the result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -145,29 +148,37 @@ class Scanner:
         self.known[word] = number = self.numbers.get(normal(word), -1)
         return number
 
-    def candidates(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, lowest, highest diagonal) of hits that belong together."""
+    def stretches(self, codes: np.ndarray) -> list[tuple[int, list[tuple[int, int]]]]:
+        """(template, its hits that belong together as (diagonal, place in the text), in order)."""
         grams = self.grams(codes)
         at = np.searchsorted(self.fingerprints, grams)
         hit = (grams >= 0) & (at < len(self.fingerprints))
         hit[hit] = self.fingerprints[at[hit]] == grams[hit]
-        diagonals: dict[int, list[int]] = defaultdict(list)
+        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for place in np.flatnonzero(hit).tolist():
             for number, own in self.index[int(grams[place])]:
-                diagonals[number].append(place - own)
+                hits[number].append((place - own, place))
         out = []
-        for number, found in diagonals.items():
-            found = sorted(set(found))
-            low = last = found[0]
-            for d in [*found[1:], None]:
+        for number, found in hits.items():
+            found.sort()
+            begin = 0
+            for i in range(1, len(found) + 1):
+                d = found[i][0] if i < len(found) else None
+                last, low = found[i - 1][0], found[begin][0]
                 if d is None or d - last > self.settings.band or d - low > 4 * self.settings.band:
-                    out.append((number, low, last))
-                    low = d
-                last = d
+                    out.append((number, found[begin:i]))
+                    begin = i
         return out
 
-    def align(self, codes: np.ndarray, number: int, low: int, high: int) -> tuple[int, int, int]:
-        """Best local alignment in the band: matched words, first and end word in the text."""
+    def candidates(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(template, lowest, highest diagonal) of hits that belong together."""
+        return [(number, hits[0][0], hits[-1][0]) for number, hits in self.stretches(codes)]
+
+    def align(
+        self, codes: np.ndarray, number: int, low: int, high: int, first: int = 0, end: int | None = None
+    ) -> tuple[int, int, int]:
+        """Best local alignment of words ``first`` to ``end`` in the band: matched words, its first and end word."""
+        stop = len(codes) if end is None else end
         template, band = self.templates[number], self.settings.band
         width = high - low + 2 * band + 1
         # A cell: score, matches, where it began, where its last match ended.
@@ -177,7 +188,7 @@ class Scanner:
             row, left = [], (0, 0, 0, 0)
             for k in range(width):
                 j = i + low - band + k
-                if not 0 <= j < len(codes):
+                if not first <= j < stop:
                     left = (0, 0, 0, 0)
                     row.append(left)
                     continue
@@ -196,26 +207,49 @@ class Scanner:
             above = row
         return best[1:]
 
+    def offer(self, queue: list[tuple], codes: np.ndarray, number: int, hits: list, first: int, end: int) -> None:
+        """Best alignment of words ``first`` to ``end`` into ``queue``; where it covers too little, those of both sides."""
+        rest = [(first, end)]
+        while rest:
+            first, end = rest.pop()
+            own = [h for h in hits if first <= h[1] <= end - self.settings.gram]
+            if not own:
+                continue
+            matched, begin, stop = self.align(codes, number, own[0][0], own[-1][0], first, end)
+            coverage = matched / len(self.templates[number])
+            if coverage >= self.settings.least_coverage:
+                heappush(queue, (-matched, -coverage, self.names[number], begin, stop, number, own, first, end))
+            else:
+                rest += [(first, begin), (stop, end)]
+
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """Matches (name, coverage, matched words, first and end character), in order of place."""
         words = text.split()
         known = self.known
         numbers = [known[w] if w in known else self.code(w) for w in words]
         codes = np.array(numbers, np.int64)
-        found = []
-        for number, low, high in self.candidates(codes):
-            matched, begin, end = self.align(codes, number, low, high)
-            coverage = matched / len(self.templates[number])
-            if coverage >= self.settings.least_coverage:
-                found.append((-matched, -coverage, self.names[number], begin, end))
-        kept: list[tuple] = []
-        for match in sorted(found):
-            if all(match[4] <= other[3] or other[4] <= match[3] for other in kept):
-                kept.append(match)
+        queue: list[tuple] = []
+        for number, hits in self.stretches(codes):
+            self.offer(queue, codes, number, hits, 0, len(codes))
+        begins: list[int] = []
+        kept: list[tuple] = []  # in order of place, and apart
+        while queue:
+            match = heappop(queue)
+            begin, end, number, hits, first, stop = match[3:]
+            at = bisect_left(begins, begin)
+            at -= at > 0 and kept[at - 1][4] > begin
+            parted = at
+            while parted < len(kept) and begins[parted] < end:
+                parted += 1
+            taken = [k[3:5] for k in kept[at:parted]] or [(begin, end)]
+            if at == parted:
+                begins.insert(at, begin)
+                kept.insert(at, match[:5])
+            for free, until in zip([first, *[e for _, e in taken]], [*[b for b, _ in taken], stop]):
+                self.offer(queue, codes, number, hits, free, until)
         if not kept:
             return []
         spans = [m.span() for m in WORD.finditer(text)]
-        kept.sort(key=lambda m: m[3])
         return [(name, -share, -many, spans[begin][0], spans[end - 1][1]) for many, share, name, begin, end in kept]
 
 

@@ -87,6 +87,43 @@ def test_banded_alignment_against_the_whole_table(scanner):
         assert max(scanner.align(codes, *c)[0] for c in hits) == brute_align(scanner, text, 2)
 
 
+def brute_matches(scanner, codes):
+    """Matched words of unbanded alignments of the one template: the best one, then those before and after it."""
+    template, wide = scanner.templates[0], len(codes) + len(scanner.templates[0])
+    if len(codes) < scanner.settings.least_coverage * len(template):
+        return []
+    many, begin, end = scanner.align(codes, 0, -wide, wide)
+    assert many == brute_align(scanner, codes.tolist(), 0)
+    if not many:
+        return []
+    own = [many] if many >= scanner.settings.least_coverage * len(template) else []
+    return brute_matches(scanner, codes[:begin]) + own + brute_matches(scanner, codes[end:])
+
+
+@pytest.mark.parametrize("number", [0, 3, 5, 10, 13])
+def test_statements_close_to_each_other(scanner, number):
+    name, text = licenses.TEMPLATES[number]
+    for gap in range(14):
+        found = scanner.scan((text + " and" * gap + "\n") * 60)
+        assert [(m[0], m[1]) for m in found] == [(name, 1.0)] * 60
+
+
+def test_matches_against_unbanded_alignments():
+    import numpy as np
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(16)]
+    scanner = licenses.Scanner([("own", " ".join(words))])
+    for _ in range(25):
+        text = []
+        for _ in range(rng.randint(1, 7)):
+            cut = rng.randint(0, 3)
+            text += words[cut:] if rng.random() < 0.5 else words[: len(words) - cut]
+            text += ["pad"] * rng.randint(0, 9)
+        codes = np.array([scanner.code(w) for w in text])
+        assert [m[2] for m in scanner.scan(" ".join(text))] == brute_matches(scanner, codes)
+
+
 def test_awkward_rows(spark):
     docs = documents(spark, licenses="mine", other=2)
     found = licenses.scan_documents(docs)
