@@ -9,6 +9,9 @@ each is aligned locally inside a band around its diagonals: 2 for equal words, -
 unequal or missing one. Reported is what covers enough of the template: share of its
 words, and the span in the text. What lies before and after an alignment is aligned again
 as long as it holds hits, so a candidate gives as many matches as stand in it.
+Templates of up to ``whole_up_to`` words must stand whole, word for word. Of a longer one's
+alignments those count that hold its deciding words, and no words of a licence that
+contains it.
 
 Defined results: null and empty texts have no matches; of matches whose spans overlap the
 one with more matched words stands, ties go to the greater coverage, then the earlier name;
@@ -92,11 +95,102 @@ TEMPLATES = (
     ),
 )
 
+GNU_NOTICE = """This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public
+    License as published by the Free Software Foundation, either version {version} of the License, or (at your option)
+    any later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+    even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} Public License
+    for more details."""
+GNU_TITLE = """GNU {kind} PUBLIC LICENSE Version {version}, {date} Free Software Foundation, Inc. Everyone is permitted to copy
+    and distribute verbatim copies of this license document, but changing it is not allowed."""
+GNU = (
+    ("GPL-2.0", "General", "2", "June 1991 Copyright (C) 1989, 1991"),
+    ("GPL-3.0", "General", "3", "29 June 2007 Copyright (C) 2007"),
+    ("LGPL-2.0", "Library General", "2", "June 1991 Copyright (C) 1991"),
+    ("LGPL-2.1", "Lesser General", "2.1", "February 1999 Copyright (C) 1991, 1999"),
+    ("LGPL-3.0", "Lesser General", "3", "29 June 2007 Copyright (C) 2007"),
+    ("AGPL-3.0", "Affero General", "3", "19 November 2007 Copyright (C) 2007"),
+)
+BSD = TEMPLATES[7][1] + " {third}"
+ADVERTISING = """All advertising materials mentioning features or use of this software must display the following
+    acknowledgement: This product includes software developed by the organization. """
+ENDORSING = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission."""
+CC_PARTS = {"SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
+CC_KINDS = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic", "1.0": "Generic"}
+CC_TEXT = """Creative Commons {kind} 4.0 International Public License By exercising the Licensed Rights (defined below), You
+    accept and agree to be bound by the terms and conditions of this Creative Commons {kind} 4.0 International Public
+    License ("Public License"). To the extent this Public License may be interpreted as a contract, You are granted the
+    Licensed Rights in consideration of Your acceptance of these terms and conditions"""
+
+
+def cc_name(kind: str) -> str:
+    return "-".join(["Attribution", *(CC_PARTS[part] for part in kind.split("-")[1:])])
+
+
+SIBLINGS = (
+    *[
+        (name, GNU_NOTICE.format(what=what, kind=kind, version=version))
+        for name, kind, version, _ in GNU
+        for what in ("program", "library")
+    ],
+    *[(name, GNU_TITLE.format(kind=kind, version=version, date=date)) for name, kind, version, date in GNU],
+    *[
+        (name, f"This work is licensed under the GNU {kind} Public License, version {version}.")
+        for name, kind, version, _ in GNU
+    ],
+    ("BSD-3-Clause", BSD.format(third=ENDORSING)),
+    ("BSD-4-Clause", BSD.format(third=ADVERTISING + ENDORSING)),
+    # MIT-0 is MIT without the sentence that asks for the notice.
+    ("MIT-0", re.sub(r",\s+subject to the following conditions.*?portions of the\s+Software", "", TEMPLATES[2][1], flags=re.S)),
+    (
+        "Apache-2.0",
+        """Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE,
+        REPRODUCTION, AND DISTRIBUTION 1. Definitions. "License" shall mean the terms and conditions for use,
+        reproduction, and distribution as defined by Sections 1 through 9 of this document.""",
+    ),
+    (
+        "MPL-2.0",
+        """Mozilla Public License Version 2.0 1. Definitions 1.1. "Contributor" means each individual or legal entity
+        that creates, contributes to the creation of, or owns Covered Software.""",
+    ),
+    *[(f"CC-{kind}-{version}", f"Licensed under CC {kind} {version}.") for kind in CC_KINDS for version in CC_VERSIONS],
+    *[
+        (f"CC-{kind}-{version}", f"This work is licensed under a Creative Commons {name} {version} {area} License.")
+        for kind in CC_KINDS
+        for version, area in CC_VERSIONS.items()
+        for name in dict.fromkeys([cc_name(kind), cc_name(kind).replace("Derivatives", "Derivs")])
+    ],
+    *[(f"CC-{kind}-4.0", CC_TEXT.format(kind=cc_name(kind))) for kind in CC_KINDS],
+)
+TEMPLATES += tuple(
+    own for own in SIBLINGS if " ".join(own[1].lower().split()) not in {" ".join(x.lower().split()) for _, x in TEMPLATES}
+)
+
+#: Words that tell a licence from its siblings: all of these must stand in a match of a long template.
+DECIDING = {
+    "Apache-2.0": ("apache license version 2.0",),
+    "MPL-2.0": ("mozilla public license", "2.0"),
+    "ISC": ("copyright notice and this permission notice appear in all copies",),
+    "BSD-3-Clause": ("neither the name",),
+    "BSD-4-Clause": ("all advertising materials mentioning", "neither the name"),
+    **{name: (f"gnu {kind.lower()} public license", f"version {version}") for name, kind, version, _ in GNU},
+    **{f"CC-{kind}-4.0": (f"creative commons {cc_name(kind).lower()} 4.0 international",) for kind in CC_KINDS},
+}
+#: Words of licences that contain another: none of these may stand in its match or in the ``AFTER`` words after it.
+EXCLUDING = {
+    "BSD-2-Clause": ("neither the name", "all advertising materials", "used to endorse or promote"),
+    "BSD-3-Clause": ("all advertising materials",),
+    "MIT": ("used for good not evil", "except as contained in this notice the name"),
+}
+AFTER = 60
+
 EDGE = ".,;:!?\"'()[]{}<>*#/"
 MATCH = "license string, coverage double, matched_words int, first_char int, end_char int"
 RESULT = f"array<struct<{MATCH.replace(' string', ': string').replace(' double', ': double').replace(' int', ': int')}>>"
 WORD = re.compile(r"\S+")
 REMEMBERED = 300_000
+EMPTY = -2
 
 
 @dataclass(frozen=True)
@@ -105,10 +199,13 @@ class Settings:
     window: int = 2
     band: int = 12
     least_coverage: float = 0.75
+    whole_up_to: int = 15  # words of templates that must match whole
 
 
 def normal(word: str) -> str:
-    return word.lower().strip(EDGE)
+    """The word as it is compared; what has no letter or digit is the empty word, which is passed over."""
+    own = word.lower().strip(EDGE)
+    return own if any(c.isalnum() for c in own) else ""
 
 
 class Scanner:
@@ -122,6 +219,14 @@ class Scanner:
         for _, text in templates:
             words = [w for w in map(normal, text.split()) if w]
             self.templates.append([self.numbers.setdefault(w, len(self.numbers)) for w in words])
+        self.deciding, self.excluding = (
+            {
+                name: [[self.numbers.setdefault(w, len(self.numbers)) for w in phrase.split()] for phrase in phrases]
+                for name, phrases in by_name.items()
+            }
+            for by_name in (DECIDING, EXCLUDING)
+        )
+        self.amounts = [np.bincount(codes, minlength=len(self.numbers)) for codes in self.templates]
         self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for number, codes in enumerate(self.templates):
             grams = self.grams(np.array(codes))
@@ -145,7 +250,8 @@ class Scanner:
     def code(self, word: str) -> int:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        self.known[word] = number = self.numbers.get(normal(word), -1)
+        own = normal(word)
+        self.known[word] = number = self.numbers.get(own, -1) if own else EMPTY
         return number
 
     def stretches(self, codes: np.ndarray) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -207,6 +313,16 @@ class Scanner:
             above = row
         return best[1:]
 
+    def decided(self, codes: np.ndarray, number: int, begin: int, end: int) -> bool:
+        """Whether the words are the template's own licence and not a sibling's."""
+        name, words = self.names[number], codes[begin : end + AFTER].tolist()
+
+        def stands(phrase: list[int], within: int) -> bool:
+            return any(words[i : i + len(phrase)] == phrase for i in range(within - len(phrase) + 1))
+
+        own = all(stands(phrase, end - begin) for phrase in self.deciding.get(name, ()))
+        return own and not any(stands(phrase, len(words)) for phrase in self.excluding.get(name, ()))
+
     def offer(self, queue: list[tuple], codes: np.ndarray, number: int, hits: list, first: int, end: int) -> None:
         """Best alignment of words ``first`` to ``end`` into ``queue``; where it covers too little, those of both sides."""
         rest = [(first, end)]
@@ -215,9 +331,15 @@ class Scanner:
             own = [h for h in hits if first <= h[1] <= end - self.settings.gram]
             if not own:
                 continue
-            matched, begin, stop = self.align(codes, number, own[0][0], own[-1][0], first, end)
-            coverage = matched / len(self.templates[number])
-            if coverage >= self.settings.least_coverage:
+            low, high, many = own[0][0], own[-1][0], len(self.templates[number])
+            # No alignment matches more words than these have in common with the template.
+            near = codes[max(first, low - self.settings.band) : max(0, min(end, high + self.settings.band + many))]
+            common = np.minimum(np.bincount(near[near >= 0], minlength=len(self.numbers)), self.amounts[number]).sum()
+            if common / many < self.settings.least_coverage:
+                continue
+            matched, begin, stop = self.align(codes, number, low, high, first, end)
+            coverage = matched / many
+            if coverage >= self.settings.least_coverage and self.decided(codes, number, begin, stop):
                 heappush(queue, (-matched, -coverage, self.names[number], begin, stop, number, own, first, end))
             else:
                 rest += [(first, begin), (stop, end)]
@@ -228,9 +350,18 @@ class Scanner:
         known = self.known
         numbers = [known[w] if w in known else self.code(w) for w in words]
         codes = np.array(numbers, np.int64)
+        places = np.flatnonzero(codes != EMPTY)
+        codes = codes[places]
         queue: list[tuple] = []
         for number, hits in self.stretches(codes):
-            self.offer(queue, codes, number, hits, 0, len(codes))
+            template = self.templates[number]
+            many = len(template)
+            if many > self.settings.whole_up_to:
+                self.offer(queue, codes, number, hits, 0, len(codes))
+                continue
+            for begin in sorted({d for d, _ in hits if d >= 0}):
+                if codes[begin : begin + many].tolist() == template:
+                    heappush(queue, (-many, -1.0, self.names[number], begin, begin + many, number, [], begin, begin + many))
         begins: list[int] = []
         kept: list[tuple] = []  # in order of place, and apart
         while queue:
@@ -250,7 +381,7 @@ class Scanner:
         if not kept:
             return []
         spans = [m.span() for m in WORD.finditer(text)]
-        return [(name, -share, -many, spans[begin][0], spans[end - 1][1]) for many, share, name, begin, end in kept]
+        return [(name, -share, -many, spans[places[begin]][0], spans[places[end - 1]][1]) for many, share, name, begin, end in kept]
 
 
 def scan_documents(
