@@ -151,32 +151,39 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sam_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """dictionary(chrom, length, ordinal) from the @SQ lines of the first file at ``path``.
+    """dictionary(chrom, length, ordinal) from the leading @SQ lines of all files at ``path``.
 
-    The files of a run share their header. One task reads it, up to the first line that
-    is not part of it; ``ordinal`` counts its contigs from 0.
+    Each file is read up to the first line that is not part of its header. ``ordinal`` counts
+    the contigs from 0, in the order of the first file by path that names them, and their place
+    in it. Files that disagree on the length of a contig are an error.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)  # names only
-    first = files.agg(F.min("path").alias("path"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")  # names only
     cloudpickle.register_pickle_by_value(sys.modules[open_filesystem.__module__])
 
     def header(batches):
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                if name is not None:
-                    store, inner = open_filesystem(name)
-                    with store.open_input_stream(inner, compression="detect") as stream:
-                        yield pa.record_batch([pa.array(header_lines(stream), pa.string())], ["value"])
+                store, inner = open_filesystem(name)
+                with store.open_input_stream(inner, compression="detect") as stream:
+                    lines = header_lines(stream)
+                columns = [pa.array([name] * len(lines), pa.string()), pa.array(range(len(lines)), pa.int64())]
+                yield pa.record_batch([*columns, pa.array(lines, pa.string())], ["path", "place", "value"])
 
+    lines = files.mapInArrow(header, "path string, place long, value string").where(F.col("value").startswith("@SQ\t"))
     contig = (
-        first.mapInArrow(header, "value string")
-        .select(F.expr("monotonically_increasing_id()").alias("_line"), "value")
-        .where(F.col("value").startswith("@SQ\t"))
+        lines.select(
+            F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"),
+            F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("long").alias("length"),
+            F.struct("path", "place").alias("at"),
+        )
+        .groupBy("chrom")
+        .agg(F.min("length").alias("length"), F.max("length").alias("longest"), F.min("at").alias("at"))
     )
-    order = Window.partitionBy(F.lit(0)).orderBy("_line")  # one row per contig
+    differ = F.raise_error(F.concat(F.lit("files disagree on the length of contig "), F.col("chrom")))
+    order = Window.partitionBy(F.lit(0)).orderBy("at")  # one row per contig
     return contig.select(
-        F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"),
-        F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("long").alias("length"),
+        "chrom",
+        F.when(F.col("length") == F.col("longest"), F.col("length")).otherwise(differ).alias("length"),
         (F.row_number().over(order) - 1).cast("long").alias("ordinal"),
     )
 

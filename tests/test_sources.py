@@ -209,6 +209,20 @@ def test_dictionary_of_several_files(spark, tmp_path):
     assert [(r.chrom, r.length, r.ordinal) for r in d] == [("chr2", 20, 0), ("chr1", 10, 1)]
 
 
+def test_sam_dictionary_of_files_with_unlike_headers(spark, tmp_path):
+    row = "r1\t0\tchr1\t5\t60\t4M\t*\t0\t0\tACGT\tIIII\n"
+    (tmp_path / "sample=a").mkdir()
+    (tmp_path / "sample=a" / "part-0.txt").write_text(row)
+    (tmp_path / "sample=b").mkdir()
+    (tmp_path / "sample=b" / "part-0.txt").write_text("@HD\tVN:1.6\n@SQ\tSN:chr2\tLN:90\n@SQ\tSN:chr1\tLN:100\n" + row)
+    (tmp_path / "sample=b" / "part-1.txt").write_text("@SQ\tSN:chr1\tLN:100\n@SQ\tSN:chrM\tLN:16\n")
+    found = text_tables.read_sam_dictionary(spark, str(tmp_path)).orderBy("ordinal").collect()
+    assert [tuple(r) for r in found] == [("chr2", 90, 0), ("chr1", 100, 1), ("chrM", 16, 2)]
+    (tmp_path / "sample=b" / "part-2.txt").write_text("@SQ\tSN:chr2\tLN:91\n")
+    with pytest.raises(Exception, match="disagree on the length of contig chr2"):
+        text_tables.read_sam_dictionary(spark, str(tmp_path)).collect()
+
+
 def test_count_summary(spark, tmp_path):
     path = write(tmp_path / "c.summary", "Status\ta/S1.bam\tS2.bam\nAssigned\t5\t6\nUnassigned_Unmapped\t0\t1\n")
     got = {(r.path, r.status): r.n for r in reports.read_count_summary(spark, path).collect()}
