@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, licenses, line_windows, mixing, one_bit, simhash, sql, suffix_repeats, toxicity, warc
+from . import byte_bpe, chat, licenses, line_windows, mixing, one_bit, simhash, sql, substrings, suffix_repeats, toxicity, warc
 from .common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,12 @@ def _(spark, sf):
 def _(spark, sf):
     cut = line_windows.dedup_lines(table(spark, sf, "documents", "doc_id", "text"))
     return cut.select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op13_substrings", sql.SUBSTRINGS)
+def _(spark, sf):
+    cut = substrings.dedup_substrings(table(spark, sf, "documents", "doc_id", "text"), window=20, base=5)
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return cut.select(
+        "doc_id", F.col("n_words").cast("long"), F.col("n_removed").cast("long"), kept.alias("kept_sha256")
+    )

@@ -114,3 +114,20 @@ SELECT d.doc_id,
   CAST(coalesce(len(g.pos), 0) AS INTEGER) AS n_removed
 FROM documents d LEFT JOIN g USING (doc_id)
 """
+
+SUBSTRINGS = """
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^ \\t-\\r]+'), []) AS words FROM documents),
+w AS (
+  SELECT doc_id, unnest(range(0, len(words) - 19)) AS pos,
+    unnest(list_transform(range(0, len(words) - 19), lambda i: sha256(array_to_string(words[i + 1 : i + 20], ' ')))) AS win
+  FROM d WHERE len(words) >= 20
+), f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth FROM w),
+g AS (
+  SELECT doc_id, list(DISTINCT at) AS gone
+  FROM (SELECT doc_id, unnest(range(pos, pos + 20)) AS at FROM f WHERE nth > 1) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN words
+    ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i - 1)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""
