@@ -123,8 +123,8 @@ w AS (
   FROM d WHERE len(words) >= 20
 ), f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth FROM w),
 g AS (
-  SELECT doc_id, list(DISTINCT at) AS gone
-  FROM (SELECT doc_id, unnest(range(pos, pos + 20)) AS at FROM f WHERE nth > 1) GROUP BY doc_id
+  SELECT doc_id, list(DISTINCT word) AS gone
+  FROM (SELECT doc_id, unnest(range(pos, pos + 20)) AS word FROM f WHERE nth > 1) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN words
