@@ -9,7 +9,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, licenses, line_windows, mixing, one_bit, simhash, sql, substrings, suffix_repeats, toxicity, warc
+from . import (
+    byte_bpe,
+    chat,
+    licenses,
+    line_windows,
+    merkle,
+    mixing,
+    one_bit,
+    simhash,
+    sql,
+    substrings,
+    suffix_repeats,
+    toxicity,
+    trie,
+    warc,
+)
 from .common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +131,35 @@ def _(spark, sf):
     return cut.select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query("op11_merkle", sql.MERKLE)
+def _(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    whole = merkle.leaf_of([*others, F.col("text")])
+    claimed = F.when(hit, merkle.leaf_of([*others, lower])).otherwise(whole)
+    built = merkle.manifest(docs, [*others, F.col("text")], claimed=claimed)
+    rows = merkle.verified(built, "claimed")
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        merkle.text_of(F.col("digest")).alias("leaf"),
+        merkle.text_of(F.col("subroot")).alias("subroot"),
+        merkle.text_of(F.col("root")).alias("root"),
+        F.sha2(merkle.text_of(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        merkle.text_of(F.col("folded")).alias("folded_root"),
+        "verified",
+    )
+
+
+@query("op12_prefix_trie", sql.TRIE)
+def _(spark, sf):
+    turns = trie.digested(table(spark, sf, "conversations", "conv_id", "turn", "role", "text"), "conv_id", "turn", "role", "text")
+    lender = F.expr("conv - conv % 20")
+    rows, convs = trie.rebuilt(turns, lender, F.crc32(F.col("conv").cast("string")) % 4, most=3)
+    return trie.prefix_trie(rows, convs)
+
+
 @query("op13_substrings", sql.SUBSTRINGS)
 def _(spark, sf):
     cut = substrings.dedup_substrings(table(spark, sf, "documents", "doc_id", "text"), window=20, base=5)

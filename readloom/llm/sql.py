@@ -131,3 +131,107 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0
     ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i - 1)) END, ' '), '')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)
 """
+
+
+def _crc32(number: str) -> str:
+    """Unsigned CRC-32 of a whole number's decimal digits."""
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    byte = (
+        "list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), "
+        "lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    )
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda a, b: {byte}), 4294967295)"
+
+
+def _framed(*values: str) -> str:
+    each = (f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values)
+    return f"sha256({' || '.join(each)})"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MERKLE = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, coalesce('+' || lang, '-') AS tree, {_framed("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+    CASE WHEN {_crc32("doc_id")} % 3 = 0 THEN {_framed("doc_id", "source", "lang", "n_chars", _LOWER)}
+      ELSE {_framed("doc_id", "source", "lang", "n_chars", "text")} END AS claimed,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS idx
+  FROM documents
+), lower AS (
+  SELECT tree, 0 AS level, idx, leaf AS digest FROM l
+  UNION ALL
+  SELECT tree, level + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM lower) WHERE n > 1 GROUP BY tree, level, idx // 8
+), subroots AS (
+  SELECT tree, arg_max(digest, level) AS subroot, max(level) AS top, row_number() OVER (ORDER BY tree <> '-', tree) - 1 AS idx
+  FROM lower GROUP BY tree
+), upper AS (
+  SELECT 0 AS level, idx, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS n FROM upper) WHERE n > 1 GROUP BY level, idx // 8
+), tops AS (SELECT max(level) AS top, arg_max(digest, level) AS root FROM upper),
+nodes AS (
+  SELECT tree, level AS step, lower.idx, digest FROM lower JOIN subroots s USING (tree) WHERE level < s.top
+  UNION ALL SELECT '', level, idx, digest FROM upper, tops WHERE level < tops.top
+), steps AS (
+  SELECT tree, top, idx AS place, unnest(range(0, top + (SELECT top FROM tops))) AS step FROM subroots
+), lift AS (
+  SELECT l.doc_id, l.idx AS leaf_idx, l.tree, s.step, CASE WHEN s.step < s.top THEN l.tree ELSE '' END AS at_tree,
+    CASE WHEN s.step < s.top THEN s.step ELSE s.step - s.top END AS at_step,
+    CASE WHEN s.step < s.top THEN l.idx // CAST(8 ** s.step AS BIGINT) ELSE s.place // CAST(8 ** (s.step - s.top) AS BIGINT) END AS at
+  FROM l JOIN steps s USING (tree)
+), proofs AS (
+  SELECT p.tree, p.leaf_idx, sha256(coalesce(string_agg(n.digest, '' ORDER BY p.step, n.idx), '')) AS proof
+  FROM lift p LEFT JOIN nodes n ON n.tree = p.at_tree AND n.step = p.at_step AND n.idx // 8 = p.at // 8 AND n.idx <> p.at
+  GROUP BY p.tree, p.leaf_idx
+), fold AS (
+  SELECT tree, idx AS leaf_idx, 0 AS step, claimed AS digest FROM l
+  UNION ALL
+  SELECT f.tree, f.leaf_idx, f.step + 1,
+    sha256(string_agg(CASE WHEN n.idx = p.at THEN f.digest ELSE n.digest END, '' ORDER BY n.idx))
+  FROM fold f JOIN lift p ON p.tree = f.tree AND p.leaf_idx = f.leaf_idx AND p.step = f.step
+    JOIN nodes n ON n.tree = p.at_tree AND n.step = p.at_step AND n.idx // 8 = p.at // 8
+  GROUP BY f.tree, f.leaf_idx, f.step
+), folded AS (SELECT tree, leaf_idx, arg_max(digest, step) AS digest FROM fold GROUP BY tree, leaf_idx)
+SELECT l.doc_id, l.leaf, s.subroot, tops.root, p.proof AS proof_sha256, f.digest AS folded_root,
+  f.digest = tops.root AS verified
+FROM l JOIN subroots s USING (tree) JOIN proofs p ON p.tree = l.tree AND p.leaf_idx = l.idx
+  JOIN folded f ON f.tree = l.tree AND f.leaf_idx = l.idx, tops
+"""
+
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS lender, {_crc32("conv_id")} % 4 AS take FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, 0 AS own, t.place, t.role, t.text FROM c JOIN t ON t.conv_id = c.lender WHERE t.place < c.take
+  UNION ALL SELECT c.conv_id, 1, t.place, t.role, t.text FROM c JOIN t USING (conv_id) WHERE t.place >= c.take
+), s AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY own, place) AS turns FROM r GROUP BY conv_id
+  UNION ALL SELECT conv_id, [] FROM c WHERE conv_id NOT IN (SELECT conv_id FROM r)
+), p AS (
+  SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth,
+    unnest(list_transform(range(0, len(turns) + 1), lambda d: turns[1 : d])) AS prefix
+  FROM s
+), nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(any_value(prefix[depth].text), '[^ \\t-\\r]+')) END AS words
+  FROM p GROUP BY depth, prefix
+), children AS (SELECT depth - 1 AS depth, prefix[1 : depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.prefix = n.prefix
+), under AS (
+  SELECT unnest(range(0, depth + 1)) AS depth, unnest(list_transform(range(0, depth + 1), lambda d: prefix[1 : d])) AS prefix,
+    CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * words AS saved
+  FROM full_nodes
+), sums AS (SELECT depth, prefix, sum(leaf) AS n_leaves, sum(saved) AS saved FROM under GROUP BY ALL)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s ON s.depth = n.depth AND s.prefix = n.prefix
+  LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.prefix = n.prefix[1 : n.depth - 1]
+"""
