@@ -35,6 +35,11 @@ def samples(spark: SparkSession, sf_dir: str) -> list[str]:
     return [r[0] for r in names.collect()]
 
 
+def read_samples(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Names of the samples of the reads, as a run's manifest lists them."""
+    return [r[0] for r in table(spark, sf_dir, "documents", "source").distinct().orderBy("source").collect()]
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """reads(read_id, sample, seq, qual): all letters of each document in runs of 51.
 
@@ -173,6 +178,23 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def alignments_md(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``alignments`` with an MD string: NM without the inserted and deleted bases are mismatches.
+
+    Every fourth base is one until they are all there; every seventh order has no MD.
+    """
+    rows = alignments(spark, sf_dir)
+    indels = F.when(F.col("cigar").contains("I"), 2).when(F.col("cigar").contains("D"), 3).otherwise(0)
+    n = F.greatest(F.col("nm") - indels, F.lit(0))
+    bases = F.when(F.col("cigar") == "5S46M", 46).when(F.col("cigar") == "20M2I29M", 49).otherwise(51)
+    lead = F.repeat(F.lit("3A"), n)
+    md = F.when(F.col("cigar") == "25M3D26M", F.concat(lead, (25 - 4 * n).cast("string"), F.lit("^ACG26"))).otherwise(
+        F.concat(lead, (bases - 4 * n).cast("string"))
+    )
+    order = F.substring_index("read_id", "_", 1).cast("long")
+    return rows.withColumn("md", F.when((order % 7 != 0) & F.col("nm").isNotNull(), md))
+
+
 def input_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """input_reads(sample, read_id): what the aligner was given, with reads that it left out."""
     orders = table(spark, sf_dir, "orders", "o_orderkey")

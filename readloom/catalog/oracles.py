@@ -56,6 +56,12 @@ VIEWS: dict[str, str] = {
              ELSE 1 END AS INTEGER) AS nh,
         CAST(CASE WHEN l_suppkey % 20 <> 0 THEN round(l_tax * 100) END AS INTEGER) AS nm
         FROM (SELECT *, l_partkey // 4 AS g FROM lineitem)""",
+    "alignments_md": """SELECT * EXCLUDE (k), CASE WHEN CAST(split_part(read_id, '_', 1) AS BIGINT) % 7 <> 0 AND nm IS NOT NULL THEN
+        CASE WHEN cigar = '25M3D26M' THEN concat(repeat('3A', k), 25 - 4 * k, '^ACG26')
+          ELSE concat(repeat('3A', k), CASE cigar WHEN '5S46M' THEN 46 WHEN '20M2I29M' THEN 49 ELSE 51 END - 4 * k) END
+          END AS md
+        FROM (SELECT *, CASE WHEN nm IS NOT NULL THEN
+          greatest(nm - CASE cigar WHEN '20M2I29M' THEN 2 WHEN '25M3D26M' THEN 3 ELSE 0 END, 0) END AS k FROM alignments)""",
     "input_reads": """SELECT DISTINCT sample, read_id FROM alignments
         UNION ALL SELECT ['A', 'N', 'R'][o_orderkey % 3 + 1], concat('left_out_', o_orderkey) FROM orders""",
     "counts": """SELECT concat('G', lpad(CAST(l_partkey AS VARCHAR), 6, '0')) AS gene_id, l_returnflag AS sample,
@@ -217,6 +223,14 @@ VIEWS: dict[str, str] = {
               OVER (PARTITION BY cigar ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off,
             sum(CASE WHEN op = 'N' THEN 1 ELSE 0 END) OVER (PARTITION BY cigar ORDER BY k) AS blk
           FROM cigar_runs) WHERE op IN ('M', 'D', '=', 'X') GROUP BY 1, 2""",
+    "md_sites": """SELECT md, tok[i] AS base, coalesce(list_sum([CASE WHEN regexp_matches(x, '^[0-9]') THEN CAST(x AS BIGINT)
+          WHEN x[1] = '^' THEN length(x) - 1 ELSE 1 END for x in tok[1 : i - 1]]), 0) AS off
+        FROM (SELECT md, tok, unnest(range(1, len(tok) + 1)) AS i FROM (
+          SELECT md, regexp_extract_all(md, '[0-9]+|\\^[A-Z]+|[A-Z]') AS tok
+          FROM (SELECT DISTINCT md FROM alignments_md WHERE md IS NOT NULL)))
+        WHERE regexp_full_match(tok[i], '[A-Z]')""",
+    "block_offsets": """SELECT cigar, o1, o2, coalesce(sum(o2 - o1 + 1) OVER (PARTITION BY cigar ORDER BY blk
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM cigar_blocks""",
     "cigar_introns": """SELECT cigar, o2 + 1 AS i1, next_o1 - 1 AS i2, least(matched, next_matched) AS overhang FROM (
         SELECT *, lead(o1) OVER w AS next_o1, lead(matched) OVER w AS next_matched FROM cigar_blocks
         WINDOW w AS (PARTITION BY cigar ORDER BY blk)) WHERE next_o1 IS NOT NULL""",

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bases import phred
-from ..operators import align, expression, features, manifest, overlap, reads_qc, report, trim
-from ..plans import workflow
+from ..operators import align, discovery, expression, features, manifest, overlap, reads_qc, report, trim
+from ..plans import one_pass, workflow
 from ..session import scratch_dir
 from ..sources import fastq, reports, text_tables
 from . import fixtures as fx
@@ -66,6 +66,47 @@ def _(spark, sf):
     return fastq.read_fastq(spark, path)
 
 
+@query(
+    "sample_files",
+    "S16 T8 T9",
+    """SELECT c.*, r.n_reads AS before_reads, r.bases AS before_bases, r.q20_bases AS before_q20_bases,
+    r.q30_bases AS before_q30_bases, r.gc_bases AS before_gc_bases, coalesce(t.n_reads, 0) AS after_reads,
+    coalesce(t.bases, 0) AS after_bases, coalesce(t.q20_bases, 0) AS after_q20_bases,
+    coalesce(t.q30_bases, 0) AS after_q30_bases, coalesce(t.gc_bases, 0) AS after_gc_bases,
+    coalesce(t.n_reads, 0) AS file_reads, coalesce(t.bases, 0) AS file_bases
+    FROM (SELECT sample, count(*) FILTER (reason = 'passed') AS passed, count(*) FILTER (reason = 'too_many_N') AS "too_many_N",
+      count(*) FILTER (reason = 'low_quality') AS low_quality, count(*) FILTER (reason = 'too_short') AS too_short
+      FROM chain GROUP BY 1) c
+    JOIN totals r ON r.sample = c.sample AND r.stage = 'raw'
+    LEFT JOIN totals t ON t.sample = c.sample AND t.stage = 'trimmed'""",
+)
+def _(spark, sf):
+    path = f"{scratch_dir(spark, 'sample-files')}/trimmed"
+    told = one_pass.write_trimmed(chain(spark, sf), path, fx.read_samples(spark, sf))
+    files = fastq.read_fastq(spark, path).groupBy("sample").agg(
+        F.count("*").alias("file_reads"), F.sum(F.length("seq").cast("long")).alias("file_bases")
+    )
+    return told.join(files, "sample", "left").fillna(0, ["file_reads", "file_bases"])
+
+
+@query(
+    "matrix_file",
+    "S15 S17",
+    """SELECT *, (SELECT count(DISTINCT gene_id) FROM counts) AS n_genes, CAST(3 AS BIGINT) AS n_samples,
+    'A,N,R' AS sample_columns FROM (
+      SELECT gene_id AS Geneid, length AS Length, coalesce(sum("count") FILTER (sample = 'A'), 0)::DOUBLE AS A,
+        coalesce(sum("count") FILTER (sample = 'N'), 0)::DOUBLE AS N, coalesce(sum("count") FILTER (sample = 'R'), 0)::DOUBLE AS R
+      FROM counts GROUP BY 1, 2)""",
+)
+def _(spark, sf):
+    path = f"{scratch_dir(spark, 'matrix-file')}/tables"
+    wide = expression.wide_table(fx.counts(spark, sf), "count", fx.samples(spark, sf)).orderBy("Geneid")
+    shape = one_pass.write_matrix(wide, path, "counts").first().asDict()
+    schema = ", ".join(f"`{c}` {'double' if c in ('A', 'N', 'R') else kind}" for c, kind in wide.dtypes)
+    back = text_tables.read_matrix_tsv(spark, f"{path}/counts.tsv", schema)
+    return back.withColumns({n: F.lit(v).cast("string" if n == "sample_columns" else "long") for n, v in shape.items()})
+
+
 @query(
     "file_manifest",
     "S13 S16",
@@ -570,6 +611,62 @@ def _(spark, sf):
     return trim.trim_detected_adapter(r, trim.detect_adapter(r, reads_qc.ADAPTERS))
 
 
+@query(
+    "adapter_or_part_trimmed",
+    "T4",
+    """SELECT read_id, sample, substr(seq, 1, keep) AS seq, substr(qual, 1, keep) AS qual FROM (
+      SELECT *, coalesce(list_min([p for p in range(1, length(seq) - 4) if hamming(
+          substr(seq, p, least(33, length(seq) - p + 1)),
+          substr('AGATCGGAAGAGCACACGTCTGAACTCCAGTCA', 1, least(33, length(seq) - p + 1))) <= least(33, length(seq) - p + 1) // 8]) - 1,
+        length(seq)) AS keep FROM reads)""",
+)
+def _(spark, sf):
+    return trim.trim_adapter_or_part(fx.reads(spark, sf), fx.ADAPTER, min_overlap=6, bases_for_one=8)
+
+
+@query(
+    "found_adapters",
+    "T11",
+    """SELECT sample, concat(reverse(before_path), seed, after_path) AS adapter, n AS n_reads FROM (
+    WITH k AS (
+      SELECT sample, substr(seq, p, 10) AS kmer, CASE WHEN p > 3 THEN substr(seq, p - 3, 3) END AS before, count(*) AS n FROM (
+        SELECT sample, seq, unnest(range(1, length(seq) - 8)) AS p FROM reads) GROUP BY ALL
+    ), top AS (
+      SELECT sample, kmer FROM (SELECT sample, kmer, sum(n) AS n FROM k WHERE regexp_full_match(kmer, '[ACGT]{10}')
+        AND len(list_distinct([substr(kmer, i, 2) for i in range(1, 10)])) >= 4
+        AND list_max([length(kmer) - length(replace(kmer, c, '')) for c in ['A', 'C', 'G', 'T']]) <= 6 GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY sample ORDER BY n DESC, kmer) <= 256
+    ), seed AS (
+      SELECT sample, kmer AS seed FROM (
+        SELECT sample, kmer, sum(n) - max(n) AS n FROM k JOIN top USING (sample, kmer) WHERE regexp_full_match(before, '[ACGT]{3}') GROUP BY ALL)
+      WHERE n > 0 QUALIFY row_number() OVER (PARTITION BY sample ORDER BY n DESC, kmer) = 1
+    ), hit AS (SELECT sample, seed, seq, instr(seq, seed) AS place FROM reads JOIN seed USING (sample) WHERE contains(seq, seed)),
+    side AS (
+      SELECT sample, 'after' AS side, substr(seq, place + 10, 40) AS t FROM hit
+      UNION ALL SELECT sample, 'before', reverse(substr(seq, greatest(place - 40, 1), least(place - 1, 40))) FROM hit
+    ), found AS (
+      SELECT sample, seed, n FROM (SELECT sample, seed, count(*) AS n FROM hit GROUP BY ALL)
+      JOIN (SELECT sample, count(*) AS every FROM reads GROUP BY 1) USING (sample) WHERE n >= 20 AND n * 100 >= every
+    ),
+    edge AS (
+      SELECT *, sum(n) OVER (PARTITION BY sample, side, substr(path, 1, length(path) - 1)) AS total FROM (
+        SELECT sample, side, path, count(*) AS n
+        FROM (SELECT sample, side, substr(t, 1, unnest(range(1, length(t) + 1))) AS path FROM side) GROUP BY ALL)
+    ), kept AS (
+      SELECT e.* FROM edge e JOIN found f USING (sample) WHERE e.total >= f.n * 5 / 100 AND e.n >= 0.8::DOUBLE * e.total
+    ), chain_of AS (
+      SELECT sample, side, arg_max(path, length(path)) AS path FROM kept a
+      WHERE (SELECT count(*) FROM kept b WHERE b.sample = a.sample AND b.side = a.side AND starts_with(a.path, b.path)) = length(path)
+      GROUP BY ALL
+    )
+    SELECT f.*, coalesce((SELECT any_value(path) FROM chain_of c WHERE c.sample = f.sample AND side = 'before'), '') AS before_path,
+      coalesce((SELECT any_value(path) FROM chain_of c WHERE c.sample = f.sample AND side = 'after'), '') AS after_path
+    FROM found f) WHERE length(before_path) + length(after_path) >= 6""",
+)
+def _(spark, sf):
+    return discovery.found_adapters(fx.reads(spark, sf))
+
+
 # --- read QC ----------------------------------------------------------------------
 
 
@@ -671,6 +768,42 @@ def _(spark, sf):
     return rounded(reads_qc.overrepresented(fx.reads(spark, sf)), "pct")
 
 
+@query(
+    "overrepresented_sources",
+    "Q9",
+    """SELECT sample, sequence, n_reads, round(pct, 6) AS pct, coalesce(hit.name, 'No Hit') AS possible_source,
+    CAST(coalesce(hit.size - hit.off, 0) AS INTEGER) AS matched, CAST(coalesce(hit.size, 0) AS INTEGER) AS length FROM (
+    WITH probes AS (
+      SELECT i, name, probe FROM adapters
+      UNION ALL VALUES (6, 'TruSeq Adapter, Read 1', 'AGATCGGAAGAGCACACGTCTGAACTCCAGTCA'),
+        (7, 'TruSeq Adapter, Read 2', 'AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT'),
+        (8, 'Nextera Transposase Adapter', 'CTGTCTCTTATACACATCTCCGAGCCCACGAGAC')
+    ), found AS (
+      SELECT sample, seq_key AS sequence, copies AS n_reads, 100.0::DOUBLE * copies::DOUBLE / total::DOUBLE AS pct
+      FROM copies JOIN (SELECT sample, count(*) AS total FROM reads GROUP BY 1) USING (sample)
+      WHERE stage = 'raw' AND 100.0::DOUBLE * copies::DOUBLE / total::DOUBLE > 0.1
+    ), spans AS (
+      SELECT DISTINCT sequence, i, name, probe, greatest(0, shift) AS b, least(length(sequence), shift + length(probe)) AS e, shift
+      FROM (SELECT DISTINCT sequence FROM found), probes, range(-40, 60) AS r(shift) WHERE length(sequence) >= 20 AND length(probe) >= 20
+    ), edges AS (
+      SELECT *, list_concat([b - 1], [x for x in range(b, e) if substr(sequence, x + 1, 1) <> substr(probe, x - shift + 1, 1)], [e]) AS m
+      FROM spans WHERE e - b >= 20
+    ), sizes AS (
+      SELECT sequence, i, name, list_max([m[x + 1] - m[x] - 1 for x in range(1, len(m))]) AS plain,
+        coalesce(list_max([m[x + 1] - m[x - 1] - 1 for x in range(2, len(m))]), 0) AS one FROM edges
+    ), hits AS (
+      SELECT sequence, {'size': one, 'off': 1, 'i': i, 'name': name} AS hit FROM sizes WHERE one >= 20 AND one > plain
+      UNION ALL SELECT sequence, {'size': plain, 'off': 0, 'i': i, 'name': name} FROM sizes WHERE plain >= 20 AND plain >= one
+      UNION ALL SELECT sequence, {'size': least(length(sequence), length(probe)), 'off': 0, 'i': i, 'name': name}
+      FROM (SELECT DISTINCT sequence FROM found), probes WHERE least(length(sequence), length(probe)) BETWEEN 1 AND 19
+        AND (contains(sequence, probe) OR contains(probe, sequence))
+    ), ranked AS (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY hit.size DESC, hit.off, hit.i) AS k FROM hits)
+    SELECT f.*, r.hit FROM found f LEFT JOIN ranked r ON r.sequence = f.sequence AND k = 1)""",
+)
+def _(spark, sf):
+    return rounded(reads_qc.overrepresented_sources(fx.reads(spark, sf)), "pct")
+
+
 @query(
     "adapter_content",
     "Q10",
@@ -813,6 +946,28 @@ def _(spark, sf):
     return align.mismatch_filter(fx.alignments(spark, sf))
 
 
+@query(
+    "exact_mismatch_filter",
+    "A8",
+    """SELECT m.* FROM alignments_md m JOIN cigar_sizes USING (cigar)
+    WHERE coalesce(length(regexp_replace(md, '\\^[A-Z]+|[0-9]+', '', 'g')), nm, 0) * 100 <= 4 * query_len""",
+)
+def _(spark, sf):
+    return align.exact_mismatch_filter(fx.alignments_md(spark, sf))
+
+
+@query(
+    "mismatch_sites",
+    "A8",
+    """SELECT sample, chrom, CAST(pos + o1 + off - before AS BIGINT) AS ref_pos, base, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT sample, chrom, pos, cigar, md, count(*) AS n FROM alignments_md WHERE flag & 4 = 0 GROUP BY ALL) a
+    JOIN md_sites USING (md)
+    JOIN block_offsets b ON b.cigar = a.cigar AND off >= before AND off <= before + o2 - o1 GROUP BY ALL""",
+)
+def _(spark, sf):
+    return align.mismatch_sites(fx.alignments_md(spark, sf))
+
+
 @query(
     "noncanonical_filter",
     "A9",
@@ -1099,7 +1254,7 @@ def _(spark, sf):
       ON e.sample = coalesce(r.sample, a.sample)""",
 )
 def _(spark, sf):
-    trimmed = chain(spark, sf)
+    trimmed = workflow.materialise(chain(spark, sf), "chain")
     stats = workflow.general_stats(trimmed, fx.chain_alignments(trimmed), fx.exons(spark, sf), fx.BIN)
     return rounded(stats, "pass_pct", "pct_unique", "pct_multi", "pct_unmapped", "assigned_pct")
 

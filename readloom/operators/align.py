@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.bases import int_div, percent
 from ..functions.cigar import blocks, cigar_ops, placed_introns, query_length, ref_end
 from ..functions.intervals import with_samples
+from ..functions.md import mismatch_positions, mismatches
 
 # Bits of the alignment flag.
 PAIRED, PROPER_PAIR, UNMAPPED, MATE_UNMAPPED, REVERSE = 1, 2, 4, 8, 16
@@ -193,6 +194,27 @@ def mismatch_filter(alignments: DataFrame, maximum: int = 999, percent_of_read:
     return alignments.where(F.col("nm").isNull() | few)
 
 
+def exact_mismatch_filter(alignments: DataFrame, maximum: int = 999, percent_of_read: int = 4) -> DataFrame:
+    """A8 over mismatches alone: as :func:`mismatch_filter`, with the count that MD gives.
+
+    Inserted and deleted bases don't count. Rows without MD are judged by NM, those without
+    either stay.
+    """
+    found = F.coalesce(mismatches("md"), F.col("nm"))
+    few = (found <= maximum) & (found * 100 <= query_length("cigar") * percent_of_read)
+    return alignments.where(found.isNull() | few)
+
+
+def mismatch_sites(alignments: DataFrame) -> DataFrame:
+    """(sample, chrom, ref_pos, base, n): mapped reads that differ from the reference base at a position.
+
+    Counted per placement and MD string first, so that copies of a read are unfolded once.
+    """
+    copies = alignments.where(is_mapped()).groupBy("sample", "chrom", "pos", "cigar", "md").agg(F.count("*").alias("copies"))
+    sites = mismatch_positions(copies)
+    return sites.groupBy("sample", "chrom", "ref_pos", "base").agg(F.sum("copies").alias("n"))
+
+
 def junction_motifs(found: DataFrame, contigs: DataFrame, chunk: int) -> DataFrame:
     """Add ``motif`` (first and last two intron bases) to (chrom, i_start, i_end) rows.
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cigar import placed_blocks
 from ..functions.intervals import bins, with_samples
+from ..session import checkpoint
 from .align import REVERSE, SECONDARY, SUPPLEMENTARY, UNMAPPED, has_flag, is_mapped
 
 GENOME_BIN = 16_384
@@ -173,7 +174,9 @@ def assigned_counts(
 ) -> DataFrame:
     """(sample, status, gene_id, n): rows per outcome, gene named where assigned.
 
-    Precedence: unmapped, low mapping quality, multi-mapping, then the overlap.
+    Precedence: unmapped, low mapping quality, multi-mapping, then the overlap. The table, a row for
+    each sample and gene, is counted at once and checkpointed: grids, matrices and rates
+    that start from it need not count again.
     """
     early = (
         F.when(has_flag(UNMAPPED), IS_UNMAPPED)
@@ -182,11 +185,12 @@ def assigned_counts(
     )
     outcomes = _counted_outcomes(alignments, early, exons, {"_to": strand}, NO_FEATURES, AMBIGUOUS, width)
     failed = F.col("_to").isin(*[s for s in STATUSES if s != ASSIGNED])
-    return outcomes.groupBy(
+    counts = outcomes.groupBy(
         "sample",
         F.when(failed, F.col("_to")).otherwise(ASSIGNED).alias("status"),
         F.when(~failed, F.col("_to")).alias("gene_id"),
     ).agg(F.sum("n").alias("n"))
+    return checkpoint(counts)
 
 
 def assignment_summary(counts: DataFrame) -> DataFrame:
@@ -226,6 +230,7 @@ def gene_counts_by_strand(
     early = F.when(has_flag(UNMAPPED), "N_unmapped").when(F.col("nh") > 1, "N_multimapping")
     rules = {"unstranded": 0, "forward": 1, "reverse": 2}
     outcomes = _counted_outcomes(primary, early, exons, rules, "N_noFeature", "N_ambiguous", width)
+    outcomes = checkpoint(outcomes.groupBy("sample", *rules).agg(F.sum("n").alias("n")))
     # One row per rule, added up per target in a single aggregate.
     entries = [F.struct(F.lit(r).alias("rule"), F.col(r).alias("gene_id")) for r in rules]
     counted = (
@@ -236,7 +241,7 @@ def gene_counts_by_strand(
     extra = exons.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(x) for x in ("N_unmapped", "N_multimapping", "N_noFeature", "N_ambiguous")])).alias("gene_id")
     )
-    totals = reads.groupBy("sample").agg(F.count("*").alias("_reads"))
+    totals = checkpoint(reads.groupBy("sample").agg(F.count("*").alias("_reads")))
     placed = outcomes.where(F.col("unstranded") != "N_unmapped").groupBy("sample").agg(F.sum("n").alias("_placed"))
     zero = F.lit(0).cast("long")
     missing = totals.join(placed, "sample", "left").select(

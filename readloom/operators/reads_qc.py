@@ -22,7 +22,9 @@ from ..functions.bases import (
     int_div,
     percent,
 )
+from ..functions.contaminants import best_source
 from ..functions.intervals import dense
+from ..session import checkpoint
 
 SAMPLE = ("sample",)
 
@@ -36,6 +38,13 @@ ADAPTERS = {
     "PolyG": "GGGGGGGGGGGG",
 }
 
+# Longer sequences that reads may come from.
+CONTAMINANTS = {
+    "TruSeq Adapter, Read 1": "AGATCGGAAGAGCACACGTCTGAACTCCAGTCA",
+    "TruSeq Adapter, Read 2": "AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT",
+    "Nextera Transposase Adapter": "CTGTCTCTTATACACATCTCCGAGCCCACGAGAC",
+}
+
 # Label and largest multiplicity of the duplication bins.
 DUPLICATION_BINS = [
     ("1", 1),
@@ -85,16 +94,21 @@ def basic_stats(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     )
 
 
+#: Characters that :func:`count_cells` looks at together.
+CHARACTERS_AT_ONCE = 1 << 22
+
+
 def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
     """Function for ``mapInArrow``: batches of (by, seq, qual) to counted cells (by, kind, a, b, c, n).
 
     Kinds: ``base`` (position, character), ``score`` (position, Phred score), ``read``
-    (length, mean score rounded down, rounded GC percentage; -1 for an empty read) and
-    ``adapter`` (number of the probe, first place). Characters never become rows: numpy
-    counts them on the batch's own buffers. The function carries no reference to this
+    (length, mean score rounded down, rounded GC percentage; -1 for an empty read), ``mean``
+    (the mean score alone, as b) and ``adapter`` (number of the probe, first place).
+    Characters never become rows: numpy counts them on the batch's own buffers, some
+    millions at a time however long the reads are. The function carries no reference to this
     package, so workers need not have it.
     """
-    kinds, probes = tuple(kinds), tuple(probes)
+    kinds, probes, most = tuple(kinds), tuple(probes), CHARACTERS_AT_ONCE
 
     def count(batches):
         import numpy as np
@@ -116,9 +130,17 @@ def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
                 return at, found[at]
             return np.unique(key, return_counts=True)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        def slices(batch):
+            """Runs of rows of about ``most`` characters, one row at least."""
+            sizes = sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in batch.columns[n_by:])
+            upto, begin = np.cumsum(sizes, dtype=np.int64), 0
+            while begin < batch.num_rows:
+                end = int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + most, "right"))
+                end = min(max(end, begin + 1), batch.num_rows)
+                yield batch.slice(begin, end - begin)
+                begin = end
+
+        for batch in (part for whole in batches for part in slices(whole)):
             group = np.zeros(batch.num_rows, np.int64)
             for column in batch.columns[:n_by]:
                 coded = column.dictionary_encode(null_encoding="encode")
@@ -157,6 +179,12 @@ def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
                 cell, n = counted(key, len(first) * (longest + 1) * 256 * 128)
                 length = cell // 128 // 256
                 add("read", length // (longest + 1), length % (longest + 1), cell // 128 % 256 - 1, cell % 128 - 1, n)
+            if "mean" in kinds:
+                total = np.concatenate(([0], np.cumsum(scores.astype(np.int64) - 33)))
+                total = total[score_starts + score_lengths] - total[score_starts]
+                mean = np.where(score_lengths > 0, total // np.maximum(score_lengths, 1), -1)
+                cell, n = counted(group * 256 + mean + 1, len(first) * 256)
+                add("mean", cell // 256, 0, cell % 256 - 1, 0, n)
             if "adapter" in kinds:
                 for i, probe in enumerate(probes):
                     at = pc.find_substring(pc.fill_null(batch.column(n_by), ""), probe).to_numpy(zero_copy_only=False)
@@ -169,6 +197,8 @@ def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
 
 
 ALL_KINDS = ("base", "score", "read", "adapter")
+#: Kinds that need no bases, and those that need no scores.
+OF_SCORES, OF_BASES = {"score", "mean"}, {"base", "adapter"}
 
 
 def read_cells(
@@ -186,7 +216,9 @@ def read_cells(
         + [T.StructField(c, T.IntegerType()) for c in "abc"]
         + [T.StructField("n", T.LongType())]
     )
-    counted = reads.select(*by, "seq", "qual").mapInArrow(count_cells(len(by), kinds, list(adapters.values())), schema)
+    seq = F.lit("") if set(kinds) <= OF_SCORES else F.col("seq")
+    qual = F.lit("") if set(kinds) <= OF_BASES else F.col("qual")
+    counted = reads.select(*by, seq.alias("seq"), qual.alias("qual")).mapInArrow(count_cells(len(by), kinds, list(adapters.values())), schema)
     cells = counted.groupBy(*by, F.col("kind").alias("_kind"), "a", "b", "c").agg(F.sum("n").alias("n"))
     return cells.select(*by, F.explode(F.array("_kind")).alias("kind"), "a", "b", "c", "n")
 
@@ -232,7 +264,7 @@ def _score_percentiles(cells: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def per_sequence_quality(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """Q3: reads per floor(mean Phred score), zero rows kept between the extremes."""
-    means = _of_kind(read_cells(reads, by, ("read",)), "read", by, b="quality")
+    means = _of_kind(read_cells(reads, by, ("mean",)), "mean", by, b="quality")
     hist = means.groupBy(*by, F.when(F.col("quality") >= 0, F.col("quality")).alias("quality")).agg(
         F.sum("n").alias("n_reads")
     )
@@ -397,6 +429,23 @@ def overrepresented(
     )
 
 
+def overrepresented_sources(
+    reads: DataFrame,
+    by: Sequence[str] = SAMPLE,
+    min_pct: float = 0.1,
+    contaminants: dict[str, str] = ADAPTERS | CONTAMINANTS,
+    least: int = 20,
+) -> DataFrame:
+    """Q9 with the sources found by stretches of ``least`` bases with one mismatch.
+
+    (by, sequence, n_reads, pct, possible_source, matched, length): the hit's equal bases and its length.
+    """
+    found = overrepresented(reads, by, min_pct, {}).drop("possible_source")
+    found = found.withColumn("_hit", best_source("sequence", contaminants, least))
+    names = {"possible_source": "source", "matched": "matched", "length": "length"}
+    return found.select(*by, "sequence", "n_reads", "pct", *[F.col(f"_hit.{c}").alias(n) for n, c in names.items()])
+
+
 def column_name(adapter: str) -> str:
     """Adapter name as a column name: letters and digits in lower case, ``_`` between."""
     return "_".join("".join(c if c.isalnum() else " " for c in adapter.replace("'", "")).lower().split())
@@ -521,7 +570,7 @@ def stage_metrics(reads: DataFrame, by: Sequence[str] = ("sample", "stage")) ->
     Read and base counts, mean length, Q20 %, Q30 %, %GC, share left after
     deduplication and the largest adapter share.
     """
-    cells = read_cells(reads, by)
+    cells = checkpoint(read_cells(reads, by))
 
     def total(kind: str, counted: Column | None = None) -> Column:
         return F.coalesce(F.sum(F.when((F.col("kind") == kind) & (F.lit(True) if counted is None else counted), F.col("n"))), F.lit(0))
@@ -546,6 +595,7 @@ def stage_metrics(reads: DataFrame, by: Sequence[str] = ("sample", "stage")) ->
         int_div(100 * F.col("_gc"), F.col("_acgt")).alias("gc_pct"),
     )
     copies = sequence_counts(reads, by).groupBy(*by).agg(percent(F.count("*"), F.sum("copies")).alias("dedup_pct"))
+    copies = checkpoint(copies)
     out = _long(basic, by, ["reads", "bases", "mean_length", "q20_pct", "q30_pct", "gc_pct"])
     out = out.unionByName(_long(copies, by, ["dedup_pct"])).unionByName(_long(_largest_adapter(cells, by), by, ["max_adapter_pct"]))
     return out.withColumnRenamed("measure", "metric")
@@ -555,9 +605,10 @@ def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """The numbers the verdicts are drawn from: (by, measure, value).
 
     Two passes over the reads feed all of them: the counted cells, and the copies per
-    sequence.
+    sequence. Both are computed at once and checkpointed, so that the measures, eight plans over
+    the cells, are not planned on top of the reads' own plan eight times.
     """
-    cells = read_cells(reads, by)
+    cells = checkpoint(read_cells(reads, by))
     each = _of_kind(cells, "read", by, a="length", b="quality", c="gc")
     basic = each.groupBy(*by).agg(
         F.sum("n").alias("total_sequences"),
@@ -596,6 +647,7 @@ def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
             percent(F.max("copies"), F.sum("copies")).alias("max_sequence_pct"),
         )
     )
+    copies = checkpoint(copies)
     adapters = _largest_adapter(cells, by)
     out = _long(basic, by, ["total_sequences", "min_length", "length_spread"])
     for table, measures in [

@@ -8,10 +8,12 @@ shuffles; only the per-sample counts do.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.adapters import before_adapter_or_part
 from ..functions.bases import bases_at_least, bases_below, bind, col, gc_count, n_count
+from .frequent import frequent_kmers
 
 UNIVERSAL_ADAPTER = "AGATCGGAAGAG"
 PASSED, TOO_MANY_N, LOW_QUALITY, TOO_SHORT = "passed", "too_many_N", "low_quality", "too_short"
@@ -92,6 +94,17 @@ def trim_adapter(reads: DataFrame, adapter: str | Column = UNIVERSAL_ADAPTER) ->
     return _cut_to(reads, before_adapter(F.col("seq"), F.length("seq"), probe))
 
 
+def trim_adapter_or_part(
+    reads: DataFrame, adapter: str = UNIVERSAL_ADAPTER, min_overlap: int = 6, bases_for_one: int = 8
+) -> DataFrame:
+    """T4 with mismatches: cut where the adapter begins, or as much of it as the read has left.
+
+    At least ``min_overlap`` bases are compared, with one mismatch for each ``bases_for_one`` of them.
+    """
+    found = reads.withColumn("_found", before_adapter_or_part("seq", adapter, min_overlap, bases_for_one))
+    return _cut_to(found, F.col("_found")).drop("_found")
+
+
 def trim_detected_adapter(reads: DataFrame, detected: DataFrame) -> DataFrame:
     """T4 with the adapter found per sample by T11; samples without one stay uncut.
 
@@ -132,6 +145,7 @@ def trim_chain(
     reads: DataFrame,
     adapter: str | None = UNIVERSAL_ADAPTER,
     detected: DataFrame | None = None,
+    min_overlap: int | None = None,
     window: int = 4,
     mean: int = 20,
     poly_g: int = 10,
@@ -143,7 +157,8 @@ def trim_chain(
     """All trimming steps, then ``reason``: 'passed' or the first filter that failed.
 
     Keeps the untrimmed strings as ``raw_seq`` and ``raw_qual`` so that one pass over
-    the reads can report both stages.
+    the reads can report both stages. With ``min_overlap`` the adapter (not a detected one) is
+    found with mismatches and in part, see :func:`trim_adapter_or_part`.
     """
     seq = F.col("seq")
     out = _bind_window_cut(reads, "_window", window, mean)
@@ -152,7 +167,12 @@ def trim_chain(
     if detected is not None:
         out = out.join(F.broadcast(detected.select("sample", "adapter")), "sample", "left")
         probe = F.col("adapter")
-    out = bind(out, "_keep", before_adapter(seq, F.col("_body"), probe))
+    if min_overlap is not None and adapter and detected is None:
+        out = out.withColumn("_found", before_adapter_or_part(F.substr(seq, F.lit(1), F.col("_body")), adapter, min_overlap))
+        keep = F.col("_found")
+    else:
+        keep = before_adapter(seq, F.col("_body"), probe)
+    out = bind(out, "_keep", keep)
     out = out.select(
         *reads.columns,
         F.col("seq").alias("raw_seq"),
@@ -223,30 +243,10 @@ def before_after(chain: DataFrame) -> DataFrame:
 def overrepresented_kmers(reads: DataFrame, k: int = 20, top: int = 20) -> DataFrame:
     """The most frequent k-mers of each sample, counted over all positions.
 
-    Equal counts are ordered by k-mer. The count that the last reported k-mer must have
-    is read off a histogram of counts, so only k-mers at or above it are sorted. Where
-    ties leave many, Spark applies ``row_number() <= top`` to each map partition before
-    the shuffle; one sample never sends all its k-mers to one task.
+    Equal counts are ordered by k-mer. See :mod:`.frequent`: a summary names the candidates, and
+    only these are counted and shuffled.
     """
-    n = F.length("seq")
-    kmers = (
-        reads.where(n >= k)
-        .select("sample", "seq", F.explode(F.sequence(F.lit(1), n - (k - 1))).alias("_i"))
-        .groupBy("sample", F.substr("seq", F.col("_i"), F.lit(k)).alias("kmer"))
-        .agg(F.count("*").alias("n"))
-    )
-    higher = Window.partitionBy("sample").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    needed = (
-        kmers.groupBy("sample", "n")
-        .agg(F.count("*").alias("_kmers"))
-        .withColumn("_ahead", F.coalesce(F.sum("_kmers").over(higher), F.lit(0)))
-        .where(F.col("_ahead") < top)
-        .groupBy("sample")
-        .agg(F.min("n").alias("_needed"))
-    )
-    frequent = kmers.join(F.broadcast(needed), "sample").where(F.col("n") >= F.col("_needed"))  # one row per sample
-    rank = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("n"), "kmer"))
-    return frequent.select("sample", "kmer", "n", rank.alias("rank")).where(F.col("rank") <= top)
+    return frequent_kmers(reads, k, top)
 
 
 def detect_adapter(reads: DataFrame, candidates: dict[str, str]) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -29,6 +29,18 @@ def local_session(cpus: int | str = "*", name: str = "readloom", memory: str = "
     return spark
 
 
+def checkpoint(df: DataFrame) -> DataFrame:
+    """``df`` computed now and kept in the shared checkpoint folder, its lineage cut.
+
+    For small aggregates that several plans start from: these are then short to build, and
+    what is behind the aggregate is read once.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder named by ``spark.checkpoint.dir``.
 

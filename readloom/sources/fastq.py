@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .reports import sample_folder
+from .single_files import write_files
 
 SCHEMA = "path string, read_id string, seq string, qual string"
 ARROW_SCHEMA = pa.schema([(c, pa.string()) for c in ("path", "read_id", "seq", "qual")])
@@ -262,3 +263,20 @@ def write_fastq(reads: DataFrame, path: str, compression: str = "gzip", by_sampl
     text = reads.select(*(["sample"] if by_sample else []), fastq_text().alias("value"))
     writer = text.write.option("compression", compression)
     (writer.partitionBy("sample") if by_sample else writer).text(path)
+
+
+def write_sample_files(
+    reads: DataFrame,
+    path: str,
+    ending: str = ".fastq.gz",
+    samples: Sequence[str] = (),
+    before_publishing: Callable[[], None] = lambda: None,
+) -> DataFrame:
+    """One file for each sample, ``path``/sample+``ending``, and (file, bytes, lines) of each.
+
+    Gzip members or plain text by the ending; ``samples`` get a file even without reads. Reads
+    keep the order of the rows.
+    """
+    rows = reads.select(F.col("sample").alias("name"), fastq_text().alias("line"))
+    gz = ending.endswith(".gz")
+    return write_files(rows, path, ending, gz, names=samples, before_publishing=before_publishing)

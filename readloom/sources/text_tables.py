@@ -14,6 +14,7 @@ from ..functions.bases import int_div
 from ..operators.features import contig_name, parse_attributes
 from .fastq import header_lines, open_filesystem
 from .reports import sample_folder
+from .single_files import write_files
 
 # Columns of the annotation format.
 GTF_SCHEMA = (
@@ -219,6 +220,18 @@ def write_matrix_tsv(matrix: DataFrame, path: str, columns: Sequence[str] | None
     out.write.option("sep", "\t").option("header", True).csv(path)
 
 
+def write_matrix_file(matrix: DataFrame, path: str, name: str) -> DataFrame:
+    """A wide matrix as one tab-separated file ``path``/name.tsv with one header line.
+
+    Rows keep their order. Null is an empty cell; a cell with a tab or a line end is an error.
+    """
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in matrix.columns]
+    wrong = F.raise_error(F.lit("a cell holds a tab or a line end"))
+    cells = [F.when(c.rlike(r"[\t\r\n]"), wrong).otherwise(c) for c in cells]
+    rows = matrix.select(F.lit(name).alias("name"), F.concat_ws("\t", *cells).alias("line"))
+    return write_files(rows, path, ".tsv", header="\t".join(matrix.columns), names=[name])
+
+
 def read_matrix_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read back what :func:`write_matrix_tsv` wrote."""
     return spark.read.schema(schema).option("sep", "\t").option("header", True).csv(path)

@@ -257,3 +257,33 @@ def test_rates_count_reads_not_rows(spark):
     reads = spark.createDataFrame([("s", x) for x in "abcd"], "sample string, read_id string")
     r = align.alignment_rates(reads, df).first()
     assert (r.n_reads, r.n_unique, r.n_multi, r.n_unmapped, r.pct_unmapped) == (4, 1, 1, 2, 50.0)
+
+
+@pytest.mark.parametrize(
+    ("cigar", "md", "sites"),
+    [
+        ("10M", "10", []),
+        ("10M", "0A9", [(100, "A")]),
+        ("10M", "3C0T5", [(103, "C"), (104, "T")]),
+        ("5S10M2H", "9G", [(109, "G")]),
+        ("4M2I6M", "4A5", [(104, "A")]),
+        ("4M3D6M", "4^ACG0T5", [(107, "T")]),
+        ("4M3D6M", "1c2^ACG6", [(101, "C")]),
+        ("4M100N6M", "3A0C5", [(103, "A"), (204, "C")]),
+        ("2M50N3M1D3M60N4M", "1A3^T3C3", [(101, "A"), (219, "C")]),
+    ],
+)
+def test_mismatch_positions(spark, cigar, md, sites):
+    from readloom.functions.md import mismatch_positions, mismatches
+
+    df = spark.createDataFrame([(100, cigar, md)], "pos long, cigar string, md string")
+    assert sorted((r["ref_pos"], r["base"]) for r in mismatch_positions(df).collect()) == sites
+    assert df.select(mismatches("md")).first()[0] == len(sites)
+
+
+def test_nm_and_md_decide_differently(spark):
+    """Two inserted bases and one mismatch: three by NM, one by MD."""
+    rows = [("a", "24M2I24M", 3, "20A27"), ("b", "50M", 3, "1A1A1A44"), ("c", "50M", 3, None), ("d", "50M", None, None), ("e", "*", 9, "")]
+    df = spark.createDataFrame(rows, "read_id string, cigar string, nm int, md string")
+    assert [r["read_id"] for r in align.mismatch_filter(df).collect()] == ["d"]
+    assert [r["read_id"] for r in align.exact_mismatch_filter(df).orderBy("read_id").collect()] == ["a", "d", "e"]

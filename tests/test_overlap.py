@@ -182,10 +182,23 @@ def scans(df):
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("lineitem.parquet")
 
 
-def test_alignments_are_read_once(spark, sf_dir):
+def test_alignments_are_read_once(spark, sf_dir, monkeypatch):
+    """What is counted at once reads the alignments once, and nothing behind it reads them again."""
+    from readloom.plans import workflow
+
     a, exons = fx.alignments(spark, sf_dir), fx.exons(spark, sf_dir)
-    counted = overlap.assigned_counts(a, exons, width=fx.BIN)
-    assert scans(overlap.assignment_summary(counted)) == 1
+    reads = spark.createDataFrame([("A",), ("N",), ("R",)], "sample string")
+    cut, real = [], overlap.checkpoint
+    monkeypatch.setattr(overlap, "checkpoint", lambda df: cut.append(df) or real(df))
+    for make in (
+        lambda: overlap.assignment_summary(overlap.assigned_counts(a, exons, width=fx.BIN)),
+        lambda: workflow.quantify(a, exons, width=fx.BIN),
+        lambda: expression.tpm(workflow.quantify(a, exons, width=fx.BIN)),
+        lambda: overlap.gene_counts_by_strand(reads, a, exons, fx.BIN),
+    ):
+        cut.clear()
+        assert scans(make()) == 0
+        assert sum(map(scans, cut)) == 1
 
 
 def test_sample_rules(spark):

@@ -201,3 +201,46 @@ def test_one_hot_sequence_is_counted_exactly(spark):
     )
     top = reads_qc.overrepresented(rows, min_pct=30.0).collect()
     assert [(r.sequence, r.n_reads) for r in top] == [("ACGT" * 12, 1000)]
+
+
+def test_sources_with_a_mismatch(spark):
+    from readloom.functions.contaminants import best_source
+
+    adapter = reads_qc.CONTAMINANTS["TruSeq Adapter, Read 1"]
+    rng = __import__("random").Random(5)
+
+    def brute(seq, probes, least):
+        best = (0, 0, 1)
+        for number, probe in enumerate(probes.values()):
+            if min(len(seq), len(probe)) < least:
+                if seq and probe and (seq in probe or probe in seq):
+                    best = max(best, (min(len(seq), len(probe)), 0, -number))
+                continue
+            for i in range(len(seq)):
+                for j in range(len(probe)):
+                    for size in range(least, min(len(seq) - i, len(probe) - j) + 1):
+                        off = sum(a != b for a, b in zip(seq[i : i + size], probe[j : j + size]))
+                        if off <= 1:
+                            best = max(best, (size, -off, -number))
+        names = list(probes)
+        return (names[-best[2]] if best[2] < 1 else "No Hit", best[0] + best[1], best[0])
+
+    seqs = [adapter, adapter[5:30], "T" + adapter[:20], adapter[:10] + "T" + adapter[11:], adapter[:19], "ACGT", "", None, "A" * 50]
+    for _ in range(60):
+        seq = list(adapter[rng.randrange(12) :] + "".join(rng.choice("ACGT") for _ in range(20)))
+        for _ in range(rng.randrange(4)):
+            seq[rng.randrange(len(seq))] = rng.choice("ACGTN")
+        seqs.append("".join(seq))
+    probes = reads_qc.ADAPTERS | reads_qc.CONTAMINANTS
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "i int, s string")
+    got = {r["i"]: tuple(r["hit"]) for r in df.select("i", best_source("s", probes).alias("hit")).collect()}
+    assert got == {i: brute(s or "", probes, 20) for i, s in enumerate(seqs)}
+
+
+def test_long_reads_are_counted_in_slices(spark, monkeypatch):
+    """Cells don't depend on how many characters are looked at together."""
+    df = spark.createDataFrame([("s", "ACGTN" * n, "IIFF#" * n) for n in (0, 1, 7, 40, 400)] + [("s", None, None)], "sample string, seq string, qual string")
+    df = df.coalesce(1)
+    whole = sorted(map(tuple, reads_qc.read_cells(df, kinds=(*reads_qc.ALL_KINDS, "mean")).collect()))
+    monkeypatch.setattr(reads_qc, "CHARACTERS_AT_ONCE", 100)
+    assert sorted(map(tuple, reads_qc.read_cells(df, kinds=(*reads_qc.ALL_KINDS, "mean")).collect())) == whole
