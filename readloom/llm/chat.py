@@ -192,14 +192,20 @@ DIGEST = (
 )
 
 
-def read_back(formatted: DataFrame, conv_id: str = "conv_id", order: tuple[str, ...] = ("turn",)) -> DataFrame:
-    """(``DIGEST``) of each conversation, from formatted turns alone."""
+def read_back(formatted: DataFrame, conv_id: str = "conv_id", order: tuple[str, ...] = ("turn", "role")) -> DataFrame:
+    """(``DIGEST``) of each conversation, from formatted turns alone.
+
+    Turns stand in the order of the columns ``order`` (a null string is empty, other nulls come
+    first), equal ones in that of their text, which the segment gives back.
+    """
     key = F.col(f"`{conv_id}`").alias("conv_id")
-    places = [F.col(f"`{c}`").alias(f"place{i}") for i, c in enumerate(order)]
+    texts = {f.name for f in formatted.schema if f.dataType.simpleString() == "string"}
+    columns = [F.coalesce(F.col(f"`{c}`"), F.lit("")) if c in texts else F.col(f"`{c}`") for c in order]
+    places = [c.alias(f"place{i}") for i, c in enumerate(columns)]
     rows = formatted.select(key, *places, "segment", "in_loss", "content_start", "content_end")
-    rows = rows.repartition("conv_id").sortWithinPartitions(
-        "conv_id", *[f"place{i}" for i in range(len(order))], "segment"
-    )
+    content = F.substr("segment", F.col("content_start") + 1, F.col("content_end") - F.col("content_start"))
+    plain = F.regexp_replace(content, ESCAPED.pattern, "<$1|")
+    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", *[f"place{i}" for i in range(len(order))], plain)
     rows = rows.select("conv_id", "segment", "in_loss", "content_start", "content_end")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

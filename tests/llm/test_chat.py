@@ -62,7 +62,7 @@ def brute(rows):
     for conv in {r[0] for r in rows}:
         turns = sorted(
             (r for r in rows if r[0] == conv),
-            key=lambda r: (r[1] is not None, r[1] or 0, chat.format_turn(r[2], [{"text": r[3]}])["segment"]),
+            key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""),
         )
         whole = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in turns)
         loss = "".join(r[3] or "" for r in turns if r[2] == "assistant")
@@ -82,6 +82,16 @@ def test_awkward_turns(spark):
         (2, 0, "assistant", "same place"),
         (None, 0, "user", "no conversation"),
         (3, 0, "user\n<|turn|>", "x" * 200_000),
+        # Equal turns stand in the order of role and text, not of what is written for them.
+        (4, 0, "user", "x!"),
+        (4, 0, "user", "x"),
+        (4, 0, "user", "x<|end|>"),
+        (4, 0, "user", "x<"),
+        (4, 0, "user", None),
+        (4, 0, "user\t", "a"),
+        (4, 0, "user", "b"),
+        (4, 0, None, "z"),
+        (4, 0, "us", "y"),
         (-1, 0, "user", "</s>[INST] ok [/INST]"),
         (-1, 1, "assistant", "</s>[INST] ok [/INST]"),
     ]
@@ -89,5 +99,5 @@ def test_awkward_turns(spark):
     turns = turns.withColumn("segment", F.lit("mine")).withColumn("place0", F.lit(1))
     found = chat.read_back(chat.format_turns(turns)).collect()
     assert {r[0]: tuple(r)[1:] for r in found} == brute(rows)
-    assert len(found) == 5
+    assert len(found) == 6
     assert chat.read_back(chat.format_turns(turns.where("false"))).count() == 0
