@@ -9,9 +9,9 @@ each is aligned locally inside a band around its diagonals: 2 for equal words, -
 unequal or missing one. Reported is what covers enough of the template: share of its
 words, and the span in the text. What lies before and after an alignment is aligned again
 as long as it holds hits, so a candidate gives as many matches as stand in it.
-Templates of up to ``whole_up_to`` words must stand whole, word for word. Of a longer one's
-alignments those count that hold its deciding words, and no words of a licence that
-contains it.
+Of templates of up to ``whole_up_to`` words those alignments count that match every word and leave none
+out between them. Of a longer one's alignments those count that hold its deciding words, and no
+words of a licence that contains it. A stretch that lacks words of either kind is not aligned.
 
 Defined results: null and empty texts have no matches; of matches whose spans overlap the
 one with more matched words stands, ties go to the greater coverage, then the earlier name;
@@ -190,6 +190,8 @@ MATCH = "license string, coverage double, matched_words int, first_char int, end
 RESULT = f"array<struct<{MATCH.replace(' string', ': string').replace(' double', ': double').replace(' int', ': int')}>>"
 WORD = re.compile(r"\S+")
 REMEMBERED = 300_000
+#: What a step of the score counts in a cell of an alignment; templates have fewer words.
+ONE = 1 << 12
 EMPTY = -2
 
 
@@ -286,32 +288,44 @@ class Scanner:
         """Best local alignment of words ``first`` to ``end`` in the band: matched words, its first and end word."""
         stop = len(codes) if end is None else end
         template, band = self.templates[number], self.settings.band
-        width = high - low + 2 * band + 1
-        # A cell: score, matches, where it began, where its last match ended.
-        best = (0, 0, 0, 0)
-        above = [(0, 0, 0, 0)] * (width + 1)
+        width, start = high - low + 2 * band + 1, low - band
+        # A cell is one number, score * ONE + matches, with where it began and where its last match ended.
+        above, began, ended = np.zeros((3, width + 1), np.int64)
+        places = np.arange(width)
+        steps, fresh = places * ONE, np.ones(width, bool)
+        best, found = 0, (0, 0, 0)
         for i, word in enumerate(template):
-            row, left = [], (0, 0, 0, 0)
-            for k in range(width):
-                j = i + low - band + k
-                if not first <= j < stop:
-                    left = (0, 0, 0, 0)
-                    row.append(left)
-                    continue
-                score, matches, begin, end = above[k]
-                if codes[j] == word:
-                    cell = (score + 2, matches + 1, begin if matches else j, j + 1)
-                else:
-                    cell = (score - 1, matches, begin, end)
-                down = above[k + 1]
-                cell = max(cell, (down[0] - 1, *down[1:]), (left[0] - 1, *left[1:]), key=lambda c: c[:2])
-                left = cell if cell[0] > 0 else (0, 0, 0, 0)
-                if left[:2] > best[:2]:
-                    best = left
-                row.append(left)
-            row.append((0, 0, 0, 0))
-            above = row
-        return best[1:]
+            k, until = max(0, first - i - start), min(width, stop - i - start)
+            row, row_began, row_ended = np.zeros((3, width + 1), np.int64)
+            if k < until:
+                place = places[k:until] + (i + start)
+                same = codes[i + start + k : i + start + until] == word
+                before = above[k:until]
+                cell = np.where(same, before + 2 * ONE + 1, before - ONE)
+                begin = np.where(same & (before % ONE == 0), place, began[k:until])
+                end_ = np.where(same, place + 1, ended[k:until])
+                down = above[k + 1 : until + 1] - ONE
+                use = down > cell
+                np.copyto(cell, down, where=use)
+                np.copyto(begin, began[k + 1 : until + 1], where=use)
+                np.copyto(end_, ended[k + 1 : until + 1], where=use)
+                # From the left a cell comes at ONE less a step: a running maximum of what is raised by its place.
+                size = until - k
+                raised = cell + steps[:size]
+                top = np.maximum.accumulate(raised)
+                np.greater_equal(raised[1:], top[:-1], out=fresh[1:size])
+                source = np.maximum.accumulate(places[:size] * fresh[:size])
+                cell = top - steps[:size]
+                live = cell >= ONE
+                np.copyto(row[k:until], cell, where=live)
+                np.copyto(row_began[k:until], begin[source], where=live)
+                np.copyto(row_ended[k:until], end_[source], where=live)
+                peak = k + int(row[k:until].argmax())
+                if row[peak] > best:
+                    best = int(row[peak])
+                    found = (best % ONE, int(row_began[peak]), int(row_ended[peak]))
+            above, began, ended = row, row_began, row_ended
+        return found
 
     def decided(self, codes: np.ndarray, number: int, begin: int, end: int) -> bool:
         """Whether the words are the template's own licence and not a sibling's."""
@@ -320,9 +334,42 @@ class Scanner:
         def stands(phrase: list[int], within: int) -> bool:
             return any(words[i : i + len(phrase)] == phrase for i in range(within - len(phrase) + 1))
 
+        if self.short(number):
+            return end - begin == len(self.templates[number])
         own = all(stands(phrase, end - begin) for phrase in self.deciding.get(name, ()))
         return own and not any(stands(phrase, len(words)) for phrase in self.excluding.get(name, ()))
 
+    def short(self, number: int) -> bool:
+        """Whether a template must stand whole, word for word."""
+        return len(self.templates[number]) <= self.settings.whole_up_to
+
+    def hopeful(self, near: np.ndarray, number: int) -> bool:
+        """Whether ``near`` has words enough in common with the template, and its deciding words: else no alignment counts."""
+        many = len(self.templates[number])
+        common = np.minimum(np.bincount(near[near >= 0], minlength=len(self.numbers)), self.amounts[number]).sum()
+        if common < self.least(number) * many:
+            return False
+        phrases = () if self.short(number) else self.deciding.get(self.names[number], ())
+        return all(
+            len(near) >= len(p) and np.all([near[i : len(near) - len(p) + 1 + i] == w for i, w in enumerate(p)], axis=0).any()
+            for p in phrases
+        )
+
+    def in_band(self, codes: np.ndarray, number: int, low: int, high: int, first: int, end: int) -> int:
+        """How many of the template's words stand somewhere in their part of the band: no alignment there matches more."""
+        template, start = np.array(self.templates[number]), low - self.settings.band
+        width = high - low + 2 * self.settings.band + 1
+        begin, until = start, start + len(template) + width - 1
+        own = codes[max(begin, first) : max(min(until, end), 0)]
+        left = max(begin, first) - begin
+        padded = np.full(until - begin, EMPTY, np.int64)
+        padded[left : left + len(own)] = own
+        rows = np.lib.stride_tricks.sliding_window_view(padded, width)
+        return int((rows == template[:, None]).any(axis=1).sum())
+
+    def least(self, number: int) -> float:
+        return 1.0 if self.short(number) else self.settings.least_coverage
+
     def offer(self, queue: list[tuple], codes: np.ndarray, number: int, hits: list, first: int, end: int) -> None:
         """Best alignment of words ``first`` to ``end`` into ``queue``; where it covers too little, those of both sides."""
         rest = [(first, end)]
@@ -332,16 +379,14 @@ class Scanner:
             if not own:
                 continue
             low, high, many = own[0][0], own[-1][0], len(self.templates[number])
-            # No alignment matches more words than these have in common with the template.
             near = codes[max(first, low - self.settings.band) : max(0, min(end, high + self.settings.band + many))]
-            common = np.minimum(np.bincount(near[near >= 0], minlength=len(self.numbers)), self.amounts[number]).sum()
-            if common / many < self.settings.least_coverage:
+            if not self.hopeful(near, number) or self.in_band(codes, number, low, high, first, end) < self.least(number) * many:
                 continue
             matched, begin, stop = self.align(codes, number, low, high, first, end)
             coverage = matched / many
-            if coverage >= self.settings.least_coverage and self.decided(codes, number, begin, stop):
+            if coverage >= self.least(number) and self.decided(codes, number, begin, stop):
                 heappush(queue, (-matched, -coverage, self.names[number], begin, stop, number, own, first, end))
-            else:
+            elif matched:
                 rest += [(first, begin), (stop, end)]
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
@@ -354,14 +399,7 @@ class Scanner:
         codes = codes[places]
         queue: list[tuple] = []
         for number, hits in self.stretches(codes):
-            template = self.templates[number]
-            many = len(template)
-            if many > self.settings.whole_up_to:
-                self.offer(queue, codes, number, hits, 0, len(codes))
-                continue
-            for begin in sorted({d for d, _ in hits if d >= 0}):
-                if codes[begin : begin + many].tolist() == template:
-                    heappush(queue, (-many, -1.0, self.names[number], begin, begin + many, number, [], begin, begin + many))
+            self.offer(queue, codes, number, hits, 0, len(codes))
         begins: list[int] = []
         kept: list[tuple] = []  # in order of place, and apart
         while queue:

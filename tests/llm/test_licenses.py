@@ -160,6 +160,25 @@ def test_a_damaged_text_takes_no_siblings_name(scanner, number):
         assert {m[0] for m in scanner.scan(" ".join(words))} <= {name}
 
 
+def test_every_match_comes_from_an_alignment(scanner, monkeypatch):
+    """Without alignments nothing is found, however literally a template stands there."""
+    text = "\n".join(" ".join(x.split()) for _, x in licenses.TEMPLATES)
+    assert len(scanner.scan(text)) > 60
+    aligned, real = [], licenses.Scanner.align
+    monkeypatch.setattr(licenses.Scanner, "align", lambda *a: aligned.append(a[2]) or real(*a))
+    short = [n for n, (_, x) in enumerate(licenses.TEMPLATES) if len(x.split()) <= 15]
+    assert all([m[0] for m in scanner.scan(licenses.TEMPLATES[n][1])] == [licenses.TEMPLATES[n][0]] for n in short)
+    assert set(short) <= set(aligned)
+    monkeypatch.setattr(licenses.Scanner, "align", lambda *a: (0, 0, 0))
+    assert scanner.scan(text) == []
+
+
+def test_a_short_statement_with_a_word_more_or_less(scanner):
+    assert scanner.scan("Released under the MIT License.") != []
+    for text in ("Released under the new MIT License.", "Released under MIT License.", "Released under the MIT and License."):
+        assert scanner.scan(f"Words before. {text} Words after.") == []
+
+
 def test_marks_between_words_are_passed_over(scanner):
     text = "# Licensed under the Apache License ,\n# Version 2.0 ."
     (match,) = scanner.scan(text)
