@@ -68,10 +68,12 @@ def shared(nodes: DataFrame, parent: list[str]) -> DataFrame:
     before, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*parent)
     rated = nodes.withColumn("rest", F.col("above") - F.coalesce(F.sum("capacity").over(before), F.lit(0)))
     rated = rated.withColumn("heavy", F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    rated = rated.withColumn("full", F.col("capacity") * F.col("heavy") <= F.col("rest") * F.col("weight"))
+    # Products of tokens and weights outgrow a long at some 10 ** 14 tokens.
+    wide = {c: F.col(c).cast("decimal(19,0)") for c in ("capacity", "heavy", "rest", "weight")}
+    rated = rated.withColumn("full", wide["capacity"] * wide["heavy"] <= wide["rest"] * wide["weight"])
     rated = rated.withColumn("left", F.col("above") - F.coalesce(F.sum(F.expr("if(full, capacity, 0)")).over(whole), F.lit(0)))
     rated = rated.withColumn("open", F.sum(F.expr("if(full, 0, weight)")).over(whole))
-    return rated.withColumn("budget", F.expr("if(full, capacity, weight * `left` div open)"))
+    return rated.withColumn("budget", F.expr("if(full, capacity, cast(weight AS decimal(19,0)) * `left` div open)"))
 
 
 def leaf_budgets(leaves: DataFrame, weights: Weights, budget: Column, max_epochs: int) -> DataFrame:
@@ -93,9 +95,10 @@ def leaf_budgets(leaves: DataFrame, weights: Weights, budget: Column, max_epochs
     return able.join(above, parent).select(*LEVELS, "tokens", F.col("above").alias("budget"))
 
 
-def seeded(seed: int, epoch: Column, doc_id: Column) -> Column:
-    key = F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.md5(key.cast("binary"))
+def seeded(seed: int, epoch: Column, doc_id: Column, print_: Column) -> Column:
+    """Order of rows in an epoch. The text's digest counts too, so that rows of one id lie apart."""
+    name = F.coalesce(doc_id.cast("string"), F.lit(""))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), name, F.coalesce(print_, F.lit(""))).cast("binary"))
 
 
 def mix(
@@ -117,7 +120,8 @@ def mix(
         "lang": F.coalesce(F.col("lang"), F.lit("")),
         "source": F.coalesce(F.col("source"), F.lit("")),
     }
-    slim = docs.select(own.alias("id"), count.alias("n_tokens"), *[c.alias(n) for n, c in place.items()])
+    print_ = F.md5(body.cast("binary")).alias("print")
+    slim = docs.select(own.alias("id"), print_, count.alias("n_tokens"), *[c.alias(n) for n, c in place.items()])
     slim = checkpoint(slim.where("n_tokens > 0"))
     leaves = checkpoint(slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")))
     plan = leaf_budgets(leaves, weights, budget, max_epochs).where("budget > 0")
@@ -130,7 +134,7 @@ def mix(
     def near(table: DataFrame) -> DataFrame:
         return F.broadcast(table) if few else table
 
-    digest = seeded(seed, F.col("whole"), F.col("id"))
+    digest = seeded(seed, F.col("whole"), F.col("id"), F.col("print"))
     sums = slim.join(near(plan), list(LEVELS)).withColumn("head", F.substring(digest, 1, DIGITS))
     sums = sums.groupBy(*LEVELS, "head", "whole", "part").agg(F.sum("n_tokens").alias("tokens"))
     running = Window.partitionBy(*LEVELS).orderBy("head")
@@ -144,7 +148,7 @@ def mix(
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
         own.alias("id"),
-        body.alias("text"),
+        print_,
         count.alias("n_tokens"),
         *[c.alias(n) for n, c in place.items()],
     )
@@ -155,7 +159,7 @@ def mix(
     apart = apart.withColumn("times", F.col("whole") + F.expr("if(head < end, 1, 0)"))
     apart = apart.select("row", "domain", "n_tokens", F.explode(epochs).alias("epoch"))
     apart = apart.withColumn("tokens_taken", F.col("n_tokens"))
-    order = Window.partitionBy(*LEVELS).orderBy("digest", "id", F.md5(F.col("text").cast("binary")), "n_tokens")
+    order = Window.partitionBy(*LEVELS).orderBy("digest", "id", "print", "n_tokens")
     before = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = rows.where(F.col("head") == F.col("end")).withColumn("left", F.col("rest") - before)
     last = last.withColumn("times", F.col("whole") + F.expr("if(`left` > 0, 1, 0)"))

@@ -67,7 +67,7 @@ plan AS (
 ), ranked AS (
   SELECT doc_id, domain, lang, source, n_tokens, whole, part,
     coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source
-      ORDER BY md5(concat_ws('|', '7', whole, coalesce(CAST(doc_id AS VARCHAR), ''))), doc_id NULLS FIRST, md5(text), n_tokens
+      ORDER BY md5(concat_ws('|', '7', whole, coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(md5(text), ''))), doc_id NULLS FIRST, md5(text), n_tokens
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN plan USING (domain, lang, source) WHERE n_tokens > 0
 ), epochs AS (

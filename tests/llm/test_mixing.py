@@ -120,6 +120,27 @@ def test_awkward_rows(spark):
     assert mixing.mix(docs, WEIGHTS, F.lit(0), F.lit("x")).count() == 0
 
 
+def test_tokens_beyond_a_long(spark):
+    """Capacities of 10 ** 17 tokens times weights don't overflow."""
+    leaves = spark.createDataFrame(
+        [("web", "en", f"s{i}", 10**17 // (i + 1)) for i in range(20)], "domain string, lang string, source string, tokens long"
+    )
+    weights = mixing.Weights(source={f"s{i}": 1000 + i for i in range(20)})
+    rows = mixing.leaf_budgets(leaves, weights, F.expr("supply"), 4).collect()
+    supply = sum(10**17 // (i + 1) for i in range(20))
+    assert supply - 40 <= sum(r["budget"] for r in rows) <= supply
+    assert all(0 < r["budget"] <= 4 * r["tokens"] for r in rows)
+
+
+def test_rows_of_one_id_lie_apart(spark):
+    """Different texts of one id have orders of their own."""
+    docs = documents(spark, [(5, f"text {i}") for i in range(200)])
+    order = docs.select(mixing.seeded(1, F.lit(0), F.col("doc_id"), F.md5(F.col("text").cast("binary"))).substr(1, 3)).distinct().count()
+    assert order > 150
+    mixed = mixing.mix(docs, WEIGHTS, F.expr("supply div 2"), F.lit("x"), 1)
+    assert mixed.agg(F.sum("tokens_taken")).first()[0] == pytest.approx(200, abs=8)
+
+
 def test_no_python_in_the_plan(spark):
     plan = mixing.mix(made(spark), WEIGHTS, F.expr("supply"), F.lit("x"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
