@@ -141,7 +141,8 @@ def nearest(
     candidate_blocks = max(1, -(-rows.count() // candidate_block))
     query_blocks = max(1, -(-chosen.count() // query_block))
     left = index(rows, centres).select(
-        F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(candidate_blocks)).cast("int").alias("block"),
+        # By the row's number, not its id: an id that many rows share must not make one block.
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(candidate_blocks)).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
         "size",
         "vec_id",

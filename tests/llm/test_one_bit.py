@@ -79,6 +79,14 @@ def test_ties_repeats_and_odd_vectors(spark):
     assert 300 not in near and all(i not in range(300, 306) for v in near.values() for i, _ in v)
 
 
+def test_an_id_in_many_rows_is_dealt_out(spark):
+    rng = np.random.default_rng(4)
+    rows = [(1, rng.standard_normal(4).astype(np.float32).tolist()) for _ in range(300)] + [(20 * i, [1.0, 0.0, 0.0, float(i)]) for i in range(5)]
+    near = found(one_bit.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=5, candidate_block=32))
+    expected = brute(rows, 5)
+    assert {q: [round(s, 9) for _, s in v] for q, v in near.items()} == {q: [round(s, 9) for _, s in v] for q, v in expected.items()}
+
+
 def test_few_candidates_and_empty_table(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5])]
     assert found(one_bit.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0)) == {0: [(1, 0.5)]}
