@@ -106,7 +106,10 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label:
     chosen = chosen.where("of is not null and toxic is not null").groupBy("of").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("of"), "of").limit(settings.sample)
     own = docs.select(F.col(f"`{doc_id}`").alias("own"), F.col(f"`{text}`").alias("text"))
-    rows = own.join(F.broadcast(chosen), F.col("own") == F.col("of")).select("toxic", "text")
+    rows = own.join(F.broadcast(chosen), F.col("own") == F.col("of"))
+    # One row for each sampled id, however often it stands; combined before the shuffle.
+    rows = rows.groupBy("of").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = rows.select("toxic", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = pa.list_(pa.string())

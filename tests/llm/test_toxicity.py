@@ -1,5 +1,6 @@
 import pytest
 from cases import AWKWARD, documents, empty
+from pyspark.sql import functions as F
 
 from readloom.llm import toxicity
 from readloom.llm.queries import QUERIES
@@ -74,6 +75,14 @@ def test_sample_is_bounded(spark, corpus):
     assert toxicity.labelled(*corpus, "doc_id", "text", "toxic", settings).count() == 20
 
 
+def test_an_id_in_a_third_of_all_rows_is_one_row(spark, corpus):
+    docs, labels = corpus
+    many = docs.where("doc_id = 1").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n")
+    settings = toxicity.Settings()
+    once = toxicity.labelled(docs, labels, "doc_id", "text", "toxic", settings).count()
+    assert toxicity.labelled(docs.unionByName(many), labels, "doc_id", "text", "toxic", settings).count() == once
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     scored = QUERIES["op3_toxicity"].run(spark, sf)
