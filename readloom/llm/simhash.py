@@ -260,7 +260,8 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     groups = simhash_groups(docs, doc_id, text, **settings)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "version")).alias("best")
-    # Keys without nulls: the join and the removal of repeated rows then need one and the same shuffle.
+    # Keys without nulls: the join and the removal of repeated rows then need one and the same shuffle. Repeated
+    # rows go first, so that of a row in a third of the table each task sends one copy.
     key = ["bare", "id", "version"]
     stay = groups.groupBy("root").agg(best).select("best.bare", F.coalesce("best.doc_id", F.lit(0)).alias("id"), "best.version")
     stay = checkpoint(stay.distinct(), spread=True)
@@ -271,7 +272,7 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         F.coalesce(own, F.lit(0)).alias("id"),
         F.xxhash64(F.col(f"`{text}`")).alias("version"),
     )
-    kept = rows.join(stay, key, "left_semi").dropDuplicates(key)
+    kept = rows.dropDuplicates(key).join(stay, key, "left_semi")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -104,6 +104,16 @@ def test_one_of_each_group_stays(spark):
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(["1", "2", "5", "None", "8", "9"])
 
 
+def test_a_row_that_stands_often_is_one_row_for_each_task(spark):
+    """Repeated rows go before the shuffle, not in the one task that they would meet in."""
+    rows = [(1, "a text that stands in a third of all rows")] * 2000 + [(i, f"other text number {i} here") for i in range(2, 40)]
+    left = simhash.one_of_each_group(documents(spark, rows).repartition(4), radius=1)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Aggregate(") + plan.count("Aggregate ") >= 2
+    found = left.collect()
+    assert sum(r["doc_id"] == 1 for r in found) == 1 and len(found) <= 39
+
+
 def test_query_against_brute_force(spark, sf_dir):
     from readloom.llm.queries import QUERIES
 
