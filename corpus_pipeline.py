@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 
 from readloom.llm import byte_bpe, line_windows, mixing, simhash, toxicity
 from readloom.llm.common import table
-from readloom.llm.queries import WEIGHTS, domain
+from readloom.llm.queries import domain
 from readloom.session import scratch_dir
 
+#: Domains and languages have weights; no source counts more than another.
+WEIGHTS = mixing.Weights(
+    domain={"web": 5, "forum": 3, "books": 2}, lang={"en": 6, "de": 2, "fr": 2, "es": 1}, other=2
+)
+
 
 def toxic_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.3; the classifier learns from the labels that aren't held out."""
@@ -36,8 +41,17 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the weights have them read: four fifths of all tokens, two epochs at most."""
-    rows = mixing.mix(docs, WEIGHTS, F.expr("supply * 4 div 5"), domain(), max_epochs=2, seed=7)
+    """Documents as often as the weights have them read: 1.2 times all tokens, four epochs at most.
+
+    Of the last document of a leaf, which counts in part, only the words that count are left,
+    joined by blanks.
+    """
+    rows = mixing.mix(docs, WEIGHTS, F.expr("supply * 6 div 5"), domain(), max_epochs=4, seed=7)
+    part = F.col("tokens_taken") < F.col("n_tokens")
+    words = F.regexp_extract_all("text", F.lit(r"[^ \t-\r]+"), F.lit(0))
+    text = F.when(part, F.array_join(F.slice(words, F.lit(1), F.col("tokens_taken").cast("int")), " ")).otherwise(F.col("text"))
+    rows = rows.withColumn("text", text)
+    rows = rows.withColumn("n_chars", F.when(part, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return rows.select(*docs.columns)
 
 
