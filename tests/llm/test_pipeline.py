@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +8,10 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from readloom.llm import byte_bpe
+from readloom.llm import byte_bpe, mixing, toxicity
+from readloom.llm.queries import domain
+from test_line_windows import brute as brute_lines
+from test_simhash import brute_components, brute_fingerprint
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -43,16 +47,64 @@ def test_line_stage_keeps_every_line_somewhere(steps):
     assert after.where("n_chars <> length(text)").count() == 0
 
 
+def test_toxicity_stage_drops_what_the_model_rejects(spark, sf_dir, steps):
+    before, after = steps[0]
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    model = toxicity.fit(before, labels)
+    kept = {
+        r["doc_id"] for r in before.collect() if model.score(set(toxicity.WORD.findall((r["text"] or "").lower()))) < 0.3
+    }
+    assert kept == {r["doc_id"] for r in after.collect()}
+
+
+def test_line_stage_against_brute_force(steps):
+    before, after = steps[1]
+    left = brute_lines([(r["doc_id"], r["text"]) for r in before.collect()])
+    left = {i: t for (i, own), t in left.items() if t.split() or t == own}
+    assert left == {r["doc_id"]: r["text"] for r in after.collect() if r["text"] is not None}
+
+
+def test_simhash_stage_against_brute_force(steps):
+    before, after = steps[2]
+    codes = {r["doc_id"]: brute_fingerprint(r["text"]) for r in before.collect()}
+    label = brute_components(sorted(set(codes.values())))
+    smallest = {}
+    for i, c in codes.items():
+        smallest[label[c]] = min(i, smallest.get(label[c], i))
+    assert sorted(smallest.values()) == sorted(r["doc_id"] for r in after.collect())
+
+
+def test_mixing_stage_takes_prefixes(steps):
+    """Every leaf gives its share of whole documents and one beginning, in the words that count."""
+    before, after = steps[3]
+    own = {r["doc_id"]: r["text"] for r in before.collect()}
+    mixed = mixing.mix(before, corpus_pipeline.WEIGHTS, F.expr("supply * 6 div 5"), domain(), max_epochs=4, seed=7)
+    expected, parts = [], 0
+    for r in mixed.collect():
+        words = re.findall(r"[^ \t-\r]+", own[r["doc_id"]])
+        part = r["tokens_taken"] < len(words)
+        parts += part
+        expected.append((r["doc_id"], " ".join(words[: r["tokens_taken"]]) if part else own[r["doc_id"]]))
+    assert parts > 0
+    rows = after.collect()
+    assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted(expected)
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    tokens = lambda texts: sum(len(re.findall(r"[^ \t-\r]+", t)) for t in texts)
+    supply = tokens(own.values())
+    assert tokens(r["text"] for r in rows) == pytest.approx(1.2 * supply, rel=0.01)
+
+
 def test_last_stage(spark, steps):
     docs, coded = steps[-1]
     ranks = byte_bpe.Vocabulary(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))).rank
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    rows = coded.collect()
-    assert len(rows) == docs.count()
-    for r in rows:
-        packed = np.array(library.encode_ordinary(texts[r["doc_id"]]), "<u4").tobytes()
-        assert r["ids_sha256"] == hashlib.sha256(packed).hexdigest()
+
+    def digest(text):
+        return hashlib.sha256(np.array(library.encode_ordinary(text), "<u4").tobytes()).hexdigest()
+
+    # A document may be there several times, and once more in part.
+    expected = sorted((r["doc_id"], digest(r["text"])) for r in docs.collect())
+    assert sorted((r["doc_id"], r["ids_sha256"]) for r in coded.collect()) == expected
 
 
 def test_run_gives_the_same(spark, sf_dir, steps):
