@@ -84,7 +84,7 @@ def test_against_brute_force(spark, tmp_path):
 
 
 def test_one_branch_and_one_leaf(spark, tmp_path):
-    for n in (1, 2, 8, 9, 64, 65):
+    for n in (1, 8, 65):
         rows = [(i, "s", "en", i, f"Text {i}") for i in range(n)]
         assert found(spark, rows, tmp_path / str(n)) == brute(rows, tampered)
 

