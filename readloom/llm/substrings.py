@@ -277,8 +277,10 @@ def dedup_substrings(
     place = [slim.schema[k] for k in key]
 
     def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
-        # Dealt out anew, so that adaptive execution can split a document that many rows repeat.
-        renamed = marks.withColumnsRenamed({k: f"of_{k}" for k in key}).hint("rebalance")
+        # A document that many rows repeat must be split; adaptive execution can if the marks are dealt out
+        # anew. If ids stand once, no key is hot, and the marks stay where their aggregate put them.
+        renamed = marks.withColumnsRenamed({k: f"of_{k}" for k in key})
+        renamed = renamed if unique else renamed.hint("rebalance")
         same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in key]
         return rows.join(renamed, same, "left").drop(*[f"of_{k}" for k in key])
 
