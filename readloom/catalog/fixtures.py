@@ -35,6 +35,11 @@ def samples(spark: SparkSession, sf_dir: str) -> list[str]:
     return [r[0] for r in names.collect()]
 
 
+def letters_of(text: str) -> Column:
+    """All letters of a text in lower case; those outside a-z count as x."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), r"[^\p{L}]", ""), "[^a-z]", "x")
+
+
 def read_samples(spark: SparkSession, sf_dir: str) -> list[str]:
     """Names of the samples of the reads, as a run's manifest lists them."""
     return [r[0] for r in table(spark, sf_dir, "documents", "source").distinct().orderBy("source").collect()]
@@ -45,7 +50,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The last run is as short as it comes; a document without letters is an empty read.
     """
-    letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
+    letters = letters_of("text")
     runs = F.regexp_extract_all(letters, F.lit(".{1,%d}" % READ_LEN), F.lit(0))
     k, i = F.coalesce("k", F.lit("")), F.coalesce("i", F.lit(0))
     n = F.length(k)
@@ -80,7 +85,7 @@ def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces follow behind the first ones of all, and so on; documents without a piece leave
     a gap. A short piece is filled up with N.
     """
-    letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
+    letters = letters_of("text")
     pieces = F.regexp_extract_all(letters, F.lit(".{1,%d}" % CONTIG_CHUNK), F.lit(0))
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     per_round = int_div(docs.agg(F.max("doc_id")).scalar(), 5) + 1

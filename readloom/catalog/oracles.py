@@ -10,7 +10,8 @@ import re
 
 VIEWS: dict[str, str] = {
     # --- fixtures -------------------------------------------------------------
-    "letters": "SELECT doc_id, source, regexp_replace(lower(text), '[^a-z]', '', 'g') AS t FROM documents",
+    "letters": r"""SELECT doc_id, source,
+        regexp_replace(regexp_replace(lower(text), '[^\p{L}]', '', 'g'), '[^a-z]', 'x', 'g') AS t FROM documents""",
     "runs": """SELECT doc_id, source, i, substr(t, 1 + 51 * i, 51) AS k FROM (
         SELECT doc_id, source, t, unnest(range(0, greatest((length(t) + 50) // 51, 1))) AS i FROM letters)""",
     "reads": """SELECT concat('R', doc_id, '_', i) AS read_id, source AS sample,

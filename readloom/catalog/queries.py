@@ -144,7 +144,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_dir(spark, "fasta")
-    letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
+    letters = fx.letters_of("text")
     wrapped = F.regexp_replace(letters, "(.{60})", "$1\n")
     docs = fx.table(spark, sf, "documents", "doc_id", "text")
     docs.select(F.concat(F.lit(">d"), "doc_id", F.lit(" a document\n"), wrapped).alias("value")).write.text(path)
