@@ -9,9 +9,11 @@ The built levels are stored as node rows linked to their parents: a row (tree, l
 the digests of its run and which place of which run it takes itself. A tree's top has one row more,
 alone in its run, that links a branch to its place among the subroots and ends the climb
 at the root. Verifying is one recursive query over that table: each leaf brings the
-digest that its row has now, goes up run by run, puts its own digest in its place,
-hashes, and gives out the run's other digests as a step of its proof. A step is a join
-on the parents' key; what is handed on to the next step is one digest for a leaf.
+digest that its row has now, goes up run by run, puts its own digest in its place and
+hashes. A step is a join on the parents' key; what is handed on to the next step is one
+digest for a leaf, and through which run it goes. The other digests of that run are a
+step of the leaf's proof; they are appended behind the recursion, which would
+otherwise write seven of them for every leaf and step once more.
 
 Digests are kept as 32 bytes and hashed as lowercase hexadecimal text. A branch with a third of
 all rows is ordered in ranges, and no task sees more of it than others.
@@ -136,20 +138,21 @@ def manifest(
     return Manifest(leaves, stored(linked, f"{path}/linked"), subroots, bytes(found[0]) if found else None, fan)
 
 
-#: The anchor is every leaf with the run above it; a step goes to the run above that.
+#: The anchor is every leaf, on its way to the run above it; a step goes through that run to the one above. The last
+#: row of a leaf is on its way to the run that holds the root alone.
 CLIMB = f"""
 WITH RECURSIVE climb AS (
   SELECT tree AS of_tree, place AS of_place, 0 AS step, tree AS at_tree, level AS at_level, place div {{fan}} AS at_idx,
-    CAST(place % {{fan}} AS INT) AS at_slot, claimed AS folded, CAST(X'' AS BINARY) AS siblings
+    CAST(place % {{fan}} AS INT) AS at_slot, claimed AS folded
   FROM {{leaves}}
   UNION ALL
   SELECT c.of_tree, c.of_place, c.step + 1, n.up_tree, n.up_level, n.up_idx, n.slot,
     IF(n.alone, c.folded, unhex(sha2(CAST(lower(hex(concat(substring(n.children, 1, {SIZE} * c.at_slot), c.folded,
-      substring(n.children, {SIZE} * c.at_slot + {SIZE + 1})))) AS BINARY), 256))),
-    concat(substring(n.children, 1, {SIZE} * c.at_slot), substring(n.children, {SIZE} * c.at_slot + {SIZE + 1}))
+      substring(n.children, {SIZE} * c.at_slot + {SIZE + 1})))) AS BINARY), 256)))
   FROM climb c JOIN {{nodes}} n ON c.at_tree = n.tree AND c.at_level = n.level AND c.at_idx = n.idx
+  WHERE n.up_tree IS NOT NULL
 )
-SELECT of_tree, of_place, step, folded, siblings, at_tree IS NULL AS top FROM climb
+SELECT of_tree, of_place, step, at_tree, at_level, at_idx, at_slot, folded FROM climb
 """
 
 
@@ -172,10 +175,14 @@ def climbed(built: Manifest, claimed: str = "digest") -> DataFrame:
     leaves = built.leaves.select("tree", "place", level, F.col(claimed).alias("claimed"))
     with unlimited_recursion(spark):
         steps = spark.sql(CLIMB.replace("{fan}", str(built.fan)), leaves=leaves, nodes=built.nodes)
-        steps = steps.where("top or length(siblings) > 0")
-        climbs = steps.groupBy("of_tree", "of_place").agg(
-            F.sort_array(F.collect_list(F.struct("step", "siblings"))).alias("steps"),
-            F.max(F.when(F.col("top"), F.col("folded"))).alias("folded"),
+        same = [F.col(f"at_{c}") == F.col(c) for c in ("tree", "level", "idx")]
+        met = steps.join(built.nodes, same)
+        before, after = (F.substring("children", 1, SIZE * F.col("at_slot")), F.substring("children", SIZE * F.col("at_slot") + SIZE + 1, SIZE * built.fan))
+        siblings = F.when(~F.col("alone"), F.concat(before, after))
+        root = F.when(F.col("up_tree").isNull(), F.col("folded"))
+        climbs = met.groupBy("of_tree", "of_place").agg(
+            F.sort_array(F.collect_list(F.when(siblings.isNotNull(), F.struct("step", siblings.alias("siblings"))))).alias("steps"),
+            F.max(root).alias("folded"),
         )
         proof = F.aggregate("steps", F.lit(b""), lambda all_, x: F.concat(all_, x["siblings"]))
         return checkpoint(climbs.select("of_tree", "of_place", "folded", proof.alias("proof")))
