@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.bases import int_div, percent
 from ..functions.cigar import blocks, cigar_ops, placed_introns, query_length, ref_end
 from ..functions.intervals import with_samples
-from ..functions.md import mismatch_positions, mismatches
+from ..functions.md import counted_sites, located, mismatches
+from ..session import partitions_for
 
 # Bits of the alignment flag.
 PAIRED, PROPER_PAIR, UNMAPPED, MATE_UNMAPPED, REVERSE = 1, 2, 4, 8, 16
@@ -208,11 +209,13 @@ def exact_mismatch_filter(alignments: DataFrame, maximum: int = 999, percent_of_
 def mismatch_sites(alignments: DataFrame) -> DataFrame:
     """(sample, chrom, ref_pos, base, n): mapped reads that differ from the reference base at a position.
 
-    Counted per placement and MD string first, so that copies of a read are unfolded once.
+    Equal sites are counted in each Arrow batch, then in as many partitions as the rows need, so no task holds
+    more of them with more input, and copies of a read are few rows of the one shuffle.
     """
-    copies = alignments.where(is_mapped()).groupBy("sample", "chrom", "pos", "cigar", "md").agg(F.count("*").alias("copies"))
-    sites = mismatch_positions(copies)
-    return sites.groupBy("sample", "chrom", "ref_pos", "base").agg(F.sum("copies").alias("n"))
+    slim = alignments.where(is_mapped() & (mismatches("md") > 0)).select("sample", "chrom", "pos", "cigar", "md")
+    sites = slim.mapInArrow(counted_sites(located(5, 2, 3, 4)), "sample string, chrom string, ref_pos long, base string, n long")
+    keys = ["sample", "chrom", "ref_pos", "base"]
+    return sites.repartition(partitions_for(alignments), *keys).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def junction_motifs(found: DataFrame, contigs: DataFrame, chunk: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,47 @@ def local_session(cpus: int | str = "*", name: str = "readloom", memory: str = "
     return spark
 
 
+#: Rows that one task of a shuffle is meant to get.
+TASK_ROWS = 500_000
+#: Bytes of files that one task is meant to read, where it also counts groups before the shuffle.
+TASK_BYTES = 16 << 20
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Partitions for a shuffle of the rows of ``df``, so that a task's share does not grow with the table.
+
+    ``df`` should be a table as read or stored: counting its rows then reads no column.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+
+
+@contextmanager
+def many_partitions(df: DataFrame) -> Iterator[None]:
+    """For what is computed inside: as many partitions at each shuffle as the rows of ``df`` need.
+
+    Shuffles of aggregates and joins take their number of partitions from the session, however many rows there
+    are, and adaptive execution merges them by compressed bytes, which say little of the memory of a row.
+    The settings change only where the rows need more than a partition for each core, and are set back.
+    """
+    conf, needed = df.sparkSession.conf, partitions_for(df)
+    if needed <= df.sparkSession.sparkContext.defaultParallelism:
+        yield
+        return
+    wanted = {
+        "spark.sql.shuffle.partitions": str(max(needed, int(conf.get("spark.sql.shuffle.partitions")))),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+    }
+    before = {key: conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """``df`` computed now and kept in the shared checkpoint folder, its lineage cut.
 
@@ -41,6 +84,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed now and kept as Parquet in the shared scratch folder: for tables as long as the input."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder named by ``spark.checkpoint.dir``.
 

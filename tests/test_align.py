@@ -1,5 +1,8 @@
 """Hand cases for CIGARs, junctions and flag counts."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -281,6 +284,41 @@ def test_mismatch_positions(spark, cigar, md, sites):
     assert df.select(mismatches("md")).first()[0] == len(sites)
 
 
+def sites_by_hand(pos, cigar, md):
+    """Token by token and base by base."""
+    covered, at = [], pos
+    for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar or ""):
+        if pos is not None and op in "MD=XN":
+            covered += [] if op == "N" else range(at, at + int(n))
+            at += int(n)
+    found, off = [], 0
+    for token in re.findall(r"\d+|\^[A-Za-z]+|[A-Za-z]", md or ""):
+        if token.isalpha():
+            found.append((covered[off] if off < len(covered) else None, token.upper()))
+        off += int(token) if token.isdigit() else len(token.lstrip("^"))
+    return found
+
+
+def test_mismatch_positions_of_many_rows_without_lambdas(spark):
+    """All rows of a batch are read together, whatever their strings; no function runs token by token."""
+    from readloom.functions.md import mismatch_positions
+
+    rng = random.Random(5)
+    rows = [(100, None, "3A2"), (None, "6M", "3A2"), (7, "6M", None), (7, "6M", ""), (7, "*", "A"), (7, "3M", "2A9C"), (1, "9M9", "^A^0G-1c")]
+    for _ in range(500):
+        cigar = "".join(f"{rng.randint(0, 12)}{rng.choice('MMMIDNSHP=X')}" for _ in range(rng.randint(1, 6)))
+        md = "".join(rng.choice(["0", "3", "12", "A", "c", "^AC", "^G"]) for _ in range(rng.randint(1, 8)))
+        rows.append((rng.randint(1, 10**9), cigar, md))
+    rows = [(i, *row) for i, row in enumerate(rows)]
+    found = mismatch_positions(spark.createDataFrame(rows, "id long, pos long, cigar string, md string").coalesce(1))
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["id"], []).append((r["ref_pos"], r["base"]))
+    for i, pos, cigar, md in rows:
+        assert sorted(got.get(i, []), key=str) == sorted(sites_by_hand(pos, cigar, md), key=str), (pos, cigar, md)
+    assert "lambdafunction" not in found._jdf.queryExecution().toString()
+
+
 def test_nm_and_md_decide_differently(spark):
     """Two inserted bases and one mismatch: three by NM, one by MD."""
     rows = [("a", "24M2I24M", 3, "20A27"), ("b", "50M", 3, "1A1A1A44"), ("c", "50M", 3, None), ("d", "50M", None, None), ("e", "*", 9, "")]
