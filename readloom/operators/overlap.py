@@ -9,6 +9,8 @@ Spark picks the join by its own size check: under
 ``spark.sql.autoBroadcastJoinThreshold`` the islands are broadcast, the partitioning of
 the placements survives the join and the aggregate behind it needs no shuffle. Above
 it both sides are shuffled on (chrom, bin) and adaptive execution splits large bins.
+Of many rows, what is counted or joined per placement is computed at once, in partitions by the
+number of rows (:func:`..session.many_partitions`): a task then holds no more of them with more input.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cigar import placed_blocks
 from ..functions.intervals import bins, with_samples
-from ..session import checkpoint
+from ..session import checkpoint, many_partitions, stored
 from .align import REVERSE, SECONDARY, SUPPLEMENTARY, UNMAPPED, has_flag, is_mapped
 
 GENOME_BIN = 16_384
@@ -74,14 +76,12 @@ def gene_length(exons: DataFrame, width: int = GENOME_BIN) -> DataFrame:
 
 
 def placements(alignments: DataFrame, *extra: str) -> DataFrame:
-    """Mapped rows counted per placement (and per ``extra`` column)."""
+    """Mapped rows counted per placement (and per ``extra`` column); many rows at once and stored."""
     strand = F.when(has_flag(REVERSE), "-").otherwise("+")
-    return (
-        alignments.where(is_mapped())
-        .withColumn("strand", strand)
-        .groupBy(*extra, *PLACED)
-        .agg(F.count("*").alias("n"))
-    )
+    mapped = alignments.where(is_mapped()).withColumn("strand", strand)
+    counted = mapped.groupBy(*extra, *PLACED).agg(F.count("*").alias("n"))
+    with many_partitions(alignments) as many:
+        return stored(counted, "placements") if many else counted
 
 
 def strand_match(rule: int, read: str = "strand", gene: str = "gene_strand") -> Column:
@@ -109,8 +109,15 @@ def _hits(placed: DataFrame, exons: DataFrame, width: int, how: str) -> DataFram
 def overlap_join(placed: DataFrame, exons: DataFrame, width: int = GENOME_BIN) -> DataFrame:
     """(placement, gene_id, gene_strand) where a block and an exon share a base.
 
-    ``placed`` holds distinct placements. Each pair comes out once.
+    ``placed`` holds distinct placements. Each pair comes out once. With many placements the table is
+    computed at once and stored, in as many partitions as they need.
     """
+    pairs = _pairs(placed, exons, width)
+    with many_partitions(placed) as many:
+        return stored(pairs, "overlaps") if many else pairs
+
+
+def _pairs(placed: DataFrame, exons: DataFrame, width: int) -> DataFrame:
     return _hits(placed.select(*PLACED), exons, width, "inner").distinct()
 
 
@@ -119,7 +126,7 @@ def placement_genes(placed: DataFrame, exons: DataFrame, strand: int = 0, width:
 
     Placements without a gene are not listed.
     """
-    hits = overlap_join(placed, exons, width).where(strand_match(strand))
+    hits = _pairs(placed, exons, width).where(strand_match(strand))
     per = hits.groupBy(*PLACED).agg(F.count("*").alias("n_genes"), F.min("gene_id").alias("_gene"))
     return per.select(*PLACED, "n_genes", F.when(F.col("n_genes") == 1, F.col("_gene")).alias("gene_id"))
 
@@ -129,13 +136,16 @@ def assign_reads(alignments: DataFrame, exons: DataFrame, strand: int = 0, width
 
     The join back to the rows is on the placement, whose side here is unique and dealt out
     anew before the join, so that both sides are shuffled for it: a placement shared by
-    many reads makes a large left partition, which adaptive execution then splits.
+    many reads makes a large left partition, which adaptive execution then splits. With many
+    rows the table is computed at once and stored, in as many partitions as they need.
     """
     mapped = alignments.where(is_mapped()).withColumn("strand", F.when(has_flag(REVERSE), "-").otherwise("+"))
     genes = placement_genes(mapped.select(*PLACED).distinct(), exons, strand, width)
     n = F.coalesce("n_genes", F.lit(0).cast("long"))
     status = F.when(n == 1, ASSIGNED).when(n > 1, AMBIGUOUS).otherwise(NO_FEATURES)
-    return mapped.join(genes.hint("rebalance"), PLACED, "left").withColumn("n_genes", n).withColumn("status", status)
+    assigned = mapped.join(genes.hint("rebalance"), PLACED, "left").withColumn("n_genes", n).withColumn("status", status)
+    with many_partitions(alignments) as many:
+        return stored(assigned, "assigned") if many else assigned
 
 
 def _counted_outcomes(
@@ -190,7 +200,8 @@ def assigned_counts(
         F.when(failed, F.col("_to")).otherwise(ASSIGNED).alias("status"),
         F.when(~failed, F.col("_to")).alias("gene_id"),
     ).agg(F.sum("n").alias("n"))
-    return checkpoint(counts)
+    with many_partitions(alignments):
+        return checkpoint(counts)
 
 
 def assignment_summary(counts: DataFrame) -> DataFrame:
@@ -230,7 +241,9 @@ def gene_counts_by_strand(
     early = F.when(has_flag(UNMAPPED), "N_unmapped").when(F.col("nh") > 1, "N_multimapping")
     rules = {"unstranded": 0, "forward": 1, "reverse": 2}
     outcomes = _counted_outcomes(primary, early, exons, rules, "N_noFeature", "N_ambiguous", width)
-    outcomes = checkpoint(outcomes.groupBy("sample", *rules).agg(F.sum("n").alias("n")))
+    with many_partitions(alignments):
+        outcomes = checkpoint(outcomes.groupBy("sample", *rules).agg(F.sum("n").alias("n")))
+        totals = checkpoint(reads.groupBy("sample").agg(F.count("*").alias("_reads")))
     # One row per rule, added up per target in a single aggregate.
     entries = [F.struct(F.lit(r).alias("rule"), F.col(r).alias("gene_id")) for r in rules]
     counted = (
@@ -241,7 +254,6 @@ def gene_counts_by_strand(
     extra = exons.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(x) for x in ("N_unmapped", "N_multimapping", "N_noFeature", "N_ambiguous")])).alias("gene_id")
     )
-    totals = checkpoint(reads.groupBy("sample").agg(F.count("*").alias("_reads")))
     placed = outcomes.where(F.col("unstranded") != "N_unmapped").groupBy("sample").agg(F.sum("n").alias("_placed"))
     zero = F.lit(0).cast("long")
     missing = totals.join(placed, "sample", "left").select(

@@ -46,16 +46,17 @@ def partitions_for(df: DataFrame) -> int:
 
 
 @contextmanager
-def many_partitions(df: DataFrame) -> Iterator[None]:
+def many_partitions(df: DataFrame) -> Iterator[bool]:
     """For what is computed inside: as many partitions at each shuffle as the rows of ``df`` need.
 
     Shuffles of aggregates and joins take their number of partitions from the session, however many rows there
     are, and adaptive execution merges them by compressed bytes, which say little of the memory of a row.
-    The settings change only where the rows need more than a partition for each core, and are set back.
+    The settings change only where the rows need more than a partition for each core, and are set back;
+    gives whether that is so, as a lazy plan would run without them.
     """
     conf, needed = df.sparkSession.conf, partitions_for(df)
     if needed <= df.sparkSession.sparkContext.defaultParallelism:
-        yield
+        yield False
         return
     wanted = {
         "spark.sql.shuffle.partitions": str(max(needed, int(conf.get("spark.sql.shuffle.partitions")))),
@@ -66,7 +67,7 @@ def many_partitions(df: DataFrame) -> Iterator[None]:
     try:
         for key, value in wanted.items():
             conf.set(key, value)
-        yield
+        yield True
     finally:
         for key, value in before.items():
             conf.set(key, value)

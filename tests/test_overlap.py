@@ -201,6 +201,35 @@ def test_alignments_are_read_once(spark, sf_dir, monkeypatch):
         assert sum(map(scans, cut)) == 1
 
 
+def test_partitions_follow_the_rows(spark, sf_dir, monkeypatch):
+    """Tables of many rows are dealt over more partitions than the session names, with the same rows."""
+    from readloom import session
+
+    a, exons = fx.alignments(spark, sf_dir), fx.exons(spark, sf_dir)
+    reads = fx.input_reads(spark, sf_dir)
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    makes = (
+        lambda: overlap.overlap_join(overlap.placements(a), exons, fx.BIN),
+        lambda: overlap.assign_reads(a, exons, width=fx.BIN),
+        lambda: overlap.assigned_counts(a, exons, width=fx.BIN),
+        lambda: overlap.gene_counts_by_strand(reads, a, exons, fx.BIN),
+    )
+    few = [rows(make()) for make in makes]
+    widths = []
+    for name in ("stored", "checkpoint"):
+        real = getattr(overlap, name)
+        seen = lambda df, *args, real=real: widths.append(int(spark.conf.get("spark.sql.shuffle.partitions"))) or real(df, *args)
+        monkeypatch.setattr(overlap, name, seen)
+    monkeypatch.setattr(session, "TASK_ROWS", 300)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert [rows(make()) for make in makes] == few
+    assert len(widths) == 6 and min(widths) > 8
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_sample_rules(spark):
     wide = spark.createDataFrame([("g", 5, 1, 2)], "Geneid string, Length int, `/x/ab_a.bam` int, other int")
     assert expression.rename_columns_by_sample(wide, ["a", "ab"]).columns == ["Geneid", "Length", "ab", "other"]
