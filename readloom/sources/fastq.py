@@ -226,7 +226,8 @@ class FastqDataSource(DataSource):
 def sample_of_path(path: str | Column) -> Column:
     """Sample id in a read file's name: no ending, no trailing ``_1`` or ``.sra``. A folder
     ``sample=...`` on the way to the file names it instead."""
-    name = F.regexp_extract(path, r"([^/]+?)(?:\.fastq|\.fq)?(?:\.gz)?$", 1)
+    # Patterns begin at the text's first character: else each place of a path without a match is tried.
+    name = F.regexp_extract(F.substring_index(path, "/", -1), r"^([^/]+?)(?:\.fastq|\.fq)?(?:\.gz)?$", 1)
     return F.coalesce(
         F.nullif(sample_folder(path), F.lit("")), F.regexp_replace(name, r"(\.trimmed|_1|\.sra)+$", "")
     )

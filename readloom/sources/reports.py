@@ -21,7 +21,7 @@ ALIGN_LOG = r"Uniquely mapped|mapped to multiple|% of reads unmapped"
 
 def sample_folder(path: str | Column) -> Column:
     """Sample named by a folder ``sample=...`` on the way to a file; empty if there is none."""
-    value = F.regexp_extract(path, r".*/sample=([^/]+)/", 1)
+    value = F.regexp_extract(path, r"^.*/sample=([^/]+)/", 1)
     return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
 
 
