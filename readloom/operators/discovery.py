@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 NEIGHBOURS = 3  # bases before a seed
 
 
@@ -150,6 +152,7 @@ def found_adapters(
     before = F.reverse(F.substr("seq", F.greatest(at - reach, F.lit(1)), F.least(at - 1, F.lit(reach))))
     sides = F.array(F.struct(F.lit("after").alias("side"), after.alias("text")), F.struct(F.lit("before").alias("side"), before.alias("text")))
     texts = hits.select("sample", "seed", F.inline(sides)).groupBy("sample", "seed", "side", "text").agg(F.count(F.lit(1)).alias("n"))
+    texts = stored(texts, "adapter-texts")  # used twice: all reads are behind it
     # Every read has a row on either side, so the sum over one side counts the reads.
     counts = texts.where("side = 'after'").groupBy("sample", "seed").agg(F.sum("n").alias("n_reads"))
     totals = F.broadcast(reads.groupBy("sample").agg(F.count(F.lit(1)).alias("total")))
