@@ -99,3 +99,11 @@ def test_null_reads_and_samples(spark):
     rows = [("r1", None, "ACGT" * 10, "I" * 40), ("r2", "s", None, None)]
     df = spark.createDataFrame(rows, "read_id string, sample string, seq string, qual string")
     assert discovery.found_adapters(df).count() == 0
+
+
+def test_reads_are_searched_for_the_seed_once(spark):
+    """What counts and grows the texts around a seed starts from a stored table of them."""
+    df = reads(spark, sequenced(random.Random(3), 2000, ADAPTER), "one")
+    found = discovery.found_adapters(df)
+    assert [r["adapter"] for r in found.collect()] == [ADAPTER]
+    assert "Contains(" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -3,6 +3,7 @@
 import gzip
 import json
 import random
+import time
 
 import pytest
 
@@ -379,3 +380,14 @@ def test_scratch_folder_comes_from_the_session():
 
     first, second = scratch_dir(Session, "x"), scratch_dir(Session, "x")
     assert first.startswith("hdfs://shared/folder/x-") and first != second
+
+
+def test_sample_of_a_long_path_takes_few_steps(spark):
+    """A pattern tried at every character of a path takes the square of its length."""
+    long = "/" + "ab" * 10_000
+    paths = [f"{long}/{i}_1.fastq.gz" for i in range(40)] + ["x", "/a/", "/a/sample=p%20q/r.fq", "/a.gz/b.sra.fastq"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string").coalesce(1)
+    begin = time.time()
+    got = [r[0] for r in df.select(fastq.sample_of_path("path")).collect()]
+    assert got == [str(i) for i in range(40)] + ["x", "", "p q", "b"]
+    assert time.time() - begin < 10
