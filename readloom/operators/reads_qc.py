@@ -98,7 +98,7 @@ def basic_stats(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
 CHARACTERS_AT_ONCE = 1 << 22
 
 
-def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
+def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str], key_len: int | None = None):
     """Function for ``mapInArrow``: batches of (by, seq, qual) to counted cells (by, kind, a, b, c, n).
 
     Kinds: ``base`` (position, character), ``score`` (position, Phred score), ``read``
@@ -107,6 +107,9 @@ def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
     Characters never become rows: numpy counts them on the batch's own buffers, some
     millions at a time however long the reads are. The function carries no reference to this
     package, so workers need not have it.
+
+    With ``key_len`` the cells have one more column, ``seq_key``, null but for those of kind ``sequence``:
+    the reads' first ``key_len`` bases and their copies in what is looked at together.
     """
     kinds, probes, most = tuple(kinds), tuple(probes), CHARACTERS_AT_ONCE
 
@@ -151,13 +154,17 @@ def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
             longest = int(max(lengths.max(), score_lengths.max(), 1))
             out = []
 
-            def add(kind, groups, a, b, c, n):
+            def add(kind, groups, a, b, c, n, keys=None):
                 zero = np.zeros(len(n), np.int64)
                 by = [column.take(pa.array(first[groups])) for column in batch.columns[:n_by]]
                 numbers = [pa.array(zero + x, pa.int32()) for x in (a, b, c)]
                 name = pa.array([kind] * len(n), pa.string())
+                columns = [*by, name, *numbers, pa.array(n, pa.int64())]
                 names = [f"by{i}" for i in range(n_by)] + ["kind", "a", "b", "c", "n"]
-                out.append(pa.RecordBatch.from_arrays([*by, name, *numbers, pa.array(n, pa.int64())], names))
+                if key_len is not None:
+                    columns.append(pa.nulls(len(n), pa.string()) if keys is None else keys)
+                    names.append("seq_key")
+                out.append(pa.RecordBatch.from_arrays(columns, names))
 
             for kind, data, begin, size, shift in (
                 ("base", bases, starts, lengths, 0),
@@ -191,6 +198,14 @@ def count_cells(n_by: int, kinds: Sequence[str], probes: Sequence[str]):
                     hit = at >= 0
                     cell, n = counted(group[hit] * longest + at[hit], len(first) * longest)
                     add("adapter", cell // longest, i, cell % longest + 1, 0, n)
+            if key_len is not None:
+                # Null sequences are a key of their own; the code of a key stands for it in the count.
+                keys = pc.utf8_slice_codeunits(batch.column(n_by).cast(pa.string()), 0, key_len)
+                coded = keys.dictionary_encode(null_encoding="encode")
+                code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                cell, n = counted(group * len(coded.dictionary) + code, len(first) * len(coded.dictionary))
+                values = coded.dictionary.take(pa.array(cell % len(coded.dictionary)))
+                add("sequence", cell // len(coded.dictionary), 0, 0, 0, n, values)
             yield from out
 
     return count
@@ -210,17 +225,46 @@ def read_cells(
     optimizer does not push a condition on the kind below the generator here, so several
     tables that derive from the cells share that shuffle.
     """
-    schema = T.StructType(
+    counted = reads.select(*by, *_read_columns(kinds)).mapInArrow(
+        count_cells(len(by), kinds, list(adapters.values())), _cell_schema(reads, by)
+    )
+    cells = counted.groupBy(*by, F.col("kind").alias("_kind"), "a", "b", "c").agg(F.sum("n").alias("n"))
+    return cells.select(*by, F.explode(F.array("_kind")).alias("kind"), "a", "b", "c", "n")
+
+
+def _read_columns(kinds: Sequence[str]) -> list[Column]:
+    """Bases and qualities, empty where none of the kinds needs them."""
+    seq = F.lit("") if set(kinds) <= OF_SCORES else F.col("seq")
+    qual = F.lit("") if set(kinds) <= OF_BASES else F.col("qual")
+    return [seq.alias("seq"), qual.alias("qual")]
+
+
+def _cell_schema(reads: DataFrame, by: Sequence[str]) -> T.StructType:
+    return T.StructType(
         [T.StructField(c, reads.schema[c].dataType) for c in by]
         + [T.StructField("kind", T.StringType())]
         + [T.StructField(c, T.IntegerType()) for c in "abc"]
         + [T.StructField("n", T.LongType())]
     )
-    seq = F.lit("") if set(kinds) <= OF_SCORES else F.col("seq")
-    qual = F.lit("") if set(kinds) <= OF_BASES else F.col("qual")
-    counted = reads.select(*by, seq.alias("seq"), qual.alias("qual")).mapInArrow(count_cells(len(by), kinds, list(adapters.values())), schema)
-    cells = counted.groupBy(*by, F.col("kind").alias("_kind"), "a", "b", "c").agg(F.sum("n").alias("n"))
-    return cells.select(*by, F.explode(F.array("_kind")).alias("kind"), "a", "b", "c", "n")
+
+
+def cells_and_copies(
+    reads: DataFrame, by: Sequence[str] = SAMPLE, key_len: int = 50, adapters: dict[str, str] = ADAPTERS
+) -> tuple[DataFrame, DataFrame]:
+    """The cells of :func:`read_cells`, and (by, distinct, reads, most) of :func:`sequence_counts`, from one pass.
+
+    A batch sends its cells and its distinct sequences to one shuffle, where the copies of each are added up; a
+    second, small one adds up what the sequences of a group come to. Both results are computed at once and checkpointed.
+    """
+    schema = _cell_schema(reads, by).add("seq_key", T.StringType())
+    counted = reads.select(*by, *_read_columns(ALL_KINDS)).mapInArrow(
+        count_cells(len(by), ALL_KINDS, list(adapters.values()), key_len), schema
+    )
+    cell = [*by, "kind", "a", "b", "c"]
+    summed = counted.groupBy(*cell, "seq_key").agg(F.sum("n").alias("n"))
+    both = checkpoint(summed.groupBy(*cell).agg(F.sum("n").alias("n"), F.count("*").alias("distinct"), F.max("n").alias("most")))
+    copies = both.where("kind = 'sequence'").select(*by, "distinct", F.col("n").alias("reads"), "most")
+    return both.where("kind <> 'sequence'").select(*cell, "n"), copies
 
 
 def _of_kind(cells: DataFrame, kind: str, by: Sequence[str], **names: str) -> DataFrame:
@@ -565,12 +609,12 @@ def _largest_adapter(cells: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def stage_metrics(reads: DataFrame, by: Sequence[str] = ("sample", "stage")) -> DataFrame:
-    """(by, metric, value) behind the summary table, from two passes over the reads.
+    """(by, metric, value) behind the summary table, from one pass over the reads.
 
     Read and base counts, mean length, Q20 %, Q30 %, %GC, share left after
     deduplication and the largest adapter share.
     """
-    cells = checkpoint(read_cells(reads, by))
+    cells, copies = cells_and_copies(reads, by)
 
     def total(kind: str, counted: Column | None = None) -> Column:
         return F.coalesce(F.sum(F.when((F.col("kind") == kind) & (F.lit(True) if counted is None else counted), F.col("n"))), F.lit(0))
@@ -594,8 +638,7 @@ def stage_metrics(reads: DataFrame, by: Sequence[str] = ("sample", "stage")) ->
         percent(F.col("_q30"), F.col("bases")).alias("q30_pct"),
         int_div(100 * F.col("_gc"), F.col("_acgt")).alias("gc_pct"),
     )
-    copies = sequence_counts(reads, by).groupBy(*by).agg(percent(F.count("*"), F.sum("copies")).alias("dedup_pct"))
-    copies = checkpoint(copies)
+    copies = copies.select(*by, percent(F.col("distinct"), F.col("reads")).alias("dedup_pct"))
     out = _long(basic, by, ["reads", "bases", "mean_length", "q20_pct", "q30_pct", "gc_pct"])
     out = out.unionByName(_long(copies, by, ["dedup_pct"])).unionByName(_long(_largest_adapter(cells, by), by, ["max_adapter_pct"]))
     return out.withColumnRenamed("measure", "metric")
@@ -604,11 +647,11 @@ def stage_metrics(reads: DataFrame, by: Sequence[str] = ("sample", "stage")) ->
 def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
     """The numbers the verdicts are drawn from: (by, measure, value).
 
-    Two passes over the reads feed all of them: the counted cells, and the copies per
+    One pass over the reads feeds all of them: the counted cells, and the copies per
     sequence. Both are computed at once and checkpointed, so that the measures, eight plans over
     the cells, are not planned on top of the reads' own plan eight times.
     """
-    cells = checkpoint(read_cells(reads, by))
+    cells, copies = cells_and_copies(reads, by)
     each = _of_kind(cells, "read", by, a="length", b="quality", c="gc")
     basic = each.groupBy(*by).agg(
         F.sum("n").alias("total_sequences"),
@@ -639,15 +682,11 @@ def qc_measures(reads: DataFrame, by: Sequence[str] = SAMPLE) -> DataFrame:
         )
     )
     unknown = _n_content(bases, by).groupBy(*by).agg(F.max("pct_n").alias("max_pct_n"))
-    copies = (
-        sequence_counts(reads, by)
-        .groupBy(*by)
-        .agg(
-            percent(F.count("*"), F.sum("copies")).alias("dedup_pct"),
-            percent(F.max("copies"), F.sum("copies")).alias("max_sequence_pct"),
-        )
+    copies = copies.select(
+        *by,
+        percent(F.col("distinct"), F.col("reads")).alias("dedup_pct"),
+        percent(F.col("most"), F.col("reads")).alias("max_sequence_pct"),
     )
-    copies = checkpoint(copies)
     adapters = _largest_adapter(cells, by)
     out = _long(basic, by, ["total_sequences", "min_length", "length_spread"])
     for table, measures in [

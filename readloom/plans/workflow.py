@@ -104,7 +104,7 @@ def general_stats(
 def summary_table(staged: DataFrame) -> DataFrame:
     """Read statistics before and after trimming, per sample and metric.
 
-    ``staged(sample, stage, seq, qual)`` is read twice.
+    ``staged(sample, stage, seq, qual)`` is read once.
     """
     return reads_qc.qc_compare(reads_qc.stage_metrics(staged))
 

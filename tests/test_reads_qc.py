@@ -244,3 +244,30 @@ def test_long_reads_are_counted_in_slices(spark, monkeypatch):
     whole = sorted(map(tuple, reads_qc.read_cells(df, kinds=(*reads_qc.ALL_KINDS, "mean")).collect()))
     monkeypatch.setattr(reads_qc, "CHARACTERS_AT_ONCE", 100)
     assert sorted(map(tuple, reads_qc.read_cells(df, kinds=(*reads_qc.ALL_KINDS, "mean")).collect())) == whole
+
+
+def test_one_pass_gives_the_cells_and_the_copies(spark, monkeypatch):
+    """The measures read the reads once; cells and copies are those of the two passes apart."""
+    rows = [("s", "raw", "ACGTN" * n, "IIFF#" * n) for n in (0, 1, 1, 7, 40, 40, 400)]
+    rows += [("s", "raw", "ACGTN" * 10 + x, "I" * 51) for x in "AC"]  # one key of 50 bases
+    rows += [("s", "trimmed", "ACGT", "IIII"), (None, "raw", "ACGT", "IIII"), ("s", "raw", None, None), (None, "raw", None, None)]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "sample string, stage string, seq string, qual string").repartition(3)
+    by = ("sample", "stage")
+    want = reads_qc.sequence_counts(df, by).groupBy(*by).agg(F.count("*"), F.sum("copies"), F.max("copies"))
+    plain = lambda table: sorted(map(repr, map(tuple, table.collect())))
+    for most in (reads_qc.CHARACTERS_AT_ONCE, 100):
+        monkeypatch.setattr(reads_qc, "CHARACTERS_AT_ONCE", most)
+        cells, copies = reads_qc.cells_and_copies(df, by)
+        assert plain(copies) == plain(want)
+        assert plain(cells) == plain(reads_qc.read_cells(df, by))
+    for measures in (reads_qc.qc_measures, reads_qc.stage_metrics):
+        read.value = 0
+        measures(df.mapInArrow(count, df.schema), by).collect()
+        assert read.value == len(rows)
