@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from readloom.llm import byte_bpe, line_windows, mixing, simhash, toxicity
 from readloom.llm.common import table
 from readloom.llm.queries import domain
-from readloom.session import scratch_dir
+from readloom.session import scratch_dir, stored, text_batches
 
 #: Domains and languages have weights; no source counts more than another.
 WEIGHTS = mixing.Weights(
@@ -56,9 +56,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, and digests of them and of what they decode to."""
+    """Token ids of each row, and digests of them and of what they decode to.
+
+    Computed at once, in small batches and with half the matches remembered: the executors still hold
+    what the stages before took.
+    """
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_text=False)
+    with text_batches(spark):
+        rows = byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_text=False, remembered=60_000)
+        return stored(rows, "corpus-ids")
 
 
 STAGES = [

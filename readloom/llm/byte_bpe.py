@@ -49,7 +49,8 @@ def read_ranks(path: str) -> bytes:
 class Vocabulary:
     """Tokens by rank, and which of them can stand side by side."""
 
-    def __init__(self, file: bytes):
+    def __init__(self, file: bytes, remembered: int | None = None):
+        self.remembered_at_most = REMEMBERED if remembered is None else remembered
         lines = (line.split() for line in file.splitlines() if line.strip())
         self.rank = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.token = {rank: token for token, rank in self.rank.items()}
@@ -107,7 +108,7 @@ class Vocabulary:
                     across = self.rank.get(left + right)
                     if across is not None and across < until_left and across <= until_right:
                         answer = False
-            if len(self.pairs) >= 3 * REMEMBERED:
+            if len(self.pairs) >= 3 * self.remembered_at_most:
                 self.pairs.clear()
             self.pairs[pair] = answer
         return answer
@@ -120,7 +121,7 @@ class Vocabulary:
 
     def remembered(self, match: str) -> bytes:
         packed = self.known.get(match) or self.older.get(match) or self.encode_match(match)
-        if len(self.known) >= REMEMBERED:
+        if len(self.known) >= self.remembered_at_most:
             self.known, self.older = {}, self.known
         self.known[match] = packed
         return packed
@@ -215,12 +216,19 @@ class PrefixTable:
 
 
 def encode_documents(
-    docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep_text: bool = True, keep_ids: bool = True
+    docs: DataFrame,
+    ranks: bytes,
+    pattern: str,
+    text: str = "text",
+    keep_text: bool = True,
+    keep_ids: bool = True,
+    remembered: int | None = None,
 ) -> DataFrame:
     """``docs`` with the columns of ``RESULT``: number of tokens, digest of their ids (little-endian
     unsigned 32-bit integers), digest of what these decode to, and the ids themselves.
 
-    Rows go through in slices, so a worker holds few texts and their ids at a time.
+    Rows go through in slices, so a worker holds few texts and their ids at a time. A worker remembers
+    ``remembered`` matches of a generation (``REMEMBERED`` by default): fewer take less memory and more time.
     """
     # One object in each Python worker: what it has learned serves the worker's later tasks as well.
     shared = docs.sparkSession.sparkContext.broadcast({"file": ranks})
@@ -235,7 +243,7 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         if "vocabulary" not in held:
-            held["vocabulary"] = Vocabulary(held.pop("file"))
+            held["vocabulary"] = Vocabulary(held.pop("file"), remembered)
         vocabulary, find = held["vocabulary"], regex.compile(pattern).findall
         kinds = [pa.int64(), pa.string(), pa.string(), pa.binary()][: 3 + keep_ids]
         for batch in batches:

@@ -73,6 +73,28 @@ def many_partitions(df: DataFrame) -> Iterator[bool]:
             conf.set(key, value)
 
 
+#: Rows of an Arrow batch where they hold whole texts.
+TEXT_ROWS = 500
+
+
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """For what is computed inside: Arrow batches of at most ``TEXT_ROWS`` rows.
+
+    A batch is counted in rows, and stands several times in the memory of an executor and of its Python
+    workers; ten thousand texts of some kilobytes are tens of megabytes each time, long ones far more.
+    The setting is set back, so a lazy plan would run without it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        # Zero or less is no limit.
+        spark.conf.set(key, str(min(TEXT_ROWS, int(before)) if int(before) > 0 else TEXT_ROWS))
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """``df`` computed now and kept in the shared checkpoint folder, its lineage cut.
 

@@ -8,6 +8,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from readloom import session
 from readloom.llm import byte_bpe, mixing, toxicity
 from readloom.llm.queries import domain
 from test_line_windows import brute as brute_lines
@@ -113,6 +114,26 @@ def test_run_gives_the_same(spark, sf_dir, steps):
     assert sorted(map(tuple, ran.collect())) == sorted(map(tuple, steps[-1][1].select(*columns).collect()))
 
 
+def test_last_stage_takes_small_batches(spark, sf_dir, monkeypatch):
+    """No Arrow batch of texts is of the session's 10,000 rows, and the setting is as before."""
+    seen, encode = spark.sparkContext.accumulator(0), byte_bpe.encode_documents
+    key, most = "spark.sql.execution.arrow.maxRecordsPerBatch", session.TEXT_ROWS
+
+    def large(batches):
+        for batch in batches:
+            seen.add(int(batch.num_rows > most))
+            yield batch
+
+    def watched(docs, *args, **settings):
+        return encode(docs.mapInArrow(large, docs.schema), *args, **settings)
+
+    monkeypatch.setattr(byte_bpe, "encode_documents", watched)
+    docs = spark.range(3 * most).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")).coalesce(1)
+    before = spark.conf.get(key)
+    assert dict(corpus_pipeline.STAGES)["byte_bpe"](spark, docs, sf_dir).count() == 3 * most
+    assert seen.value == 0 and spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_empty_input(spark, sf_dir, stage):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("false")
