@@ -57,7 +57,11 @@ def occurrences(docs: DataFrame, window: int) -> DataFrame:
 
 
 def without(window: int):
-    """Arrow function of a text and the starts of windows that go: the text left, and the number of lines gone."""
+    """Arrow function of a text and the starts of windows that go: the text left, and the number of lines gone.
+
+    Declared non-deterministic, which it is not: Spark would else compute it once more for a filter on its results,
+    with a second Python worker in each task.
+    """
 
     def cut(texts: pa.Array, starts: pa.Array) -> pa.Array:
         left, gone = [], []
@@ -72,7 +76,7 @@ def without(window: int):
             gone.append(len(covered))
         return pa.StructArray.from_arrays([pa.array(left, pa.string()), pa.array(gone, pa.int32())], ["text", "gone"])
 
-    return F.arrow_udf(cut, "text string, gone int")
+    return F.arrow_udf(cut, "text string, gone int").asNondeterministic()
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 3) -> DataFrame:

@@ -30,12 +30,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import text_batches
 from .common import checkpoint, texts
 
 SEED = 42
 HASHES_AT_ONCE = 1 << 15
-#: Pairs that a search compares at a time.
-FRONTIER = 1 << 21
+#: Pairs that a search compares at a time; some ten numbers are held for each.
+FRONTIER = 1 << 18
 #: Rows of shards that are searched together.
 ROWS_AT_ONCE = 1 << 17
 
@@ -238,7 +239,8 @@ def simhash_groups(
     prints = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("version"), fingerprints(body, shingle).alias("code")
     )
-    prints = checkpoint(prints)
+    with text_batches(docs.sparkSession):
+        prints = checkpoint(prints)
     codes = checkpoint(prints.groupBy("code").agg(F.min("doc_id").alias("first_id")), spread=True)
     roots = components(checkpoint(links(codes, radius, blocks, shard_rows)))
     linked = checkpoint(codes.join(roots, F.col("code") == F.col("node")).select("code", "root", "first_id"), spread=True)

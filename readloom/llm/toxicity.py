@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import text_batches
 from .common import checkpoint
 
 # Identity terms by group; terms of one group stand in for one another.
@@ -179,14 +180,16 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label=
     Spark counts the features; the driver gets the vocabulary, and of each sampled row the
     numbers of the features it has from it.
     """
-    sample = checkpoint(labelled(docs, labels, doc_id, text, label, settings))
+    with text_batches(docs.sparkSession):
+        sample = checkpoint(labelled(docs, labels, doc_id, text, label, settings))
     kinds = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("ones")).first()
     ones, zeros = kinds["ones"], kinds["n"] - kinds["ones"]
     if not ones or not zeros:
         share = ones / kinds["n"] if kinds["n"] else 0.0
         return Model(float(np.log((share + 1e-9) / (1 - share + 1e-9))), {})
     vocabulary = vocabulary_of(sample, ones, zeros, settings)
-    table = numbered(sample, vocabulary)
+    with text_batches(docs.sparkSession):
+        table = numbered(sample, vocabulary)
     toxic = table["toxic"].to_numpy().astype(np.float64)
     row, feature = entries(table["features"].to_pylist())
     mentions = [[vocabulary[f] for f in features(term) if f in vocabulary] for term in GROUP]

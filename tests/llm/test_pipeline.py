@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from readloom import session
-from readloom.llm import byte_bpe, mixing, toxicity
+from readloom.llm import byte_bpe, mixing, simhash, toxicity
 from readloom.llm.queries import domain
 from test_line_windows import brute as brute_lines
 from test_simhash import brute_components, brute_fingerprint
@@ -134,6 +134,35 @@ def test_last_stage_takes_small_batches(spark, sf_dir, monkeypatch):
     assert seen.value == 0 and spark.conf.get(key) == before
 
 
+def test_line_stage_cuts_once(spark, sf_dir):
+    """One Python worker for each task: the filter on what the cut gives does not compute it again."""
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, "a\nb\nc\nd", "en", "s", 7) for i in range(3)], kinds)
+    left = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, sf_dir)
+    assert left._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in left.collect()] == [(0, "a\nb\nc\nd", "en", "s", 7)]
+
+
+@pytest.mark.parametrize("stage", ["fingerprints", "labelled texts"])
+def test_eager_steps_take_small_batches(spark, stage):
+    """What reads whole texts at once gets no Arrow batch of the session's 10,000 rows; the setting is as before."""
+    seen = spark.sparkContext.accumulator(0)
+    key, most = "spark.sql.execution.arrow.maxRecordsPerBatch", session.TEXT_ROWS
+
+    def large(batches):
+        for batch in batches:
+            seen.add(int(batch.num_rows > most))
+            yield batch
+
+    docs = spark.range(3 * most).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")).coalesce(1)
+    docs, before = docs.mapInArrow(large, docs.schema), spark.conf.get(key)
+    if stage == "fingerprints":
+        assert simhash.simhash_groups(docs).count() == 3 * most
+    else:
+        toxicity.fit(docs, spark.range(20).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic")))
+    assert seen.value == 0 and spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_empty_input(spark, sf_dir, stage):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("false")
